@@ -27,8 +27,8 @@ def _a7() -> str:
     for c in LINEITEM_NUMERIC:
         x = f"CAST({c} AS DOUBLE)"
         parts.append(
-            f"SELECT '{c}' AS \"column\", count({x}) AS \"count\", {r(f'avg({x})')} AS mean, "
-            f"{r(f'stddev_samp({x})')} AS std, {r(f'min({x})')} AS \"min\", "
+            f"SELECT '{c}' AS \"column\", count({x}) AS \"count\", {r(f'avg({x})', 8)} AS mean, "
+            f"{r(f'stddev_samp({x})', 8)} AS std, {r(f'min({x})')} AS \"min\", "
             f"{r(f'quantile_cont({x}, 0.25)')} AS q25, {r(f'quantile_cont({x}, 0.5)')} AS q50, "
             f"{r(f'quantile_cont({x}, 0.75)')} AS q75, {r(f'max({x})')} AS \"max\" FROM lineitem")
     return _union(parts)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.columns import numeric_columns, numeric_value
 from tabsmith.functions.stats import pairwise_pearson
+from tabsmith.session import spread
 from tabsmith.operators.ranking import (
     ROWS_PER_BLOCK, block_count, prefix_before, range_blocks, sample_bounds, weighted_inversions,
 )
@@ -35,14 +36,30 @@ def _pairs(columns: list[str], diagonal: bool = False) -> list[tuple[int, int]]:
     return [(i, j) for i in range(k) for j in range(i if diagonal else i + 1, k)]
 
 
-def pearson_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``(col_x, col_y, corr)`` for every pair ``x`` before ``y`` in column order."""
+def pearson_matrix(df: DataFrame, columns: list[str] | None = None, complete: bool | None = None) -> DataFrame:
+    """``(col_x, col_y, corr)`` for every pair ``x`` before ``y`` in column order.
+
+    ``complete`` (checked with one cheap count when unknown) selects the null-free form:
+    one ``covar_pop`` per pair and one ``stddev_pop`` per column instead of masked
+    copies per pair, which keeps the aggregate inside whole-stage codegen.
+    """
     columns = columns if columns is not None else numeric_columns(df)
-    vals = [numeric_value(c, df) for c in columns]
     pairs = _pairs(columns)
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_x string, col_y string, corr double")
-    row = df.agg(*[pairwise_pearson(vals[i], vals[j]).alias(f"r{n}") for n, (i, j) in enumerate(pairs)])
+    df = spread(df)
+    vals = [numeric_value(c, df) for c in columns]
+    if complete is None:
+        complete = not any(df.schema[c].nullable for c in columns) or \
+            df.agg(*[F.count_if(v.isNull()) for v in vals]).first() == tuple([0] * len(vals))
+    if complete:
+        # no missing values: one co-moment per pair plus one deviation per column
+        sd = [F.stddev_pop(v) for v in vals]
+        exprs = [F.when(sd[i] * sd[j] > 0, F.try_divide(F.covar_pop(vals[i], vals[j]), sd[i] * sd[j]))
+                 for i, j in pairs]
+    else:
+        exprs = [pairwise_pearson(vals[i], vals[j]) for i, j in pairs]
+    row = df.agg(*[e.alias(f"r{n}") for n, e in enumerate(exprs)])
     structs = [F.struct(F.lit(columns[i]).alias("col_x"), F.lit(columns[j]).alias("col_y"),
                         F.col(f"r{n}").alias("corr")) for n, (i, j) in enumerate(pairs)]
     return row.select(F.inline(F.array(*structs)))
@@ -87,12 +104,12 @@ def spearman_matrix(df: DataFrame, columns: list[str] | None = None,
     nulls = df.agg(*[F.count_if(v.isNull()).alias(f"z{i}") for i, v in enumerate(vals)]).first()
     if all(nulls[f"z{i}"] == 0 for i in range(len(columns))):
         ranked = _rank_columns(df, columns, rows_per_block)
-        return pearson_matrix(ranked.toDF(*columns), columns)
+        return pearson_matrix(ranked.toDF(*columns), columns, complete=True)
     parts = []
     for i, j in pairs:
         both = df.where(vals[i].isNotNull() & vals[j].isNotNull())
         ranked = _rank_columns(both, [columns[i], columns[j]], rows_per_block).toDF("x", "y")
-        parts.append(pearson_matrix(ranked, ["x", "y"]).select(
+        parts.append(pearson_matrix(ranked, ["x", "y"], complete=True).select(
             F.lit(columns[i]).alias("col_x"), F.lit(columns[j]).alias("col_y"), "corr"))
     out = parts[0]
     for p in parts[1:]:

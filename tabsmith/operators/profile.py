@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions.columns import categorical_columns, col, numeric_columns, numeric_value, percent
-from tabsmith.functions.stats import corrected_kurtosis, corrected_skewness
 from tabsmith.operators.frequency import frequency_table, level_shares, top_levels
+from tabsmith.session import spread
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -30,7 +30,15 @@ def _quantile_expr(v, probs, method: str, accuracy: int):
 
 def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
                       accuracy: int = 10_000, moments: bool = True) -> DataFrame:
-    """One-row frame with ``<stat><i>`` fields for every column ``i`` (shared pass)."""
+    """One-row frame with ``<stat><i>`` fields for every column ``i``.
+
+    Pass 1: count, min, max, mean and quartiles (one aggregate). Pass 2 (``moments``):
+    sums of centred powers ``(x - mean)^2..4`` against the pass-1 row broadcast to every
+    task - plain sums, so the aggregate stays small enough for whole-stage codegen, and
+    the two-pass form is the numerically accurate one. Skewness/kurtosis follow the
+    bias-corrected sample formulas; undefined cases are null, zero variance gives 0.
+    """
+    df = spread(df)
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(columns):
         v = numeric_value(c, df)
@@ -38,9 +46,33 @@ def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
         aggs += [F.count(v).alias(f"count{i}"), F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}"),
                  q.alias(f"q{i}")]
         if moments:
-            aggs += [F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"),
-                     corrected_skewness(v).alias(f"skew{i}"), corrected_kurtosis(v).alias(f"kurt{i}")]
-    return df.agg(*aggs)
+            aggs.append(F.avg(v).alias(f"mean{i}"))
+    first = df.agg(*aggs)
+    if not moments:
+        return first
+    means = F.broadcast(first.select(*[F.col(f"mean{i}").alias(f"_mu{i}") for i in range(len(columns))]))
+    joined = df.crossJoin(means)
+    sums = []
+    for i, c in enumerate(columns):
+        d = numeric_value(c, joined) - F.col(f"_mu{i}")
+        sums += [F.sum(d * d).alias(f"s2_{i}"), F.sum(d * d * d).alias(f"s3_{i}"),
+                 F.sum(d * d * d * d).alias(f"s4_{i}")]
+    second = joined.agg(*sums)
+    out = [F.col(c) for c in first.columns]
+    for i in range(len(columns)):
+        n = F.col(f"count{i}").cast("double")
+        m2, m3, m4 = F.col(f"s2_{i}") / n, F.col(f"s3_{i}") / n, F.col(f"s4_{i}") / n
+        g1 = m3 / F.pow(m2, 1.5)
+        g2 = m4 / (m2 * m2) - 3.0
+        flat = F.col(f"s2_{i}") == 0
+        out += [
+            F.when(n > 1, F.sqrt(F.col(f"s2_{i}") / (n - 1))).alias(f"std{i}"),
+            F.when(n < 3, F.lit(None).cast("double")).when(flat, F.lit(0.0))
+            .otherwise(F.sqrt(n * (n - 1)) / (n - 2) * g1).alias(f"skew{i}"),
+            F.when(n < 4, F.lit(None).cast("double")).when(flat, F.lit(0.0))
+            .otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)).alias(f"kurt{i}"),
+        ]
+    return first.crossJoin(second).select(*out)
 
 
 def numerical_summary(df: DataFrame, columns: list[str] | None = None, method: str = "exact",

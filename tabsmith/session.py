@@ -65,3 +65,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-partitioned input over the cluster's cores.
+
+    A small file with one row group is read by one task; CPU-heavy aggregates then run
+    single-threaded. On real inputs (many files/row groups) the scan already has at
+    least as many partitions as cores and this is a no-op (no extra shuffle).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - streaming or unsupported plans
+        return df
+    return df.repartition(want) if have < want else df

@@ -97,7 +97,7 @@ def infer_types(df: DataFrame) -> DataFrame:
         c = col(name)
         present = c.isNotNull()
         checks += [
-            F.bool_and(~present | (c.rlike(_INT_RE) & F.try_cast(c, "bigint").isNotNull())).alias(f"i{i}"),
+            F.bool_and(~present | (c.rlike(_INT_RE) & c.try_cast("bigint").isNotNull())).alias(f"i{i}"),
             F.bool_and(~present | c.rlike(_FLOAT_RE) | c.isin("nan", "NaN", "-nan", "-NaN")).alias(f"f{i}"),
             F.bool_and(~present | c.isin(*_BOOL_TRUE, *_BOOL_FALSE)).alias(f"b{i}"),
             F.count(c).alias(f"n{i}"),
@@ -108,9 +108,9 @@ def infer_types(df: DataFrame) -> DataFrame:
         if verdict[f"n{i}"] == 0:
             casts[name] = F.lit(None).cast("double")
         elif verdict[f"i{i}"]:
-            casts[name] = F.try_cast(col(name), "bigint")
+            casts[name] = col(name).try_cast("bigint")
         elif verdict[f"f{i}"]:
-            casts[name] = F.try_cast(col(name), "double")
+            casts[name] = col(name).try_cast("double")
         elif verdict[f"b{i}"]:
             casts[name] = _bool_expr(col(name))
     return df.select(*[casts[c].alias(c) if c in casts else col(c) for c in df.columns])
@@ -159,7 +159,7 @@ class CSVDataLoader(DataLoader):
             return infer_types(df)
         target = self.schema if isinstance(self.schema, T.StructType) else T._parse_datatype_string(self.schema)
         return df.select(*[
-            F.try_cast(col(f.name), f.dataType).alias(f.name) if f.name in df.columns
+            col(f.name).try_cast(f.dataType).alias(f.name) if f.name in df.columns
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in target.fields
         ])
