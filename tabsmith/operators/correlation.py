@@ -53,13 +53,21 @@ def pearson_matrix(df: DataFrame, columns: list[str] | None = None, complete: bo
         complete = not any(df.schema[c].nullable for c in columns) or \
             df.agg(*[F.count_if(v.isNull()) for v in vals]).first() == tuple([0] * len(vals))
     if complete:
-        # no missing values: one co-moment per pair plus one deviation per column
-        sd = [F.stddev_pop(v) for v in vals]
-        exprs = [F.when(sd[i] * sd[j] > 0, F.try_divide(F.covar_pop(vals[i], vals[j]), sd[i] * sd[j]))
-                 for i, j in pairs]
+        # no missing values: two passes - means, then plain sums of centred products
+        # (one per pair and one per column): accurate, and small enough for codegen
+        means = F.broadcast(df.agg(*[F.avg(v).alias(f"_mu{i}") for i, v in enumerate(vals)]))
+        joined = df.crossJoin(means)
+        d = [numeric_value(c, joined) - F.col(f"_mu{i}") for i, c in enumerate(columns)]
+        sums = joined.agg(*[F.sum(d[i] * d[i]).alias(f"s{i}_{i}") for i in range(len(columns))],
+                          *[F.sum(d[i] * d[j]).alias(f"s{i}_{j}") for i, j in pairs])
+        exprs = []
+        for i, j in pairs:
+            den = F.sqrt(F.col(f"s{i}_{i}") * F.col(f"s{j}_{j}"))
+            exprs.append(F.when(den > 0, F.try_divide(F.col(f"s{i}_{j}"), den)))
+        row = sums.select(*[e.alias(f"r{n}") for n, e in enumerate(exprs)])
     else:
         exprs = [pairwise_pearson(vals[i], vals[j]) for i, j in pairs]
-    row = df.agg(*[e.alias(f"r{n}") for n, e in enumerate(exprs)])
+        row = df.agg(*[e.alias(f"r{n}") for n, e in enumerate(exprs)])
     structs = [F.struct(F.lit(columns[i]).alias("col_x"), F.lit(columns[j]).alias("col_y"),
                         F.col(f"r{n}").alias("corr")) for n, (i, j) in enumerate(pairs)]
     return row.select(F.inline(F.array(*structs)))
@@ -119,26 +127,21 @@ def spearman_matrix(df: DataFrame, columns: list[str] | None = None,
 
 # ---------------------------------------------------------------- Kendall tau-b
 
-def _inversions_x(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Inside one x-block: cells in (x, y) order, count inversions of their (y, x) order."""
-    if pdf.empty:
-        return pd.DataFrame({"inv": pd.Series([], dtype="string")})
+def _inversions_x(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Inside one x-block of one pair: cells in (x, y) order, inversions of their (y, x) order."""
     pdf = pdf.sort_values(["x", "y"], kind="mergesort")
-    # position of each cell in (y, x) order
     yorder = np.lexsort((pdf["x"].to_numpy(), pdf["y"].to_numpy()))
     rank = np.empty(len(pdf), dtype=np.int64)
     rank[yorder] = np.arange(len(pdf))
     inv = weighted_inversions(rank, pdf["n"].to_numpy())
-    return pd.DataFrame({"inv": [str(inv)]})
+    return pd.DataFrame({"pair": [int(key[0])], "inv": [str(inv)]})
 
 
-def _inversions_y(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Inside one y-block: cells in (y, x) order, pairs whose x-block order is reversed."""
-    if pdf.empty:
-        return pd.DataFrame({"inv": pd.Series([], dtype="string")})
+def _inversions_y(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Inside one y-block of one pair: cells in (y, x) order, pairs whose x-block order is reversed."""
     pdf = pdf.sort_values(["y", "x"], kind="mergesort")
     inv = weighted_inversions(pdf["xb"].to_numpy(), pdf["n"].to_numpy())
-    return pd.DataFrame({"inv": [str(inv)]})
+    return pd.DataFrame({"pair": [int(key[0])], "inv": [str(inv)]})
 
 
 def _grid_discordant(grid: np.ndarray) -> int:
@@ -146,70 +149,104 @@ def _grid_discordant(grid: np.ndarray) -> int:
     g = grid.astype(object)
     p = g.shape[0]
     total = 0
-    # suffix over rows (x-blocks after i) and prefix over columns (y-blocks before j)
-    after = np.zeros((p + 1, p + 1), dtype=object)
+    # after[i][j] = sum of g[i', j'] over i' >= i and j' < j
+    after = np.zeros((p + 1, g.shape[1] + 1), dtype=object)
     for i in range(p - 1, -1, -1):
-        row_cum = np.concatenate(([0], np.cumsum(g[i])))  # row_cum[j] = sum g[i, :j]
+        row_cum = np.concatenate(([0], np.cumsum(g[i])))
         after[i] = after[i + 1] + np.asarray(row_cum, dtype=object)
     for i in range(p):
-        for j in range(p):
+        for j in range(g.shape[1]):
             if g[i, j]:
                 total += int(g[i, j]) * int(after[i + 1][j])
     return total
 
 
-def kendall_pair(df: DataFrame, x: str, y: str, rows_per_block: int = ROWS_PER_BLOCK) -> float | None:
-    """Exact Kendall tau-b of two numeric columns over their complete rows."""
-    vx, vy = numeric_value(x, df), numeric_value(y, df)
-    complete = df.select(vx.alias("x"), vy.alias("y")).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    cells = complete.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).persist()
-    try:
-        tie = cells.agg(
-            F.count(F.lit(1)).alias("ncells"), F.sum("n").alias("N"),
-            F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("n3"),
-        ).first()
-        n_cells = tie["ncells"]
-        if not n_cells:
-            return None
-        total = int(tie["N"])
-        n3 = int(tie["n3"])
-        n1 = int(cells.groupBy("x").agg(F.sum("n").alias("t")).agg(
-            F.coalesce(F.sum(F.col("t") * (F.col("t") - 1) / 2), F.lit(0))).first()[0])
-        n2 = int(cells.groupBy("y").agg(F.sum("n").alias("t")).agg(
-            F.coalesce(F.sum(F.col("t") * (F.col("t") - 1) / 2), F.lit(0))).first()[0])
-        blocks = block_count(n_cells, rows_per_block)
-        xb = sample_bounds(cells, ["x", "y"], blocks, n_cells, seed=23)
-        yb = sample_bounds(cells, ["y", "x"], blocks, n_cells, seed=29)
-        tagged = range_blocks(range_blocks(cells, ["x", "y"], xb, "xb"), ["y", "x"], yb, "yb")
-        inv_x = tagged.groupBy("xb").applyInPandas(_inversions_x, "inv string")
-        inv_y = tagged.groupBy("yb").applyInPandas(_inversions_y, "inv string")
-        nd = sum(int(r["inv"]) for r in inv_x.collect()) + sum(int(r["inv"]) for r in inv_y.collect())
-        px, py = len(xb) + 1, len(yb) + 1
-        if px > 1 and py > 1:
-            grid = np.zeros((px, py), dtype=np.int64)
-            for r in tagged.groupBy("xb", "yb").agg(F.sum("n").alias("g")).collect():
-                grid[r["xb"], r["yb"]] = r["g"]
-            nd += _grid_discordant(grid)
-    finally:
-        cells.unpersist()
-    n0 = total * (total - 1) // 2
-    s = n0 - n1 - n2 + n3 - 2 * nd
-    den = (n0 - n1) * (n0 - n2)
-    if den <= 0:
-        return None
-    return s / math.sqrt(den)
+def _block_column(pair_bounds: dict, order: list[str]) -> F.Column:
+    """Per-pair block id (0 for pairs that fit one block)."""
+    expr = F.lit(0)
+    for p, bounds in pair_bounds.items():
+        if bounds:
+            keys = [F.col(c) for c in order]
+            from tabsmith.operators.ranking import _block_tree
+
+            expr = F.when(F.col("pair") == p, _block_tree(keys, bounds, 0, len(bounds))).otherwise(expr)
+    return expr
 
 
 def kendall_matrix(df: DataFrame, columns: list[str] | None = None,
                    rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """``(col_x, col_y, corr)`` Kendall tau-b for every pair (pairwise-complete).
 
-    The per-pair results are a handful of scalars, assembled into a small frame.
+    All pairs share each pass: one cell table ``(pair, x, y, n)``, one aggregate for
+    the tie totals, one grouped pandas pass per block direction. Results are a few
+    scalars per pair, assembled into a small frame.
     """
     columns = columns if columns is not None else numeric_columns(df)
-    rows = [(columns[i], columns[j], kendall_pair(df, columns[i], columns[j], rows_per_block))
-            for i, j in _pairs(columns)]
-    return df.sparkSession.createDataFrame(rows, "col_x string, col_y string, corr double")
+    pairs = _pairs(columns)
+    spark = df.sparkSession
+    schema = "col_x string, col_y string, corr double"
+    if not pairs:
+        return spark.createDataFrame([], schema)
+    df = spread(df)
+    vals = [numeric_value(c, df) for c in columns]
+    entries = F.array(*[
+        F.when(vals[i].isNotNull() & vals[j].isNotNull(),
+               F.struct(F.lit(n).alias("pair"), vals[i].alias("x"), vals[j].alias("y")))
+        for n, (i, j) in enumerate(pairs)
+    ])
+    long = df.select(F.inline(F.filter(entries, lambda e: e.isNotNull())))
+    cells = long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("n")).persist()
+    try:
+        base = {r["pair"]: r for r in cells.groupBy("pair").agg(
+            F.count(F.lit(1)).alias("ncells"), F.sum("n").alias("N"),
+            F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("n3")).collect()}
+        margins = cells.select("pair", F.inline(F.array(
+            F.struct(F.lit(0).alias("axis"), F.col("x").alias("v"), F.col("n").alias("n")),
+            F.struct(F.lit(1).alias("axis"), F.col("y").alias("v"), F.col("n").alias("n")))))
+        ties = {(r["pair"], r["axis"]): int(r["t"]) for r in margins.groupBy("pair", "axis", "v")
+                .agg(F.sum("n").alias("m")).groupBy("pair", "axis")
+                .agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("t")).collect()}
+        xbounds, ybounds = {}, {}
+        for p, r in base.items():
+            blocks = block_count(r["ncells"], rows_per_block)
+            if blocks > 1:
+                sub = cells.where(F.col("pair") == p)
+                xbounds[p] = sample_bounds(sub, ["x", "y"], blocks, r["ncells"], seed=23)
+                ybounds[p] = sample_bounds(sub, ["y", "x"], blocks, r["ncells"], seed=29)
+        tagged = cells.withColumn("xb", _block_column(xbounds, ["x", "y"])) \
+            .withColumn("yb", _block_column(ybounds, ["y", "x"]))
+        nd = {p: 0 for p in base}
+        for r in tagged.groupBy("pair", "xb").applyInPandas(_inversions_x, "pair long, inv string").collect():
+            nd[r["pair"]] += int(r["inv"])
+        multi = [p for p in xbounds if xbounds[p] or ybounds[p]]
+        if multi:
+            big = tagged.where(F.col("pair").isin(multi))
+            for r in big.groupBy("pair", "yb").applyInPandas(_inversions_y, "pair long, inv string").collect():
+                nd[r["pair"]] += int(r["inv"])
+            grids = {p: np.zeros((len(xbounds[p]) + 1, len(ybounds[p]) + 1), dtype=np.int64) for p in multi}
+            for r in big.groupBy("pair", "xb", "yb").agg(F.sum("n").alias("g")).collect():
+                grids[r["pair"]][r["xb"], r["yb"]] = r["g"]
+            for p in multi:
+                nd[p] += _grid_discordant(grids[p])
+    finally:
+        cells.unpersist()
+    rows = []
+    for p, (i, j) in enumerate(pairs):
+        corr = None
+        if p in base:
+            total = int(base[p]["N"])
+            n0 = total * (total - 1) // 2
+            n1, n2, n3 = ties.get((p, 0), 0), ties.get((p, 1), 0), int(base[p]["n3"])
+            den = (n0 - n1) * (n0 - n2)
+            if den > 0:
+                corr = (n0 - n1 - n2 + n3 - 2 * nd[p]) / math.sqrt(den)
+        rows.append((columns[i], columns[j], corr))
+    return spark.createDataFrame(rows, schema)
+
+
+def kendall_pair(df: DataFrame, x: str, y: str, rows_per_block: int = ROWS_PER_BLOCK) -> float | None:
+    """Exact Kendall tau-b of two numeric columns over their complete rows."""
+    return kendall_matrix(df, [x, y], rows_per_block).first()["corr"]
 
 
 def correlation_matrix(df: DataFrame, method: str = "pearson", columns: list[str] | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ def _quantile_expr(v, probs, method: str, accuracy: int):
 
 
 def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
-                      accuracy: int = 10_000, moments: bool = True) -> DataFrame:
+                      accuracy: int = 10_000, moments: bool = True, quantiles: bool = True) -> DataFrame:
     """One-row frame with ``<stat><i>`` fields for every column ``i``.
 
     Pass 1: count, min, max, mean and quartiles (one aggregate). Pass 2 (``moments``):
@@ -42,7 +42,8 @@ def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(columns):
         v = numeric_value(c, df)
-        q = _quantile_expr(v, QUARTILES, method, accuracy)
+        q = _quantile_expr(v, QUARTILES, method, accuracy) if quantiles else \
+            F.array(*[F.lit(None).cast("double")] * len(QUARTILES))
         aggs += [F.count(v).alias(f"count{i}"), F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}"),
                  q.alias(f"q{i}")]
         if moments:
@@ -76,14 +77,15 @@ def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
 
 
 def numerical_summary(df: DataFrame, columns: list[str] | None = None, method: str = "exact",
-                      accuracy: int = 10_000) -> DataFrame:
+                      accuracy: int = 10_000, quantiles: bool = True) -> DataFrame:
     """``(column, count, mean, std, min, q25, q50, q75, max, skew, kurtosis)``.
 
     Sample std (ddof 1), bias-corrected skewness and excess kurtosis, missing/NaN
     ignored; undefined statistics are null. Full precision (round in the report).
+    ``quantiles=False`` skips the quartiles (null) when only moments are wanted.
     """
     columns = columns if columns is not None else numeric_columns(df)
-    row = numeric_stats_row(df, columns, method, accuracy)
+    row = numeric_stats_row(df, columns, method, accuracy, quantiles=quantiles)
     structs = [
         F.struct(
             F.lit(c).alias("column"), F.col(f"count{i}").alias("count"), F.col(f"mean{i}").alias("mean"),

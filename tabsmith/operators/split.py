@@ -70,42 +70,58 @@ def split_sizes(class_counts: dict, test_size: float, rounding: str = "ceil") ->
     return {c: class_counts[c] - train[c] for c in class_counts}
 
 
-def _thresholds(hdf: DataFrame, ranks: dict) -> dict:
-    """For each class, ``(T, k)``: T = h of the row with 1-based rank ``ranks[c]``;
-    k = how many rows with h == T come before it (0 unless keys repeat)."""
-    state = {c: ("", 0) for c in ranks}          # (prefix, rows before the prefix)
-    out = {}
-    depth = 0
-    while state:
-        depth += _PREFIX
+def _prefix_counts(hdf: DataFrame, state: dict | None, depth: int) -> dict:
+    """``{class: [(prefix, count), ...]}`` for the rows under each class's current prefix."""
+    src = hdf
+    if state is not None:
         cond = None
         for c, (prefix, _) in state.items():
             term = F.col("_cls").eqNullSafe(F.lit(c)) & F.col("_h").startswith(prefix)
             cond = term if cond is None else cond | term
-        counts = hdf.where(cond).groupBy("_cls", F.substring("_h", 1, depth).alias("_p")) \
-            .agg(F.count(F.lit(1)).alias("_n")).collect()
-        per: dict = {}
-        for r in counts:
-            per.setdefault(r["_cls"], []).append((r["_p"], r["_n"]))
-        nxt = {}
-        for c, (prefix, before) in state.items():
+        src = hdf.where(cond)
+    per: dict = {}
+    for r in src.groupBy("_cls", F.substring("_h", 1, depth).alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect():
+        per.setdefault(r["_cls"], []).append((r["_p"], r["_n"]))
+    return per
+
+
+def _thresholds(hdf: DataFrame, ranks: dict, level1: dict) -> dict:
+    """For each class, ``(T, k)``: T = h of the row with 1-based rank ``ranks[c]``;
+    k = how many rows with h == T come before it (0 unless keys repeat).
+
+    ``level1`` holds the first-level prefix counts already computed by the caller. Each
+    further level is one scan for all unresolved classes; the final small buckets of all
+    classes are listed in one scan.
+    """
+    state = {c: ("", 0) for c in ranks}
+    per, depth, out = level1, _PREFIX, {}
+    while state:
+        final, nxt = {}, {}
+        for c, (_, before) in state.items():
             run = before
             for p, n in sorted(per.get(c, [])):
                 if run + n >= ranks[c]:
-                    if n <= _LIST_LIMIT or depth >= 32:
-                        rows = hdf.where(F.col("_cls").eqNullSafe(F.lit(c)) & F.col("_h").startswith(p)) \
-                            .groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).collect()
-                        run2 = run
-                        for h, m in sorted((x["_h"], x["_n"]) for x in rows):
-                            if run2 + m >= ranks[c]:
-                                out[c] = (h, ranks[c] - run2 - 1)
-                                break
-                            run2 += m
-                    else:
-                        nxt[c] = (p, run)
+                    (final if (n <= _LIST_LIMIT or depth >= 32) else nxt)[c] = (p, run)
                     break
                 run += n
+        if final:
+            cond = None
+            for c, (p, _) in final.items():
+                term = F.col("_cls").eqNullSafe(F.lit(c)) & F.col("_h").startswith(p)
+                cond = term if cond is None else cond | term
+            listed: dict = {}
+            for r in hdf.where(cond).groupBy("_cls", "_h").agg(F.count(F.lit(1)).alias("_n")).collect():
+                listed.setdefault(r["_cls"], []).append((r["_h"], r["_n"]))
+            for c, (_, run) in final.items():
+                for h, m in sorted(listed.get(c, [])):
+                    if run + m >= ranks[c]:
+                        out[c] = (h, ranks[c] - run - 1)
+                        break
+                    run += m
         state = nxt
+        if state:
+            depth += _PREFIX
+            per = _prefix_counts(hdf, state, depth)
     return out
 
 
@@ -118,13 +134,14 @@ def assign_split(df: DataFrame, test_size: float = 0.2, seed: int = 42, stratify
     h = order_hash(df, key, seed)
     cls = col(stratify_by) if stratify_by else F.lit(0)
     hdf = df.select(cls.alias("_cls"), h.alias("_h"))
-    counts = {r["_cls"]: r["_n"] for r in hdf.groupBy("_cls").agg(F.count(F.lit(1)).alias("_n")).collect()}
+    level1 = _prefix_counts(hdf, None, _PREFIX)       # also yields the class sizes
+    counts = {c: sum(n for _, n in v) for c, v in level1.items()}
     if not counts:
         return df.withColumn(output, F.lit(None).cast("string"))
     n_test = split_sizes(counts, test_size, rounding)
     # rank of the first TRAIN row in each class that is not all-test / all-train
     ranks = {c: n_test[c] + 1 for c in counts if 0 < n_test[c] < counts[c]}
-    thr = _thresholds(hdf, ranks) if ranks else {}
+    thr = _thresholds(hdf, ranks, level1) if ranks else {}
     rows = []
     for c in counts:
         if n_test[c] == 0:

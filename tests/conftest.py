@@ -11,7 +11,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     s = (SparkSession.builder.master("local[4]").appName("tabsmith-tests")
-         .config("spark.ui.enabled", "false")
+         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
