@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions.columns import col, numeric_columns, numeric_value
-from tabsmith.operators.frequency import frequency_table, level_shares
+from tabsmith.operators.frequency import frequency_table, level_shares, unpivot_values
+from tabsmith.operators.quantiles import exact_quantiles
 
 
 def _auto_bins_params(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -21,12 +22,16 @@ def _auto_bins_params(df: DataFrame, columns: list[str]) -> DataFrame:
     width = min(Freedman-Diaconis, Sturges) (Sturges alone when IQR = 0);
     bins = ceil((hi - lo) / width); equal lo and hi widen to lo - 0.5, hi + 0.5.
     """
+    long = unpivot_values(df, columns, "double").withColumnRenamed("value", "v")
+    quart = {r["column"]: list(r["q"]) for r in exact_quantiles(long, ["column"], [0.25, 0.75]).collect()}
     aggs = []
     for i, c in enumerate(columns):
         v = numeric_value(c, df)
-        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
-                 F.percentile(v, F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{i}")]
-    row = df.agg(*aggs)
+        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+    row = df.agg(*aggs).select("*", *[
+        (F.array(*[F.lit(float(x)) for x in quart[c]]) if c in quart
+         else F.array(F.lit(None).cast("double"), F.lit(None).cast("double"))).alias(f"q{i}")
+        for i, c in enumerate(columns)])
     structs = []
     for i, c in enumerate(columns):
         n = F.col(f"n{i}").cast("double")
@@ -117,16 +122,14 @@ def box_stats(df: DataFrame, target: str, columns: list[str] | None = None, k: f
     """V3: per (column, class): ``q1, median, q3, whislo, whishi, n_fliers, n``.
 
     Whiskers are the most extreme values inside the 1.5 IQR fences (matplotlib's
-    rule); fliers are counted, not listed. Quartiles per group come from one grouped
-    aggregate and are joined back (one row per column x class).
+    rule); fliers are counted, not listed. Quartiles per (column, class) come from
+    exact distributed selection and are broadcast back (one row per column x class).
     """
     columns = columns if columns is not None else [c for c in numeric_columns(df) if c != target]
     long = df.select(col(target).alias("class"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), numeric_value(c, df).alias("v")) for c in columns
     ]))).where(F.col("v").isNotNull())
-    q = long.groupBy("column", "class").agg(
-        F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-        F.count(F.lit(1)).alias("n"))
+    q = exact_quantiles(long, ["column", "class"], [0.25, 0.5, 0.75])
     q = q.select("column", "class", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     q = q.withColumn("lo_f", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \

@@ -1,9 +1,11 @@
 """Profiling aggregates.
 
-Moments, extremes and quartiles of all numeric columns come from ONE aggregate
-(``exact``: Spark's ``percentile``, linear interpolation identical to pandas;
-``approx``: ``percentile_approx`` with bounded sketches). The result is stacked to
-one row per column without leaving the cluster. Outlier fences are a one-row table
+Moments and extremes of all numeric columns come from one aggregate, centred powers
+from a second. Quartiles: ``exact`` (default) selects the order statistics by
+distributed refinement (``quantiles.exact_quantiles``, no per-group value map);
+``percentile`` uses Spark's single-pass exact aggregate (fine when distinct values
+are few); ``approx`` uses ``percentile_approx`` sketches of fixed size. Interpolation
+is linear, identical to pandas. The result is stacked to one row per column. Outlier fences are a one-row table
 broadcast back, so the whole outlier count for all columns is a second single pass.
 """
 
@@ -13,7 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions.columns import categorical_columns, col, numeric_columns, numeric_value, percent
-from tabsmith.operators.frequency import frequency_table, level_shares, top_levels
+from tabsmith.operators.frequency import frequency_table, level_shares, top_levels, unpivot_values
+from tabsmith.operators.quantiles import exact_quantiles
 from tabsmith.session import spread
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -21,13 +24,20 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 def _quantile_expr(v, probs, method: str, accuracy: int):
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    if method == "exact":
+    if method == "percentile":
         return F.percentile(v, probs_arr)
     if method == "approx":
         return F.percentile_approx(v, probs_arr, accuracy)
     raise ValueError(f"unknown quantile method {method!r}")
 
 
+def _exact_quartiles(df: DataFrame, columns: list[str]) -> dict[str, list | None]:
+    """Exact quartiles of every column by distributed selection (no per-group value map)."""
+    long = unpivot_values(df, columns, "double").withColumnRenamed("value", "v")
+    got = {r["column"]: list(r["q"]) for r in exact_quantiles(long, ["column"], list(QUARTILES)).collect()}
+    return {c: got.get(c) for c in columns}
+
+
 def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
                       accuracy: int = 10_000, moments: bool = True, quantiles: bool = True) -> DataFrame:
     """One-row frame with ``<stat><i>`` fields for every column ``i``.
@@ -39,16 +49,27 @@ def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
     bias-corrected sample formulas; undefined cases are null, zero variance gives 0.
     """
     df = spread(df)
+    exact = _exact_quartiles(df, columns) if (quantiles and method == "exact") else None
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(columns):
         v = numeric_value(c, df)
-        q = _quantile_expr(v, QUARTILES, method, accuracy) if quantiles else \
-            F.array(*[F.lit(None).cast("double")] * len(QUARTILES))
-        aggs += [F.count(v).alias(f"count{i}"), F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}"),
-                 q.alias(f"q{i}")]
+        if not quantiles or (exact is not None and exact[c] is None):
+            q = F.array(*[F.lit(None).cast("double")] * len(QUARTILES))
+        elif exact is not None:
+            q = F.array(*[F.lit(float(x)) for x in exact[c]])
+        else:
+            q = _quantile_expr(v, QUARTILES, method, accuracy)
+        aggs += [F.count(v).alias(f"count{i}"), F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}")]
+        if exact is None:
+            aggs.append(q.alias(f"q{i}"))
         if moments:
             aggs.append(F.avg(v).alias(f"mean{i}"))
     first = df.agg(*aggs)
+    if exact is not None or not quantiles:
+        first = first.select("*", *[
+            (F.array(*[F.lit(float(x)) for x in exact[c]]) if exact is not None and exact[c] is not None
+             else F.array(*[F.lit(None).cast("double")] * len(QUARTILES))).alias(f"q{i}")
+            for i, c in enumerate(columns)])
     if not moments:
         return first
     means = F.broadcast(first.select(*[F.col(f"mean{i}").alias(f"_mu{i}") for i in range(len(columns))]))
