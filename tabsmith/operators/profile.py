@@ -13,11 +13,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabsmith.functions.columns import categorical_columns, col, numeric_columns, numeric_value, percent
 from tabsmith.operators.frequency import frequency_table, level_shares, top_levels, unpivot_values
 from tabsmith.operators.quantiles import exact_quantiles
-from tabsmith.session import spread
+from tabsmith.session import materialized
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -31,56 +32,63 @@ def _quantile_expr(v, probs, method: str, accuracy: int):
     raise ValueError(f"unknown quantile method {method!r}")
 
 
-def _exact_quartiles(df: DataFrame, columns: list[str]) -> dict[str, list | None]:
-    """Exact quartiles of every column by distributed selection (no per-group value map)."""
-    long = unpivot_values(df, columns, "double").withColumnRenamed("value", "v")
-    got = {r["column"]: list(r["q"]) for r in exact_quantiles(long, ["column"], list(QUARTILES)).collect()}
-    return {c: got.get(c) for c in columns}
-
-
 def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
                       accuracy: int = 10_000, moments: bool = True, quantiles: bool = True) -> DataFrame:
     """One-row frame with ``<stat><i>`` fields for every column ``i``.
 
-    Pass 1: count, min, max, mean and quartiles (one aggregate). Pass 2 (``moments``):
-    sums of centred powers ``(x - mean)^2..4`` against the pass-1 row broadcast to every
-    task - plain sums, so the aggregate stays small enough for whole-stage codegen, and
-    the two-pass form is the numerically accurate one. Skewness/kurtosis follow the
-    bias-corrected sample formulas; undefined cases are null, zero variance gives 0.
+    Pass 1: count, min, max and mean of every column (one aggregate). Quartiles: exact
+    selection seeded with pass 1's n/min/max, or a sketch/percentile inside pass 1.
+    Pass 2 (``moments``): sums of centred powers ``(x - mean)^2..4`` with the means as
+    literals - plain sums, small enough for whole-stage codegen, and the numerically
+    accurate two-pass form. The passes are actions on a (possibly cached) input; the
+    result is a one-row frame of scalars. Skewness/kurtosis are the bias-corrected
+    sample statistics; undefined cases are null, zero variance gives 0.
     """
-    df = spread(df)
-    exact = _exact_quartiles(df, columns) if (quantiles and method == "exact") else None
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(columns):
-        v = numeric_value(c, df)
-        if not quantiles or (exact is not None and exact[c] is None):
-            q = F.array(*[F.lit(None).cast("double")] * len(QUARTILES))
-        elif exact is not None:
-            q = F.array(*[F.lit(float(x)) for x in exact[c]])
-        else:
-            q = _quantile_expr(v, QUARTILES, method, accuracy)
-        aggs += [F.count(v).alias(f"count{i}"), F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}")]
-        if exact is None:
-            aggs.append(q.alias(f"q{i}"))
+    spark = df.sparkSession
+    with materialized(df) as d:
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        for i, c in enumerate(columns):
+            v = numeric_value(c, d)
+            aggs += [F.count(v).alias(f"count{i}"), F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}"),
+                     F.avg(v).alias(f"mean{i}")]
+            if quantiles and method != "exact":
+                aggs.append(_quantile_expr(v, QUARTILES, method, accuracy).alias(f"q{i}"))
+        first = d.agg(*aggs).first().asDict()
+        if quantiles and method == "exact":
+            long = unpivot_values(d, columns, "double").withColumnRenamed("value", "v")
+            seeds = {(c,): (first[f"count{i}"], first[f"min{i}"], first[f"max{i}"]) for i, c in enumerate(columns)}
+            got = {r["column"]: list(r["q"]) for r in
+                   exact_quantiles(long, ["column"], list(QUARTILES), stats=seeds).collect()}
+            for i, c in enumerate(columns):
+                first[f"q{i}"] = got.get(c)
+        elif not quantiles:
+            for i, _ in enumerate(columns):
+                first[f"q{i}"] = None
+        second = {}
         if moments:
-            aggs.append(F.avg(v).alias(f"mean{i}"))
-    first = df.agg(*aggs)
-    if exact is not None or not quantiles:
-        first = first.select("*", *[
-            (F.array(*[F.lit(float(x)) for x in exact[c]]) if exact is not None and exact[c] is not None
-             else F.array(*[F.lit(None).cast("double")] * len(QUARTILES))).alias(f"q{i}")
-            for i, c in enumerate(columns)])
+            sums = []
+            for i, c in enumerate(columns):
+                mu = first[f"mean{i}"]
+                dv = numeric_value(c, d) - F.lit(mu if mu is not None else 0.0)
+                sums += [F.sum(dv * dv).alias(f"s2_{i}"), F.sum(dv * dv * dv).alias(f"s3_{i}"),
+                         F.sum(dv * dv * dv * dv).alias(f"s4_{i}")]
+            second = d.agg(*sums).first().asDict()
+    fields = [T.StructField("_rows", T.LongType())]
+    values = [first["_rows"]]
+    for i, _ in enumerate(columns):
+        fields += [T.StructField(f"count{i}", T.LongType()), T.StructField(f"min{i}", T.DoubleType()),
+                   T.StructField(f"max{i}", T.DoubleType()), T.StructField(f"mean{i}", T.DoubleType()),
+                   T.StructField(f"q{i}", T.ArrayType(T.DoubleType()))]
+        q = first[f"q{i}"]
+        values += [first[f"count{i}"], first[f"min{i}"], first[f"max{i}"], first[f"mean{i}"],
+                   [float(x) if x is not None else None for x in q] if q is not None else [None] * len(QUARTILES)]
+        if moments:
+            fields += [T.StructField(f"s{k}_{i}", T.DoubleType()) for k in (2, 3, 4)]
+            values += [second[f"s{k}_{i}"] for k in (2, 3, 4)]
+    row = spark.createDataFrame([tuple(values)], T.StructType(fields))
     if not moments:
-        return first
-    means = F.broadcast(first.select(*[F.col(f"mean{i}").alias(f"_mu{i}") for i in range(len(columns))]))
-    joined = df.crossJoin(means)
-    sums = []
-    for i, c in enumerate(columns):
-        d = numeric_value(c, joined) - F.col(f"_mu{i}")
-        sums += [F.sum(d * d).alias(f"s2_{i}"), F.sum(d * d * d).alias(f"s3_{i}"),
-                 F.sum(d * d * d * d).alias(f"s4_{i}")]
-    second = joined.agg(*sums)
-    out = [F.col(c) for c in first.columns]
+        return row
+    out = [F.col(f.name) for f in fields]
     for i in range(len(columns)):
         n = F.col(f"count{i}").cast("double")
         m2, m3, m4 = F.col(f"s2_{i}") / n, F.col(f"s3_{i}") / n, F.col(f"s4_{i}") / n
@@ -94,7 +102,7 @@ def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
             F.when(n < 4, F.lit(None).cast("double")).when(flat, F.lit(0.0))
             .otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)).alias(f"kurt{i}"),
         ]
-    return first.crossJoin(second).select(*out)
+    return row.select(*out)
 
 
 def numerical_summary(df: DataFrame, columns: list[str] | None = None, method: str = "exact",

@@ -45,17 +45,20 @@ def _in_windows(long: DataFrame, frame: DataFrame, keys: list[str]) -> DataFrame
 
 
 def exact_quantiles(long: DataFrame, keys: list[str], probs: list[float], buckets: int = BUCKETS,
-                    list_limit: int = LIST_LIMIT) -> DataFrame:
+                    list_limit: int = LIST_LIMIT, stats: dict | None = None) -> DataFrame:
     """``keys + [n, q]``: exact interpolated quantiles of ``v`` per key group.
 
-    ``long`` holds the key columns and a non-null double column ``v``.
+    ``long`` holds the key columns and a non-null double column ``v``. ``stats`` may
+    pass ``{group tuple: (n, min, max)}`` already computed by the caller.
     """
     spark = long.sparkSession
     key_types = [long.schema[k].dataType for k in keys]
-    stats = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("v").alias("_mn"),
-                                    F.max("v").alias("_mx")).collect()
-    groups = [tuple(r[k] for k in keys) for r in stats]
-    info = {g: (r["_n"], r["_mn"], r["_mx"]) for g, r in zip(groups, stats)}
+    if stats is None:
+        rows = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("v").alias("_mn"),
+                                       F.max("v").alias("_mx")).collect()
+        stats = {tuple(r[k] for k in keys): (r["_n"], r["_mn"], r["_mx"]) for r in rows}
+    info = {g: v for g, v in stats.items() if v[0]}
+    groups = list(info)
     # targets: (group, rank) -> value ; open: target -> (window id, offset)
     values: dict = {}
     windows: dict = {}

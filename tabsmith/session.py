@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,3 +81,28 @@ def spread(df: DataFrame) -> DataFrame:
     except Exception:  # noqa: BLE001 - streaming or unsupported plans
         return df
     return df.repartition(want) if have < want else df
+
+
+@contextmanager
+def materialized(df: DataFrame):
+    """Context for operators that make several passes over an under-partitioned input.
+
+    When ``spread`` would repartition, the spread copy is persisted (memory, then disk)
+    for the passes and released on exit; a lost block is recomputed from lineage. On
+    inputs that already have enough partitions the frame is used as is (no cache).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        have = want
+    if have >= want:
+        yield df
+        return
+    from pyspark import StorageLevel
+
+    cached = df.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield cached
+    finally:
+        cached.unpersist()
