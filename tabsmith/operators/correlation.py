@@ -36,12 +36,14 @@ def _pairs(columns: list[str], diagonal: bool = False) -> list[tuple[int, int]]:
     return [(i, j) for i in range(k) for j in range(i if diagonal else i + 1, k)]
 
 
-def pearson_matrix(df: DataFrame, columns: list[str] | None = None, complete: bool | None = None) -> DataFrame:
+def pearson_matrix(df: DataFrame, columns: list[str] | None = None, complete: bool | None = None,
+                   means: list[float] | None = None) -> DataFrame:
     """``(col_x, col_y, corr)`` for every pair ``x`` before ``y`` in column order.
 
     ``complete`` (checked with one cheap count when unknown) selects the null-free form:
     one ``covar_pop`` per pair and one ``stddev_pop`` per column instead of masked
-    copies per pair, which keeps the aggregate inside whole-stage codegen.
+    copies per pair, which keeps the aggregate inside whole-stage codegen. Known
+    column ``means`` (e.g. ``(n + 1) / 2`` for average ranks) skip the first pass.
     """
     columns = columns if columns is not None else numeric_columns(df)
     pairs = _pairs(columns)
@@ -55,8 +57,11 @@ def pearson_matrix(df: DataFrame, columns: list[str] | None = None, complete: bo
     if complete:
         # no missing values: two passes - means, then plain sums of centred products
         # (one per pair and one per column): accurate, and small enough for codegen
-        means = F.broadcast(df.agg(*[F.avg(v).alias(f"_mu{i}") for i, v in enumerate(vals)]))
-        joined = df.crossJoin(means)
+        if means is not None:
+            joined = df.select("*", *[F.lit(float(m)).alias(f"_mu{i}") for i, m in enumerate(means)])
+        else:
+            mu = F.broadcast(df.agg(*[F.avg(v).alias(f"_mu{i}") for i, v in enumerate(vals)]))
+            joined = df.crossJoin(mu)
         d = [numeric_value(c, joined) - F.col(f"_mu{i}") for i, c in enumerate(columns)]
         sums = joined.agg(*[F.sum(d[i] * d[i]).alias(f"s{i}_{i}") for i in range(len(columns))],
                           *[F.sum(d[i] * d[j]).alias(f"s{i}_{j}") for i, j in pairs])
@@ -82,18 +87,25 @@ def _average_ranks(values: DataFrame, rows_per_block: int) -> DataFrame:
                          (F.col("before") + (F.col("cnt") + F.lit(1)) / F.lit(2.0)).alias("rank"))
 
 
-def _rank_columns(df: DataFrame, columns: list[str], rows_per_block: int) -> DataFrame:
-    """Replace each column by its average rank (complete rows assumed)."""
+def _rank_columns(df: DataFrame, columns: list[str], rows_per_block: int):
+    """Replace each column by its average rank (complete rows assumed).
+
+    Returns ``(ranked frame, rank table)``; the rank table (one row per distinct value
+    and column) is persisted because every column's join reads it - the caller
+    unpersists it once the result has been computed.
+    """
+    from pyspark import StorageLevel
+
     vals = df.select(*[numeric_value(c, df).alias(f"v{i}") for i, c in enumerate(columns)])
     long = vals.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("column"), F.col(f"v{i}").alias("value")) for i in range(len(columns))
     ])))
-    ranks = _average_ranks(long, rows_per_block)
+    ranks = _average_ranks(long, rows_per_block).persist(StorageLevel.MEMORY_AND_DISK)
     out = vals
     for i in range(len(columns)):
         r_i = ranks.where(F.col("column") == i).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"r{i}"))
         out = out.join(r_i, f"v{i}", "left")
-    return out.select(*[F.col(f"r{i}") for i in range(len(columns))])
+    return out.select(*[F.col(f"r{i}") for i in range(len(columns))]), ranks
 
 
 def spearman_matrix(df: DataFrame, columns: list[str] | None = None,
@@ -109,20 +121,29 @@ def spearman_matrix(df: DataFrame, columns: list[str] | None = None,
     if not pairs:
         return spark.createDataFrame([], "col_x string, col_y string, corr double")
     vals = [numeric_value(c, df) for c in columns]
-    nulls = df.agg(*[F.count_if(v.isNull()).alias(f"z{i}") for i, v in enumerate(vals)]).first()
+    nulls = df.agg(F.count(F.lit(1)).alias("_n"),
+                   *[F.count_if(v.isNull()).alias(f"z{i}") for i, v in enumerate(vals)]).first()
+    schema = "col_x string, col_y string, corr double"
     if all(nulls[f"z{i}"] == 0 for i in range(len(columns))):
-        ranked = _rank_columns(df, columns, rows_per_block)
-        return pearson_matrix(ranked.toDF(*columns), columns, complete=True)
-    parts = []
+        ranked, table = _rank_columns(df, columns, rows_per_block)
+        try:
+            # average ranks of n complete rows always have mean (n + 1) / 2: one pass suffices
+            centre = (nulls["_n"] + 1) / 2.0
+            rows = [tuple(r) for r in pearson_matrix(ranked.toDF(*columns), columns, complete=True,
+                                                     means=[centre] * len(columns)).collect()]
+        finally:
+            table.unpersist()
+        return spark.createDataFrame(rows, schema)
+    rows = []
     for i, j in pairs:
         both = df.where(vals[i].isNotNull() & vals[j].isNotNull())
-        ranked = _rank_columns(both, [columns[i], columns[j]], rows_per_block).toDF("x", "y")
-        parts.append(pearson_matrix(ranked, ["x", "y"], complete=True).select(
-            F.lit(columns[i]).alias("col_x"), F.lit(columns[j]).alias("col_y"), "corr"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        ranked, table = _rank_columns(both, [columns[i], columns[j]], rows_per_block)
+        try:
+            r = pearson_matrix(ranked.toDF("x", "y"), ["x", "y"], complete=True).first()
+        finally:
+            table.unpersist()
+        rows.append((columns[i], columns[j], r["corr"]))
+    return spark.createDataFrame(rows, schema)
 
 
 # ---------------------------------------------------------------- Kendall tau-b
