@@ -57,11 +57,9 @@ def pearson_matrix(df: DataFrame, columns: list[str] | None = None, complete: bo
     if complete:
         # no missing values: two passes - means, then plain sums of centred products
         # (one per pair and one per column): accurate, and small enough for codegen
-        if means is not None:
-            joined = df.select("*", *[F.lit(float(m)).alias(f"_mu{i}") for i, m in enumerate(means)])
-        else:
-            mu = F.broadcast(df.agg(*[F.avg(v).alias(f"_mu{i}") for i, v in enumerate(vals)]))
-            joined = df.crossJoin(mu)
+        if means is None:
+            means = list(df.agg(*[F.avg(v) for v in vals]).first())   # one row of scalars
+        joined = df.select("*", *[F.lit(m).cast("double").alias(f"_mu{i}") for i, m in enumerate(means)])
         d = [numeric_value(c, joined) - F.col(f"_mu{i}") for i, c in enumerate(columns)]
         sums = joined.agg(*[F.sum(d[i] * d[i]).alias(f"s{i}_{i}") for i in range(len(columns))],
                           *[F.sum(d[i] * d[j]).alias(f"s{i}_{j}") for i, j in pairs])

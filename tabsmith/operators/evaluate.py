@@ -26,12 +26,14 @@ def confusion_cells(pred: DataFrame, label: str = "label", prediction: str = "pr
     counts = pred.groupBy(col(label).alias("label"), col(prediction).alias("prediction")) \
         .agg(F.count(F.lit(1)).alias("cnt"))
     if labels is None:
+        # the label set of a classifier is tiny; read it from the (already small) cell table
         seen = counts.select(F.col("label").alias("v")).union(counts.select(F.col("prediction").alias("v"))) \
-            .where(F.col("v").isNotNull()).distinct()
-    else:
-        seen = pred.sparkSession.createDataFrame([(v,) for v in labels], "v " + pred.schema[label].dataType.simpleString())
-    grid = seen.select(F.col("v").alias("label")).crossJoin(seen.select(F.col("v").alias("prediction")))
-    return grid.join(counts, ["label", "prediction"], "left") \
+            .where(F.col("v").isNotNull()).distinct().collect()
+        labels = sorted(r["v"] for r in seen)
+    dtype = pred.schema[label].dataType.simpleString()
+    grid = pred.sparkSession.createDataFrame([(a, b) for a in labels for b in labels],
+                                             f"label {dtype}, prediction {dtype}")
+    return grid.join(F.broadcast(counts), ["label", "prediction"], "left") \
         .select("label", "prediction", F.coalesce("cnt", F.lit(0)).cast("long").alias("cnt"))
 
 

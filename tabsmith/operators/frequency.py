@@ -44,7 +44,5 @@ def top_levels(freq: DataFrame, top_n: int) -> DataFrame:
 def level_shares(df: DataFrame, column: str) -> DataFrame:
     """``(value, cnt, share)`` of one column; share over non-missing rows."""
     counts = frequency_table(df, [column]).select("value", "cnt")
-    total = counts.agg(F.sum("cnt").alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select(
-        "value", "cnt", (F.col("cnt") / F.col("total")).alias("share")
-    )
+    total = counts.agg(F.sum("cnt")).first()[0]     # one number
+    return counts.select("value", "cnt", F.try_divide(F.col("cnt").cast("double"), F.lit(total)).alias("share"))

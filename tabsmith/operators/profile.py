@@ -151,10 +151,10 @@ def outliers_iqr(df: DataFrame, column: str, k: float = 1.5, keep: list[str] | N
     Returns ``keep`` columns (default: just the column, like the reference) - pass key
     columns to keep row identity. The fence row is broadcast (one row, fixed size).
     """
-    f = fences(df, [column], k, method)
+    f = fences(df, [column], k, method).first()      # two scalars, used as literals
     v = numeric_value(column, df)
     cols = keep if keep is not None else [column]
-    flagged = df.crossJoin(F.broadcast(f.select("lo0", "hi0"))).where((v < F.col("lo0")) | (v > F.col("hi0")))
+    flagged = df.where((v < F.lit(f["lo0"])) | (v > F.lit(f["hi0"])))
     return flagged.select(*[col(c) for c in cols])
 
 
@@ -166,13 +166,12 @@ def outlier_summary(df: DataFrame, columns: list[str] | None = None, k: float =
     percentage is over *all* rows (missing included), null on empty input.
     """
     columns = columns if columns is not None else numeric_columns(df)
-    f = F.broadcast(fences(df, columns, k, method))
-    joined = df.crossJoin(f)
+    f = fences(df, columns, k, method).first()       # 2 scalars per column, used as literals
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(columns):
-        v = numeric_value(c, joined)
-        aggs.append(F.count_if((v < F.col(f"lo{i}")) | (v > F.col(f"hi{i}"))).alias(f"n{i}"))
-    row = joined.agg(*aggs)
+        v = numeric_value(c, df)
+        aggs.append(F.count_if((v < F.lit(f[f"lo{i}"])) | (v > F.lit(f[f"hi{i}"]))).alias(f"n{i}"))
+    row = df.agg(*aggs)
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n_outliers"),
                         percent(F.col(f"n{i}"), F.col("_rows")).alias("pct_outliers"))
                for i, c in enumerate(columns)]

@@ -125,10 +125,9 @@ def summary(df: DataFrame) -> DataFrame:
                        lambda x: x.isNotNull())
     constant = F.filter(F.array(*[F.when(F.col(f"k{i}"), F.lit(f.name)) for i, f in enumerate(fields)]),
                         lambda x: x.isNotNull())
-    base = wide.select("n_rows", F.lit(len(fields)).alias("n_columns"),
+    dups = duplicate_rows_count(df)
+    return wide.select("n_rows", F.lit(len(fields)).alias("n_columns"), F.lit(dups).cast("long").alias("n_duplicate_rows"),
                        missing.alias("columns_with_missing"), constant.alias("constant_columns"))
-    return base.crossJoin(duplicate_rows(df)).select(
-        "n_rows", "n_columns", "n_duplicate_rows", "columns_with_missing", "constant_columns")
 
 
 __all__ = [
