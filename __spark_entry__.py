@@ -80,6 +80,17 @@ def q_s3_null_tokens(spark, sf_dir):
     return _orders_tokens(spark, sf_dir)
 
 
+def q_s6_infer_types(spark, sf_dir):
+    from tabsmith.sources.loaders import infer_types
+
+    rows = []
+    for name in ("orders", "events"):
+        table = _t(spark, sf_dir, name)
+        text = table.select(*[col(c).cast("string").alias(c) for c in table.columns])  # as a text reader sees it
+        rows += [(name, f.name, f.dataType.simpleString()) for f in infer_types(text).schema.fields]
+    return spark.createDataFrame(rows, "table_name string, column string, inferred string")
+
+
 def q_a1_missing(spark, sf_dir):
     return _round_cols(quality.missing_values_report(_orders_tokens(spark, sf_dir)), ["missing_pct"], 6)
 
@@ -283,6 +294,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a8_skew": q_a8_skew,
     "a9_kurt": q_a9_kurt,
     "s3_null_tokens": q_s3_null_tokens,
+    "s6_infer_types": q_s6_infer_types,
     "a1_missing": q_a1_missing,
     "c2_mode_impute": q_c2_mode_impute,
     "c5_dedup_events": q_c5_dedup_events,

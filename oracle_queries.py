@@ -287,12 +287,36 @@ UNION ALL SELECT 'weighted avg', {r('sum(p * support) / sum(support)', 9)}, {r('
                  {r('sum(f * support) / sum(support)', 9)}, sum(support) FROM m"""
 
 
+# The text patterns a reader accepts as integer / floating numbers.
+INT_RE = r"^[+-]?[0-9]+$"
+FLOAT_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(inf|Inf|INF|infinity|Infinity)$"
+_TABLE_COLUMNS = {
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+}
+
+
+def _infer() -> str:
+    parts = []
+    for table, cols in _TABLE_COLUMNS.items():
+        for c in cols:
+            parts.append(f"""SELECT '{table}' AS table_name, '{c}' AS "column", CASE
+  WHEN count(v) = 0 THEN 'double'
+  WHEN bool_and(v IS NULL OR (regexp_full_match(v, '{INT_RE}') AND try_cast(v AS BIGINT) IS NOT NULL)) THEN 'bigint'
+  WHEN bool_and(v IS NULL OR regexp_full_match(v, '{FLOAT_RE}') OR v IN ('nan', 'NaN', '-nan', '-NaN')) THEN 'double'
+  WHEN bool_and(v IS NULL OR v IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false')) THEN 'boolean'
+  ELSE 'string' END AS inferred
+FROM (SELECT CAST({c} AS VARCHAR) AS v FROM {table})""")
+    return _union(parts)
+
+
 ORACLE: dict[str, str] = {
     "a7_summary": _a7(),
     "a8_skew": _moment("skewness", "skew"),
     "a9_kurt": _moment("kurtosis", "kurtosis"),
     "s3_null_tokens": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
   nullif(o_orderpriority, '{TOKEN}') AS o_orderpriority FROM orders""",
+    "s6_infer_types": _infer(),
     "a1_missing": f"""SELECT 'o_orderpriority' AS "column",
   count(*) FILTER (WHERE o_orderpriority = '{TOKEN}') AS missing_count,
   {r(f"count(*) FILTER (WHERE o_orderpriority = '{TOKEN}') * 100.0::DOUBLE / count(*)")} AS missing_pct

@@ -31,6 +31,9 @@ from tabsmith.operators.ranking import (
 )
 
 
+KENDALL_MAX_BLOCKS = 1024   # the (x-block, y-block) grid stays below 1M cells
+
+
 def _pairs(columns: list[str], diagonal: bool = False) -> list[tuple[int, int]]:
     k = len(columns)
     return [(i, j) for i in range(k) for j in range(i if diagonal else i + 1, k)]
@@ -227,7 +230,7 @@ def kendall_matrix(df: DataFrame, columns: list[str] | None = None,
                 .agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("t")).collect()}
         xbounds, ybounds = {}, {}
         for p, r in base.items():
-            blocks = block_count(r["ncells"], rows_per_block)
+            blocks = block_count(r["ncells"], rows_per_block, KENDALL_MAX_BLOCKS)
             if blocks > 1:
                 sub = cells.where(F.col("pair") == p)
                 xbounds[p] = sample_bounds(sub, ["x", "y"], blocks, r["ncells"], seed=23)

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BLOCK = 1_000_000
+MAX_BLOCKS = 4096          # bounds the CASE tree (depth 12) and the collected boundaries
 _SAMPLES_PER_BLOCK = 20
 
 
@@ -46,8 +47,10 @@ def _block_tree(key_cols: list[Column], bounds: list[tuple], lo: int, hi: int) -
         .otherwise(_block_tree(key_cols, bounds, mid, hi))
 
 
-def block_count(n_rows: int, rows_per_block: int = ROWS_PER_BLOCK) -> int:
-    return max(1, math.ceil(n_rows / rows_per_block))
+def block_count(n_rows: int, rows_per_block: int = ROWS_PER_BLOCK, max_blocks: int = MAX_BLOCKS) -> int:
+    """Blocks of about ``rows_per_block`` rows, at most ``max_blocks`` (larger blocks
+    beyond that: results stay exact, per-block sorts spill)."""
+    return max(1, min(max_blocks, math.ceil(n_rows / rows_per_block)))
 
 
 def sample_bounds(df: DataFrame, order_cols: list[str], blocks: int, n_rows: int, seed: int = 17) -> list[tuple]:
