@@ -25,7 +25,6 @@ from tabsmith.functions.columns import col
 from tabsmith.operators import chartdata, correlation, evaluate, profile, quality
 from tabsmith.operators.cleaning import CleaningPipeline, DropColumns, DropDuplicateRows, ModeImputer
 from tabsmith.operators.encoding import BinaryTargetEncoder, OneHotCategoricalEncoder, vector_one_hot
-from tabsmith.operators.frequency import frequency_table, top_levels
 from tabsmith.operators.scaling import StandardNumericalScaler
 from tabsmith.operators.split import assign_folds, assign_split, holdout
 from tabsmith.sources.loaders import apply_null_tokens

@@ -27,7 +27,7 @@ from tabsmith.functions.columns import numeric_columns, numeric_value
 from tabsmith.functions.stats import pairwise_pearson
 from tabsmith.session import spread
 from tabsmith.operators.ranking import (
-    ROWS_PER_BLOCK, block_count, prefix_before, range_blocks, sample_bounds, weighted_inversions,
+    ROWS_PER_BLOCK, block_count, prefix_before, sample_bounds, weighted_inversions,
 )
 
 
