@@ -184,7 +184,7 @@ def q_v1_histogram(spark, sf_dir):
 
 def q_v2_density(spark, sf_dir):
     out = chartdata.density_curve(_t(spark, sf_dir, "lineitem"), ["l_extendedprice"])
-    return _round_cols(out, ["x"], 6).withColumn("density", _r(F.col("density") * 1e6, 6))
+    return _round_cols(out, ["x"], 6).withColumn("density", _r(F.col("density") * F.lit(1e6), 6))
 
 
 def q_v3_box_stats(spark, sf_dir):
@@ -209,7 +209,8 @@ def q_f3_vector_one_hot(spark, sf_dir):
 
     orders = _t(spark, sf_dir, "orders").drop("o_orderdate")
     model = Pipeline(stages=vector_one_hot(["o_orderstatus", "o_orderpriority"], True)).fit(orders)
-    return model.transform(orders).select("o_orderkey", vector_to_array("onehot").alias("onehot"))
+    slots = F.transform(vector_to_array("onehot"), lambda x: x.cast("int").cast("string"))
+    return model.transform(orders).select("o_orderkey", F.array_join(slots, ",").alias("onehot"))
 
 
 def q_f6_scale(spark, sf_dir):

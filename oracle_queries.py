@@ -310,6 +310,47 @@ FROM (SELECT CAST({c} AS VARCHAR) AS v FROM {table})""")
     return _union(parts)
 
 
+SQRT_2PI = 2.5066282746310002
+
+
+def _density() -> str:
+    c = "l_extendedprice"
+    kernel = f"1e6 * sum(cnt * exp(-0.5 * ((x - centre) / bw) * ((x - centre) / bw)) / (n * bw * {SQRT_2PI}))"
+    return f"""WITH p AS (
+  SELECT count({c}) AS n, stddev_samp({c}) AS s, min({c})::DOUBLE AS lo, max({c})::DOUBLE AS hi FROM lineitem),
+q AS (SELECT n, lo, hi, s * pow(n::DOUBLE, -0.2) AS bw FROM p WHERE n > 1 AND s > 0),
+fine AS (
+  SELECT CAST(least(floor(({c} - lo) / ((hi - lo) / 2048)), 2047) AS BIGINT) AS b, count(*) AS cnt
+  FROM lineitem, q WHERE {c} IS NOT NULL GROUP BY 1),
+cen AS (SELECT lo + (b + 0.5) * (hi - lo) / 2048 AS centre, cnt FROM fine, q),
+g AS (SELECT CAST(i AS INTEGER) AS i, lo + i * (hi - lo) / 199 AS x FROM q, range(0, 200) t(i))
+SELECT '{c}' AS "column", i, {r('x')} AS x,
+  {r(kernel)} AS density
+FROM g, cen, q GROUP BY i, x"""
+
+
+_BUILD = f"""WITH t AS (
+  SELECT DISTINCT o_orderkey, o_custkey, o_totalprice,
+         CAST(coalesce(trim(o_orderstatus) = 'F', false) AS INTEGER) AS label,
+         coalesce(nullif(o_orderpriority, '{TOKEN}'), {_MODE}) AS pr
+  FROM orders),
+h AS (SELECT *, md5(concat_ws('|', '42', o_orderkey)) AS hh FROM t),
+cc AS (SELECT label AS cls, count(*) AS nc FROM h GROUP BY label),
+tot AS (SELECT sum(nc) AS n FROM cc),
+sz AS (SELECT n, CAST(ceil(0.2 * n) AS BIGINT) AS n_test, n - CAST(ceil(0.2 * n) AS BIGINT) AS n_train FROM tot),
+al AS (SELECT cls, nc, (nc * n_train) // n AS base, (nc * n_train) % n AS rem, n_train FROM cc, sz),
+lr AS (SELECT cls, nc, base, row_number() OVER (ORDER BY rem DESC, cls) AS pos,
+              n_train - sum(base) OVER () AS left_over FROM al),
+te AS (SELECT cls, nc - (base + CASE WHEN pos <= left_over THEN 1 ELSE 0 END) AS n_test_c FROM lr),
+rk AS (SELECT h.*, row_number() OVER (PARTITION BY label ORDER BY hh) AS rn FROM h)
+SELECT o_orderkey, o_custkey, o_totalprice, label,
+  CAST(pr = '2-HIGH' AS INTEGER) AS "o_orderpriority_2-HIGH",
+  CAST(pr = '3-MEDIUM' AS INTEGER) AS "o_orderpriority_3-MEDIUM",
+  CAST(pr = '5-LOW' AS INTEGER) AS "o_orderpriority_5-LOW",
+  CASE WHEN rn <= n_test_c THEN 'test' ELSE 'train' END AS split
+FROM rk JOIN te ON rk.label = te.cls"""
+
+
 ORACLE: dict[str, str] = {
     "a7_summary": _a7(),
     "a8_skew": _moment("skewness", "skew"),
@@ -351,9 +392,15 @@ WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""",
     "v6_balance": f"""SELECT CAST(toxic AS VARCHAR) AS value, count(*) AS cnt,
   {r('count(*)::DOUBLE / sum(count(*)) OVER ()', 9)} AS share FROM labels WHERE toxic IS NOT NULL GROUP BY toxic""",
     "v1_histogram": _histogram(),
+    "v2_density": _density(),
     "v3_box_stats": _box(),
     "f1_target": "SELECT o_orderkey, CAST(coalesce(trim(o_orderstatus) = 'F', false) AS INTEGER) AS label FROM orders",
     "f2_one_hot": _one_hot(),
+    "f3_vector_one_hot": """SELECT o_orderkey, concat_ws(',',
+  CAST(o_orderstatus = 'O' AS INTEGER), CAST(o_orderstatus = 'P' AS INTEGER),
+  CAST(o_orderpriority = '2-HIGH' AS INTEGER), CAST(o_orderpriority = '3-MEDIUM' AS INTEGER),
+  CAST(o_orderpriority = '4-NOT SPECIFIED' AS INTEGER), CAST(o_orderpriority = '5-LOW' AS INTEGER)) AS onehot
+FROM orders""",
     "f6_scale": _scale(),
     "f8_split": _f8(),
     "f9_split_plain": _f9(),
@@ -362,6 +409,7 @@ WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""",
     "e1_e4_metrics": _METRICS,
     "e6_confusion": _CONFUSION,
     "e5_report": _REPORT,
+    "w2_build_table": _BUILD,
     "w1_clean": f"""SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
   coalesce(nullif(o_orderpriority, '{TOKEN}'), {_MODE}) AS o_orderpriority FROM orders""",
 }

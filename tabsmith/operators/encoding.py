@@ -143,7 +143,8 @@ def vector_one_hot(columns: list[str], drop_first: bool = True, output_col: str
     vec = [f"{c}__vec" for c in columns]
     stages = [
         StringIndexer(inputCols=columns, outputCols=idx, stringOrderType="alphabetAsc", handleInvalid="keep"),
-        OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True, handleInvalid="keep"),
+        # the indexer's extra (null/unseen) index is the LAST category, which dropLast removes
+        OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True),
     ]
     if drop_first:
         sliced = []
