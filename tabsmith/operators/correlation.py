@@ -8,10 +8,10 @@
   table is at most the number of distinct values).
 * Kendall tau-b: Knight's formula ``S = n0 - n1 - n2 + n3 - 2 nd``. Tie totals are
   plain aggregates; the discordant count ``nd`` is the number of cell pairs ordered
-  differently by the total orders (x, y) and (y, x). Cells are cut into blocks along
-  both orders; pairs inside an x-block and inside a y-block are counted by
-  ``applyInPandas`` on one bounded block at a time, pairs across blocks from the
-  (blocks x blocks) grid of counts. No pair is ever materialised.
+  differently by the total orders (x, y) and (y, x), i.e. the inversions of the
+  (y, x)-rank sequence in (x, y) order. They are counted by a distributed merge sort:
+  a pandas pass inside bounded base blocks, then one distributed prefix sum per
+  higher bit of the x-rank. No pair is ever materialised; memory per task is bounded.
 """
 
 from __future__ import annotations
@@ -27,13 +27,10 @@ from tabsmith.functions.columns import numeric_columns, numeric_value
 from tabsmith.functions.stats import pairwise_pearson
 from tabsmith.session import spread
 from tabsmith.operators.ranking import (
-    ROWS_PER_BLOCK, block_count, prefix_before, sample_bounds, weighted_inversions,
+    ROWS_PER_BLOCK, prefix_before, weighted_inversions,
 )
 
 
-KENDALL_MAX_BLOCKS = 1024   # the (x-block, y-block) grid stays below 1M cells
-
-
 def _pairs(columns: list[str], diagonal: bool = False) -> list[tuple[int, int]]:
     k = len(columns)
     return [(i, j) for i in range(k) for j in range(i if diagonal else i + 1, k)]
@@ -149,50 +146,48 @@ def spearman_matrix(df: DataFrame, columns: list[str] | None = None,
 
 # ---------------------------------------------------------------- Kendall tau-b
 
-def _inversions_x(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Inside one x-block of one pair: cells in (x, y) order, inversions of their (y, x) order."""
-    pdf = pdf.sort_values(["x", "y"], kind="mergesort")
-    yorder = np.lexsort((pdf["x"].to_numpy(), pdf["y"].to_numpy()))
-    rank = np.empty(len(pdf), dtype=np.int64)
-    rank[yorder] = np.arange(len(pdf))
-    inv = weighted_inversions(rank, pdf["n"].to_numpy())
-    return pd.DataFrame({"pair": [int(key[0])], "inv": [str(inv)]})
-
-
-def _inversions_y(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    """Inside one y-block of one pair: cells in (y, x) order, pairs whose x-block order is reversed."""
-    pdf = pdf.sort_values(["y", "x"], kind="mergesort")
-    inv = weighted_inversions(pdf["xb"].to_numpy(), pdf["n"].to_numpy())
+def _base_inversions(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    """One base block of one pair: cells in x-order (``rx``), inversions of their y-order."""
+    pdf = pdf.sort_values("rx", kind="mergesort")
+    inv = weighted_inversions(pdf["ry"].to_numpy(), pdf["n"].to_numpy())
     return pd.DataFrame({"pair": [int(key[0])], "inv": [str(inv)]})
 
 
-def _grid_discordant(grid: np.ndarray) -> int:
-    """Pairs with x-block(a) < x-block(b) and y-block(a) > y-block(b), from block counts."""
-    g = grid.astype(object)
-    p = g.shape[0]
-    total = 0
-    # after[i][j] = sum of g[i', j'] over i' >= i and j' < j
-    after = np.zeros((p + 1, g.shape[1] + 1), dtype=object)
-    for i in range(p - 1, -1, -1):
-        row_cum = np.concatenate(([0], np.cumsum(g[i])))
-        after[i] = after[i + 1] + np.asarray(row_cum, dtype=object)
-    for i in range(p):
-        for j in range(g.shape[1]):
-            if g[i, j]:
-                total += int(g[i, j]) * int(after[i + 1][j])
-    return total
+def _discordant(cells: DataFrame, max_cells: int, rows_per_block: int) -> dict[int, int]:
+    """Weighted count of cell pairs with ``x_a < x_b`` and ``y_a > y_b``, per pair.
 
+    Distributed merge-sort inversion count: exact ranks ``rx`` (order x, y) and ``ry``
+    (order y, x); pairs inside a base block of ``2^L0 <= rows_per_block`` consecutive
+    ``rx`` are counted by one grouped pandas pass; pairs that first separate at bit
+    ``l >= L0`` of ``rx`` are counted per level as ``n_b * (left weight above ry_b)`` with
+    one distributed prefix sum. Per-task memory is bounded by ``rows_per_block``.
+    """
+    from pyspark import StorageLevel
 
-def _block_column(pair_bounds: dict, order: list[str]) -> F.Column:
-    """Per-pair block id (0 for pairs that fit one block)."""
-    expr = F.lit(0)
-    for p, bounds in pair_bounds.items():
-        if bounds:
-            keys = [F.col(c) for c in order]
-            from tabsmith.operators.ranking import _block_tree
-
-            expr = F.when(F.col("pair") == p, _block_tree(keys, bounds, 0, len(bounds))).otherwise(expr)
-    return expr
+    ranked = prefix_before(cells, ["pair"], ["x", "y"], None, "rx", rows_per_block)
+    ranked = prefix_before(ranked, ["pair"], ["y", "x"], None, "ry", rows_per_block) \
+        .select("pair", "rx", "ry", "n").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        base_bits = max(0, int(math.floor(math.log2(max(1, rows_per_block)))))
+        nd: dict[int, int] = {}
+        local = ranked.groupBy("pair", F.shiftright("rx", base_bits).alias("_g")) \
+            .applyInPandas(_base_inversions, "pair long, inv string")
+        for r in local.collect():
+            nd[r["pair"]] = nd.get(r["pair"], 0) + int(r["inv"])
+        top = max(1, int(math.ceil(math.log2(max(2, max_cells)))))
+        for level in range(base_bits, top):
+            side = F.shiftright("rx", level).bitwiseAND(F.lit(1))
+            t = ranked.select("pair", F.shiftright("rx", level + 1).alias("_p"), "ry", "n", side.alias("_s")) \
+                .withColumn("_w", F.when(F.col("_s") == 0, F.col("n")).otherwise(F.lit(0)))
+            left = t.groupBy("pair", "_p").agg(F.sum("_w").alias("_lw"))
+            below = prefix_before(t, ["pair", "_p"], ["ry"], "_w", "_lb", rows_per_block)
+            right = below.where(F.col("_s") == 1).join(left, ["pair", "_p"])
+            contrib = (F.col("n").cast("decimal(20,0)") * (F.col("_lw") - F.col("_lb")).cast("decimal(20,0)"))
+            for r in right.groupBy("pair").agg(F.sum(contrib).cast("string").alias("c")).collect():
+                nd[r["pair"]] = nd.get(r["pair"], 0) + int(r["c"])
+        return nd
+    finally:
+        ranked.unpersist()
 
 
 def kendall_matrix(df: DataFrame, columns: list[str] | None = None,
@@ -200,7 +195,7 @@ def kendall_matrix(df: DataFrame, columns: list[str] | None = None,
     """``(col_x, col_y, corr)`` Kendall tau-b for every pair (pairwise-complete).
 
     All pairs share each pass: one cell table ``(pair, x, y, n)``, one aggregate for
-    the tie totals, one grouped pandas pass per block direction. Results are a few
+    the tie totals and the discordant count of :func:`_discordant`. Results are a few
     scalars per pair, assembled into a small frame.
     """
     columns = columns if columns is not None else numeric_columns(df)
@@ -228,28 +223,8 @@ def kendall_matrix(df: DataFrame, columns: list[str] | None = None,
         ties = {(r["pair"], r["axis"]): int(r["t"]) for r in margins.groupBy("pair", "axis", "v")
                 .agg(F.sum("n").alias("m")).groupBy("pair", "axis")
                 .agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("t")).collect()}
-        xbounds, ybounds = {}, {}
-        for p, r in base.items():
-            blocks = block_count(r["ncells"], rows_per_block, KENDALL_MAX_BLOCKS)
-            if blocks > 1:
-                sub = cells.where(F.col("pair") == p)
-                xbounds[p] = sample_bounds(sub, ["x", "y"], blocks, r["ncells"], seed=23)
-                ybounds[p] = sample_bounds(sub, ["y", "x"], blocks, r["ncells"], seed=29)
-        tagged = cells.withColumn("xb", _block_column(xbounds, ["x", "y"])) \
-            .withColumn("yb", _block_column(ybounds, ["y", "x"]))
-        nd = {p: 0 for p in base}
-        for r in tagged.groupBy("pair", "xb").applyInPandas(_inversions_x, "pair long, inv string").collect():
-            nd[r["pair"]] += int(r["inv"])
-        multi = [p for p in xbounds if xbounds[p] or ybounds[p]]
-        if multi:
-            big = tagged.where(F.col("pair").isin(multi))
-            for r in big.groupBy("pair", "yb").applyInPandas(_inversions_y, "pair long, inv string").collect():
-                nd[r["pair"]] += int(r["inv"])
-            grids = {p: np.zeros((len(xbounds[p]) + 1, len(ybounds[p]) + 1), dtype=np.int64) for p in multi}
-            for r in big.groupBy("pair", "xb", "yb").agg(F.sum("n").alias("g")).collect():
-                grids[r["pair"]][r["xb"], r["yb"]] = r["g"]
-            for p in multi:
-                nd[p] += _grid_discordant(grids[p])
+        max_cells = max(r["ncells"] for r in base.values()) if base else 0
+        nd = _discordant(cells, max_cells, rows_per_block) if base else {}
     finally:
         cells.unpersist()
     rows = []
@@ -261,7 +236,7 @@ def kendall_matrix(df: DataFrame, columns: list[str] | None = None,
             n1, n2, n3 = ties.get((p, 0), 0), ties.get((p, 1), 0), int(base[p]["n3"])
             den = (n0 - n1) * (n0 - n2)
             if den > 0:
-                corr = (n0 - n1 - n2 + n3 - 2 * nd[p]) / math.sqrt(den)
+                corr = (n0 - n1 - n2 + n3 - 2 * nd.get(p, 0)) / math.sqrt(den)
         rows.append((columns[i], columns[j], corr))
     return spark.createDataFrame(rows, schema)
 
