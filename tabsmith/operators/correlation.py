@@ -25,12 +25,15 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.columns import numeric_columns, numeric_value
 from tabsmith.functions.stats import pairwise_pearson
-from tabsmith.session import spread
+from tabsmith.session import materialized, spread
 from tabsmith.operators.ranking import (
     ROWS_PER_BLOCK, prefix_before, weighted_inversions,
 )
 
 
+AGGS_PER_PASS = 512   # keeps each aggregate's generated code small; more pairs -> more passes
+
+
 def _pairs(columns: list[str], diagonal: bool = False) -> list[tuple[int, int]]:
     k = len(columns)
     return [(i, j) for i in range(k) for j in range(i if diagonal else i + 1, k)]
@@ -41,15 +44,23 @@ def pearson_matrix(df: DataFrame, columns: list[str] | None = None, complete: bo
     """``(col_x, col_y, corr)`` for every pair ``x`` before ``y`` in column order.
 
     ``complete`` (checked with one cheap count when unknown) selects the null-free form:
-    one ``covar_pop`` per pair and one ``stddev_pop`` per column instead of masked
-    copies per pair, which keeps the aggregate inside whole-stage codegen. Known
-    column ``means`` (e.g. ``(n + 1) / 2`` for average ranks) skip the first pass.
+    means first, then plain sums of centred products (one per pair and column) - the
+    accurate two-pass form, codegen-friendly. Known column ``means`` (e.g. ``(n + 1) / 2``
+    for average ranks) skip the first pass. With missing values each pair uses its own
+    complete rows (guarded co-moments). At most ``AGGS_PER_PASS`` aggregates run per
+    pass, so many columns mean more passes, never one giant generated aggregate. The
+    result (one row per pair) is computed eagerly and returned as a small frame.
     """
     columns = columns if columns is not None else numeric_columns(df)
     pairs = _pairs(columns)
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_x string, col_y string, corr double")
-    df = spread(df)
+    with materialized(df) as d:
+        return _pearson_rows(d, columns, pairs, complete, means)
+
+
+def _pearson_rows(df: DataFrame, columns: list[str], pairs: list, complete: bool | None,
+                  means: list[float] | None) -> DataFrame:
     vals = [numeric_value(c, df) for c in columns]
     if complete is None:
         complete = not any(df.schema[c].nullable for c in columns) or \
@@ -59,21 +70,25 @@ def pearson_matrix(df: DataFrame, columns: list[str] | None = None, complete: bo
         # (one per pair and one per column): accurate, and small enough for codegen
         if means is None:
             means = list(df.agg(*[F.avg(v) for v in vals]).first())   # one row of scalars
-        joined = df.select("*", *[F.lit(m).cast("double").alias(f"_mu{i}") for i, m in enumerate(means)])
-        d = [numeric_value(c, joined) - F.col(f"_mu{i}") for i, c in enumerate(columns)]
-        sums = joined.agg(*[F.sum(d[i] * d[i]).alias(f"s{i}_{i}") for i in range(len(columns))],
-                          *[F.sum(d[i] * d[j]).alias(f"s{i}_{j}") for i, j in pairs])
-        exprs = []
+        d = [numeric_value(c, df) - F.lit(m).cast("double") for c, m in zip(columns, means)]
+        terms = [(i, i) for i in range(len(columns))] + pairs
+        got: dict = {}
+        for start in range(0, len(terms), AGGS_PER_PASS):   # bounded aggregate width per pass
+            chunk = terms[start:start + AGGS_PER_PASS]
+            got.update(zip(chunk, df.agg(*[F.sum(d[i] * d[j]) for i, j in chunk]).first()))
+        rows = []
         for i, j in pairs:
-            den = F.sqrt(F.col(f"s{i}_{i}") * F.col(f"s{j}_{j}"))
-            exprs.append(F.when(den > 0, F.try_divide(F.col(f"s{i}_{j}"), den)))
-        row = sums.select(*[e.alias(f"r{n}") for n, e in enumerate(exprs)])
-    else:
-        exprs = [pairwise_pearson(vals[i], vals[j]) for i, j in pairs]
-        row = df.agg(*[e.alias(f"r{n}") for n, e in enumerate(exprs)])
-    structs = [F.struct(F.lit(columns[i]).alias("col_x"), F.lit(columns[j]).alias("col_y"),
-                        F.col(f"r{n}").alias("corr")) for n, (i, j) in enumerate(pairs)]
-    return row.select(F.inline(F.array(*structs)))
+            sx, sy, sxy = got[(i, i)], got[(j, j)], got[(i, j)]
+            ok = sx is not None and sy is not None and sx * sy > 0
+            rows.append((columns[i], columns[j], sxy / math.sqrt(sx * sy) if ok else None))
+        return df.sparkSession.createDataFrame(rows, "col_x string, col_y string, corr double")
+    per_pass = max(1, AGGS_PER_PASS // 3)                     # three co-moments per pair
+    rows = []
+    for start in range(0, len(pairs), per_pass):
+        chunk = pairs[start:start + per_pass]
+        vals_row = df.agg(*[pairwise_pearson(vals[i], vals[j]) for i, j in chunk]).first()
+        rows += [(columns[i], columns[j], v) for (i, j), v in zip(chunk, vals_row)]
+    return df.sparkSession.createDataFrame(rows, "col_x string, col_y string, corr double")
 
 
 def _average_ranks(values: DataFrame, rows_per_block: int) -> DataFrame:

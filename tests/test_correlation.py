@@ -77,3 +77,12 @@ def test_heatmap_is_symmetric_with_diagonal(spark):
     assert len(cells) == 9
     assert cells[("a", "a")] == 1.0
     assert cells[("a", "b")] == cells[("b", "a")]
+
+
+def test_many_columns_are_chunked_into_passes(spark):
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame(rng.normal(0, 1, (60, 40)), columns=[f"c{i}" for i in range(40)])
+    got = correlation.pearson_matrix(spark.createDataFrame(pdf)).collect()
+    assert len(got) == 40 * 39 // 2            # 820 pair sums + 40 squares > one pass
+    ref = pdf.corr()
+    assert all(math.isclose(r["corr"], ref.loc[r["col_x"], r["col_y"]], rel_tol=1e-9, abs_tol=1e-12) for r in got)
