@@ -102,3 +102,15 @@ def test_streaming_applies_fitted_stages(spark, tmp_path):
     q.stop()
     rows = sorted(tuple(r) for r in spark.sql("select k, salary, cat_a, cat_b from prepared").collect())
     assert rows == [(1, 1, 1, 0), (2, 0, 0, 1), (3, 0, 1, 0)]
+
+
+def test_gbt_early_stopping_with_holdout_column(spark):
+    from tabsmith.operators.split import holdout
+    from tabsmith.plans.models import build_pipeline
+
+    rows = [(float(i), int(i % 10 >= 5)) for i in range(200)]
+    df = holdout(spark.createDataFrame(rows, "x double, label int"), 0.2, 3, ["x"], "is_val")
+    model = build_pipeline("gbt", ["x"], ["x"], "label", n_estimators=50, max_depth=2,
+                           validation_col="is_val").fit(df)
+    gbt = model.stages[-1]
+    assert gbt.getNumTrees <= 50 and gbt.getOrDefault("validationIndicatorCol") == "is_val"
