@@ -92,6 +92,10 @@ def prefix_before(df: DataFrame, part_cols: list[str], order_cols: list[str], we
     w_col = F.col(weight) if weight else F.lit(1)
     n = df.count()
     blocks = block_count(n, rows_per_block)
+    if blocks == 1:
+        # the whole input fits one block: a plain window per part is exact and bounded
+        w1 = Window.partitionBy(*part_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.coalesce(F.sum(w_col.cast("long")).over(w1), F.lit(0)).cast("long"))
     bounds = sample_bounds(df, part_cols + order_cols, blocks, n, seed)
     tagged = range_blocks(df, part_cols + order_cols, bounds, "_blk").withColumn("_w", w_col.cast("long"))
     totals = tagged.groupBy("_blk", *part_cols).agg(F.sum("_w").alias("_tot"))
