@@ -68,6 +68,31 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
+# Logical operators whose output is already shuffle-partitioned (or whose partition count
+# would need execution to learn under AQE).
+_SHUFFLED = ("Join", "Aggregate", "Window", "Repartition", "Sort", "Union", "Expand", "Deduplicate",
+             "Sample", "Limit", "Distinct", "Intersect", "Except", "LocalRelation", "LogicalRDD")
+
+
+def _scan_partitions(df: DataFrame) -> int | None:
+    """Partition count of a plain scan (project/filter/generate over files), else None.
+
+    Asking a plan with shuffles for its RDD would run its stages under AQE, so those
+    plans are not inspected: their partitioning comes from the shuffle anyway.
+    """
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().treeString()
+    except Exception:  # noqa: BLE001
+        return None
+    nodes = {line.strip(" :+-!").split(" ")[0] for line in plan.splitlines() if line.strip()}
+    if any(n.startswith(_SHUFFLED) for n in nodes):
+        return None
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - streaming or unsupported plans
+        return None
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin an under-partitioned input over the cluster's cores.
 
@@ -76,11 +101,8 @@ def spread(df: DataFrame) -> DataFrame:
     least as many partitions as cores and this is a no-op (no extra shuffle).
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - streaming or unsupported plans
-        return df
-    return df.repartition(want) if have < want else df
+    have = _scan_partitions(df)
+    return df.repartition(want) if have is not None and have < want else df
 
 
 @contextmanager
@@ -92,11 +114,8 @@ def materialized(df: DataFrame):
     inputs that already have enough partitions the frame is used as is (no cache).
     """
     want = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        have = want
-    if have >= want:
+    have = _scan_partitions(df)
+    if have is None or have >= want:
         yield df
         return
     from pyspark import StorageLevel
