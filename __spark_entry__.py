@@ -289,6 +289,71 @@ def q_m3_mlp_score(spark, sf_dir):
     return score_holdout(_t(spark, sf_dir, "lineitem"), "mlp", quick=True)
 
 
+# Rule "models" predicting l_returnflag = 'R' on lineitem: inputs for comparing models
+# (E7, V7, O4) without training. The last one never predicts the positive class
+# (zero-division path).
+def _rule_models():
+    return [
+        ("discount_ge_005", F.col("l_discount") >= 0.05),
+        ("quantity_gt_25", F.col("l_quantity") > 25),
+        ("tax_lt_004", F.col("l_tax") < 0.04),
+        ("never_positive", F.lit(False)),
+    ]
+
+
+def _rule_scored(spark, sf_dir) -> DataFrame:
+    li = _t(spark, sf_dir, "lineitem")
+    return li.select((F.col("l_returnflag") == "R").cast("int").alias("label"),
+                     *[e.cast("int").alias(n) for n, e in _rule_models()])
+
+
+def _rule_metrics(spark, sf_dir) -> DataFrame:
+    return evaluate.model_metrics(_rule_scored(spark, sf_dir), "label", [n for n, _ in _rule_models()])
+
+
+def q_e7_compare(spark, sf_dir):
+    return _round_cols(_rule_metrics(spark, sf_dir), ["accuracy", "precision", "recall", "f1"], 9)
+
+
+def q_v7_confusion_models(spark, sf_dir):
+    return evaluate.model_confusion(_rule_scored(spark, sf_dir), "label", [n for n, _ in _rule_models()])
+
+
+def q_o4_best_model(spark, sf_dir):
+    best = evaluate.best_model(_rule_metrics(spark, sf_dir))
+    return _round_cols(best.select("run_order", "model", "f1"), ["f1"], 9)
+
+
+def q_c3_mode(spark, sf_dir):
+    from tabsmith.operators.cleaning import mode_table
+
+    return mode_table(_t(spark, sf_dir, "part"), ["p_brand", "p_type", "p_size", "p_name"])
+
+
+def q_a17_missing_one(spark, sf_dir):
+    out = quality.missing_count(_orders_tokens(spark, sf_dir), "o_orderpriority")
+    return _round_cols(out, ["missing_pct"], 6)
+
+
+def q_s5_strip(spark, sf_dir):
+    from tabsmith.sources.loaders import strip_string_values
+
+    return strip_string_values(_t(spark, sf_dir, "documents"))
+
+
+def q_s2_csv_scan(spark, sf_dir):
+    """S2-S6 end to end: Spark writes ``orders`` as CSV text into the shared folder, the
+    CSV loader reads it back (header, null tokens, strip, one-pass type inference)."""
+    import uuid
+
+    from tabsmith.session import shared_path
+    from tabsmith.sources.loaders import CSVDataLoader
+
+    path = shared_path(spark, f"s2-orders-csv-{uuid.uuid4().hex}")
+    _t(spark, sf_dir, "orders").drop("o_orderdate").write.option("header", True).csv(path)
+    return CSVDataLoader(path, null_tokens=[PRIORITY_TOKEN]).load(spark)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a7_summary": q_a7_summary,
     "a8_skew": q_a8_skew,
@@ -332,6 +397,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "w2_build_table": q_w2_build_table,
     "m2_gbt_score": q_m2_gbt_score,
     "m3_mlp_score": q_m3_mlp_score,
+    "e7_compare": q_e7_compare,
+    "v7_confusion_models": q_v7_confusion_models,
+    "o4_best_model": q_o4_best_model,
+    "c3_mode": q_c3_mode,
+    "a17_missing_one": q_a17_missing_one,
+    "s5_strip": q_s5_strip,
+    "s2_csv_scan": q_s2_csv_scan,
 }
 
 

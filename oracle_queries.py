@@ -351,6 +351,62 @@ SELECT o_orderkey, o_custkey, o_totalprice, label,
 FROM rk JOIN te ON rk.label = te.cls"""
 
 
+# Same rules as _rule_models() in __spark_entry__.py, in run order.
+RULES = [
+    ("discount_ge_005", "l_discount >= 0.05"),
+    ("quantity_gt_25", "l_quantity > 25"),
+    ("tax_lt_004", "l_tax < 0.04"),
+    ("never_positive", "false"),
+]
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"coalesce(CAST({num} AS DOUBLE) / nullif(CAST({den} AS DOUBLE), 0), 0.0)"
+
+
+def _rule_counts() -> str:
+    preds = ", ".join(f"CAST({e} AS INTEGER) AS p{i}" for i, (_, e) in enumerate(RULES))
+    parts = [
+        f"""SELECT {i} AS run_order, '{n}' AS model, count(*) AS n,
+  count(*) FILTER (WHERE y = 1 AND p{i} = 1) AS tp, count(*) FILTER (WHERE y <> 1 AND p{i} = 1) AS fp,
+  count(*) FILTER (WHERE y = 1 AND p{i} <> 1) AS fn, count(*) FILTER (WHERE y <> 1 AND p{i} <> 1) AS tn FROM s"""
+        for i, (n, _) in enumerate(RULES)]
+    return f"""s AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, {preds} FROM lineitem),
+c AS ({_union(parts)}),
+m AS (SELECT run_order, model, n, tp, fp, fn, tn, {_ratio('tp + tn', 'n')} AS accuracy,
+  {_ratio('tp', 'tp + fp')} AS precision, {_ratio('tp', 'tp + fn')} AS recall,
+  {_ratio('2 * tp', '2 * tp + fp + fn')} AS f1 FROM c)"""
+
+
+_E7 = f"""WITH {_rule_counts()}
+SELECT run_order, model, n, tp, fp, fn, tn, {r('accuracy', 9)} AS accuracy, {r('precision', 9)} AS precision,
+  {r('recall', 9)} AS recall, {r('f1', 9)} AS f1 FROM m"""
+
+_V7 = f"""WITH {_rule_counts()}
+SELECT model, 0 AS label, 0 AS prediction, tn AS cnt FROM m
+UNION ALL SELECT model, 0, 1, fp FROM m
+UNION ALL SELECT model, 1, 0, fn FROM m
+UNION ALL SELECT model, 1, 1, tp FROM m"""
+
+_O4 = f"""WITH {_rule_counts()}
+SELECT run_order, model, {r('f1', 9)} AS f1 FROM m ORDER BY f1 DESC, run_order LIMIT 1"""
+
+
+def _mode(table: str, cols: list[str]) -> str:
+    return _union([f"""SELECT * FROM (SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS cnt
+  FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)""" for c in cols])
+
+
+# Python's str.isspace() set (what the strip removes): the Unicode White_Space
+# characters plus U+001C..U+001F.
+_WS = [9, 10, 11, 12, 13, 0x1C, 0x1D, 0x1E, 0x1F, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+       0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+_WS_SQL = " || ".join(f"chr({c})" for c in _WS)
+
+
+def _trim(c: str) -> str:
+    return f"trim({c}, {_WS_SQL})"
+
 ORACLE: dict[str, str] = {
     "a7_summary": _a7(),
     "a8_skew": _moment("skewness", "skew"),
@@ -410,6 +466,18 @@ FROM orders""",
     "e6_confusion": _CONFUSION,
     "e5_report": _REPORT,
     "w2_build_table": _BUILD,
+    "e7_compare": _E7,
+    "v7_confusion_models": _V7,
+    "o4_best_model": _O4,
+    "c3_mode": _mode("part", ["p_brand", "p_type", "p_size", "p_name"]),
+    "a17_missing_one": f"""SELECT 'o_orderpriority' AS "column",
+  count(*) FILTER (WHERE o_orderpriority = '{TOKEN}') AS missing_count,
+  {r(f"count(*) FILTER (WHERE o_orderpriority = '{TOKEN}') * 100.0::DOUBLE / count(*)")} AS missing_pct
+FROM orders""",
+    "s5_strip": f"""SELECT doc_id, {_trim('text')} AS text, {_trim('lang')} AS lang, {_trim('source')} AS source,
+  n_chars FROM documents""",
+    "s2_csv_scan": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+  nullif(o_orderpriority, '{TOKEN}') AS o_orderpriority FROM orders""",
     "w1_clean": f"""SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
   coalesce(nullif(o_orderpriority, '{TOKEN}'), {_MODE}) AS o_orderpriority FROM orders""",
 }

@@ -28,21 +28,20 @@ class DropColumns:
         return df.drop(*present) if present else df
 
 
-def mode_values(df: DataFrame, columns: list[str]) -> dict[str, object]:
-    """Most frequent non-missing value per column, ties -> smallest value.
+def _mode_by_type(df: DataFrame, columns: list[str]) -> list[DataFrame]:
+    """One ``(column, value)`` frame per value type: the winner of each column.
 
     Columns of one type are unpivoted together and counted in one shuffle; the winner
     per column is ``min(struct(-cnt, value))`` - an ordinary partial aggregate, so a
-    high-cardinality column never builds a value map inside one task. All-missing
-    columns map to None.
+    high-cardinality column never builds a value map inside one task, and a value that
+    holds a third of all rows is one partial row per task. Ties -> smallest value in
+    the column's own order.
     """
-    if not columns:
-        return {}
     by_type: dict[str, list[str]] = {}
     for c in columns:
         by_type.setdefault(dtype_of(df, c).simpleString(), []).append(c)
-    result: dict[str, object] = {c: None for c in columns}
-    for type_name, names in by_type.items():
+    frames = []
+    for names in by_type.values():
         cells = F.array(*[
             F.struct(F.lit(c).alias("column"),
                      F.when(~is_missing(col(c), dtype_of(df, c)), col(c)).alias("value"))
@@ -51,7 +50,37 @@ def mode_values(df: DataFrame, columns: list[str]) -> dict[str, object]:
         freq = df.select(F.inline(cells)).where(F.col("value").isNotNull()) \
             .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
         best = freq.groupBy("column").agg(F.min(F.struct((-F.col("cnt")).alias("k"), F.col("value"))).alias("m"))
-        for r in best.select("column", F.col("m.value").alias("value")).collect():
+        frames.append(best.select("column", F.col("m.value").alias("value"), (-F.col("m.k")).alias("cnt")))
+    return frames
+
+
+def mode_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """C3 as a lazy table: ``(column, value, cnt)`` per column, value as text.
+
+    All-missing columns have no row. Nothing is collected.
+    """
+    columns = list(columns) if columns is not None else list(df.columns)
+    if not columns:
+        raise ValueError("no columns")
+    frames = [f.select("column", F.col("value").cast("string").alias("value"), "cnt")
+              for f in _mode_by_type(df, columns)]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def mode_values(df: DataFrame, columns: list[str]) -> dict[str, object]:
+    """Most frequent non-missing value per column, ties -> smallest value.
+
+    Values keep their column's type; all-missing columns map to None. The driver
+    receives one row per column.
+    """
+    if not columns:
+        return {}
+    result: dict[str, object] = {c: None for c in columns}
+    for best in _mode_by_type(df, columns):
+        for r in best.collect():
             result[r["column"]] = r["value"]
     return result
 

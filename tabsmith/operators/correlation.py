@@ -161,7 +161,7 @@ def spearman_matrix(df: DataFrame, columns: list[str] | None = None,
 
 # ---------------------------------------------------------------- Kendall tau-b
 
-def _base_inversions(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _base_inversions(key, pdf):
     """One base block of one pair: cells in x-order (``rx``), inversions of their y-order."""
     pdf = pdf.sort_values("rx", kind="mergesort")
     inv = weighted_inversions(pdf["ry"].to_numpy(), pdf["n"].to_numpy())

@@ -123,3 +123,68 @@ class Evaluator:
             if best_f1 is None or m["f1"] > best_f1:
                 best_name, best_f1 = name, m["f1"]
         return best_name
+
+
+def _prediction_columns(predictions) -> list[tuple[str, object]]:
+    if isinstance(predictions, dict):
+        items = list(predictions.items())
+    else:  # column names (model = column) or (name, column) pairs
+        items = [(p, p) if isinstance(p, str) else tuple(p) for p in predictions]
+    if not items:
+        raise ValueError("no models to compare")
+    names = [n for n, _ in items]
+    if len(set(names)) != len(names):
+        raise ValueError(f"duplicate model names: {names}")
+    return [(n, col(p) if isinstance(p, str) else p) for n, p in items]
+
+
+def model_metrics(pred: DataFrame, label: str, predictions, positive=1) -> DataFrame:
+    """``(run_order, model, n, tp, fp, fn, tn, accuracy, precision, recall, f1)``.
+
+    ``predictions`` maps model name -> prediction column, or lists column names or
+    ``(name, column)`` pairs; the given order is the run order. Every model is scored in ONE aggregate over the
+    scored table (partial on the map side, one tiny final row), stacked with ``inline``;
+    adding a model adds four counters, not a job.
+    """
+    items = _prediction_columns(predictions)
+    y, pos = col(label), F.lit(positive)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, (_, p) in enumerate(items):
+        aggs += [F.count_if((y == pos) & (p == pos)).alias(f"tp{i}"),
+                 F.count_if((y != pos) & (p == pos)).alias(f"fp{i}"),
+                 F.count_if((y == pos) & (p != pos)).alias(f"fn{i}"),
+                 F.count_if((y != pos) & (p != pos)).alias(f"tn{i}")]
+    row = pred.agg(*aggs)
+    long = row.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("run_order"), F.lit(name).alias("model"), F.col("n").alias("n"),
+                 *[F.col(f"{k}{i}").alias(k) for k in ("tp", "fp", "fn", "tn")])
+        for i, (name, _) in enumerate(items)
+    ])))
+    tp, fp, fn, tn = (F.col(k) for k in ("tp", "fp", "fn", "tn"))
+    return long.select(
+        "run_order", "model", "n", "tp", "fp", "fn", "tn",
+        _ratio(tp + tn, F.col("n")).alias("accuracy"),
+        _ratio(tp, tp + fp).alias("precision"),
+        _ratio(tp, tp + fn).alias("recall"),
+        _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
+    )
+
+
+def model_confusion(pred: DataFrame, label: str, predictions, positive=1, negative=0) -> DataFrame:
+    """V7: ``(model, label, prediction, cnt)``, the 2x2 cells of every model, zero-filled.
+
+    Derived from :func:`model_metrics` (same single pass); rows whose label or
+    prediction is neither class count in no cell.
+    """
+    m = model_metrics(pred, label, predictions, positive)
+    pos, neg = F.lit(positive), F.lit(negative)
+    cells = F.array(*[
+        F.struct(a.alias("label"), b.alias("prediction"), F.col(k).alias("cnt"))
+        for a, b, k in ((neg, neg, "tn"), (neg, pos, "fp"), (pos, neg, "fn"), (pos, pos, "tp"))
+    ])
+    return m.select("model", F.inline(cells))
+
+
+def best_model(metrics: DataFrame, metric: str = "f1") -> DataFrame:
+    """The row with the highest ``metric``; the earliest run wins ties."""
+    return metrics.orderBy(F.desc(metric), F.asc("run_order")).limit(1)

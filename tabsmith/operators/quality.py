@@ -35,6 +35,11 @@ def missing_counts(df: DataFrame) -> DataFrame:
                        percent(F.col("missing_count"), F.col("_rows")).alias("missing_pct"))
 
 
+def missing_count(df: DataFrame, column: str) -> DataFrame:
+    """``(column, missing_count, missing_pct)`` of one column (null, or NaN for floats)."""
+    return missing_counts(df.select(col(column)))
+
+
 def missing_values_report(df: DataFrame) -> DataFrame:
     """Columns with missing values, count desc then name."""
     return missing_counts(df).where("missing_count > 0").orderBy(F.desc("missing_count"), "column")

@@ -123,3 +123,23 @@ class TestOneHot:
         df = spark.createDataFrame([(str(i),) for i in range(10)], "s string")
         with pytest.raises(ValueError):
             OneHotCategoricalEncoder(maxLevels=5).fit(df)
+
+
+def test_mode_table_ties_types_and_all_missing(spark):
+    from tabsmith.operators.cleaning import mode_table, mode_values
+
+    df = spark.createDataFrame(
+        [("b", 10, None), ("a", 2, None), (None, 10, None), ("a", 2, None), ("b", 3, None)],
+        "s string, i int, empty double")
+    got = {r["column"]: (r["value"], r["cnt"]) for r in mode_table(df).collect()}
+    # ties broken by the smallest value in the column's own order (2 < 10 as numbers)
+    assert got == {"s": ("a", 2), "i": ("2", 2)}
+    assert mode_values(df, ["s", "i", "empty"]) == {"s": "a", "i": 2, "empty": None}
+
+
+def test_missing_count_one_column(spark):
+    from tabsmith.operators.quality import missing_count
+
+    df = spark.createDataFrame([(1.0, "x"), (float("nan"), None), (None, "y"), (2.0, None)], "v double, s string")
+    r = missing_count(df, "v").first()
+    assert (r["column"], r["missing_count"], r["missing_pct"]) == ("v", 2, 50.0)
