@@ -219,6 +219,15 @@ def q_f6_scale(spark, sf_dir):
     return _round_cols(out, LINEITEM_MEASURES, 6)
 
 
+def q_f7_scale_holdout(spark, sf_dir):
+    """fit on the train split, transform the test split with the train statistics."""
+    li = _t(spark, sf_dir, "lineitem").select(*LINEITEM_KEY, "l_returnflag", *LINEITEM_MEASURES)
+    marked = assign_split(li, 0.2, SEED, "l_returnflag", LINEITEM_KEY)
+    model = StandardNumericalScaler(columns=LINEITEM_MEASURES).fit(marked.where("split = 'train'"))
+    out = model.transform(marked.where("split = 'test'")).select(*LINEITEM_KEY, *LINEITEM_MEASURES)
+    return _round_cols(out, LINEITEM_MEASURES, 6)
+
+
 def q_f8_split(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     out = assign_split(li, 0.2, SEED, "l_returnflag", LINEITEM_KEY)
@@ -397,6 +406,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "w2_build_table": q_w2_build_table,
     "m2_gbt_score": q_m2_gbt_score,
     "m3_mlp_score": q_m3_mlp_score,
+    "f7_scale_holdout": q_f7_scale_holdout,
     "e7_compare": q_e7_compare,
     "v7_confusion_models": q_v7_confusion_models,
     "o4_best_model": q_o4_best_model,

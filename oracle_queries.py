@@ -249,6 +249,22 @@ def _scale() -> str:
     return f"SELECT {KEY}, {cols} FROM lineitem, (SELECT {stats} FROM lineitem) s"
 
 
+
+def _f7() -> str:
+    """Scale the test split with statistics of the train split."""
+    keys = [k.strip() for k in KEY.split(",")]
+    on = " AND ".join(f"l.{k} = sp.{k}" for k in keys)
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in LINEITEM_MEASURES)
+    cols = ", ".join(
+        f"{r(f'({c} - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END')} AS {c}"
+        for c in LINEITEM_MEASURES)
+    return f"""WITH {_split_cte('l_returnflag', 42)},
+sp AS (SELECT {KEY}, CASE WHEN rn <= n_test_c THEN 'test' ELSE 'train' END AS split FROM rk JOIN te USING (cls)),
+d AS (SELECT {", ".join("l." + k for k in keys)}, {", ".join(LINEITEM_MEASURES)}, sp.split
+      FROM lineitem l JOIN sp ON {on}),
+s AS (SELECT {stats} FROM d WHERE split = 'train')
+SELECT {KEY}, {cols} FROM d, s WHERE split = 'test'"""
+
 _METRICS = f"""WITH c AS (
   SELECT count(*) AS n,
          count(*) FILTER (WHERE quality = 1 AND toxic = 1) AS tp, count(*) FILTER (WHERE quality <> 1 AND toxic = 1) AS fp,
@@ -466,6 +482,7 @@ FROM orders""",
     "e6_confusion": _CONFUSION,
     "e5_report": _REPORT,
     "w2_build_table": _BUILD,
+    "f7_scale_holdout": _f7(),
     "e7_compare": _E7,
     "v7_confusion_models": _V7,
     "o4_best_model": _O4,
