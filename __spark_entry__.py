@@ -234,6 +234,20 @@ def q_f8_split(spark, sf_dir):
     return out.select(*LINEITEM_KEY, "l_returnflag", "split")
 
 
+def q_s10_split_sink(spark, sf_dir):
+    """The split table written once, partitioned by ``split``, label inside; the
+    read-back of the test side prunes the train partition (PartitionFilters)."""
+    import uuid
+
+    from tabsmith.session import shared_path
+    from tabsmith.sources.sinks import write_split_table
+
+    li = _t(spark, sf_dir, "lineitem").select(*LINEITEM_KEY, "l_returnflag", *LINEITEM_MEASURES)
+    path = shared_path(spark, f"s10-split-{uuid.uuid4().hex}")
+    write_split_table(assign_split(li, 0.2, SEED, "l_returnflag", LINEITEM_KEY), path)
+    return spark.read.parquet(path).where(F.col("split") == "test").select(*LINEITEM_KEY, "l_returnflag")
+
+
 def q_f9_split_plain(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     return assign_split(li, 0.2, SEED, None, LINEITEM_KEY).select(*LINEITEM_KEY, "split")
@@ -407,6 +421,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m2_gbt_score": q_m2_gbt_score,
     "m3_mlp_score": q_m3_mlp_score,
     "f7_scale_holdout": q_f7_scale_holdout,
+    "s10_split_sink": q_s10_split_sink,
     "e7_compare": q_e7_compare,
     "v7_confusion_models": q_v7_confusion_models,
     "o4_best_model": q_o4_best_model,

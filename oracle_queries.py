@@ -483,6 +483,8 @@ FROM orders""",
     "e5_report": _REPORT,
     "w2_build_table": _BUILD,
     "f7_scale_holdout": _f7(),
+    "s10_split_sink": f"""WITH {_split_cte('l_returnflag', 42)}
+SELECT {KEY}, cls AS l_returnflag FROM rk JOIN te USING (cls) WHERE rn <= n_test_c""",
     "e7_compare": _E7,
     "v7_confusion_models": _V7,
     "o4_best_model": _O4,
