@@ -7,6 +7,14 @@ comparisons, codegen'd). ``prefix_before`` then computes, for every row, the tot
 weight of the rows before it in its partition key: local window sums per block plus
 per-block offsets from a P-row table. A key that holds a third of the rows is spread
 over a third of the blocks, because blocks cut the *ordering*, not the key.
+
+Beyond ``MAX_BLOCKS`` blocks (about 4x10^9 rows at the default block size) the cut has
+two levels: coarse blocks from the CASE tree, then inside each coarse block the fine
+split points of a larger seeded sample, picked on executors (ranked within each coarse
+block) and broadcast as one array per coarse block (at most ``MAX_BLOCKS`` rows). A row's
+fine block is the number of its coarse block's split points at or below its key, which
+is a JVM-side array filter. Blocks stay near ``rows_per_block`` up to ``MAX_BLOCKS**2``
+blocks, and the driver never holds more than the coarse sample.
 """
 
 from __future__ import annotations
@@ -47,7 +55,7 @@ def _block_tree(key_cols: list[Column], bounds: list[tuple], lo: int, hi: int) -
         .otherwise(_block_tree(key_cols, bounds, mid, hi))
 
 
-def block_count(n_rows: int, rows_per_block: int = ROWS_PER_BLOCK, max_blocks: int = MAX_BLOCKS) -> int:
+def block_count(n_rows: int, rows_per_block: int = ROWS_PER_BLOCK, max_blocks: int = MAX_BLOCKS ** 2) -> int:
     """Blocks of about ``rows_per_block`` rows, at most ``max_blocks`` (larger blocks
     beyond that: results stay exact, per-block sorts spill)."""
     return max(1, min(max_blocks, math.ceil(n_rows / rows_per_block)))
@@ -84,25 +92,59 @@ def range_blocks(df: DataFrame, order_cols: list[str], bounds: list[tuple], name
     return df.withColumn(name, _block_tree(keys, bounds, 0, len(bounds)))
 
 
+def two_level_blocks(df: DataFrame, order_cols: list[str], blocks: int, n_rows: int, coarse_max: int = MAX_BLOCKS,
+                     seed: int = 17, name: str = "block") -> DataFrame:
+    """Add ``name`` = block id (long) for ``blocks`` ordered blocks, with the coarse CASE
+    tree capped at ``coarse_max`` and fine split points chosen inside each coarse block."""
+    coarse = max(1, min(coarse_max, blocks))
+    fine = max(1, math.ceil(blocks / coarse))
+    coarse_bounds = sample_bounds(df, order_cols, coarse, n_rows, seed)
+    if fine == 1:
+        return range_blocks(df, order_cols, coarse_bounds, name).withColumn(name, F.col(name).cast("long"))
+    key = F.struct(*[F.col(c) for c in order_cols])
+    frac = min(1.0, blocks * _SAMPLES_PER_BLOCK / max(1, n_rows) * 1.5)
+    smp = range_blocks(df.select(*order_cols).sample(False, frac, seed + 1), order_cols, coarse_bounds, "_c")
+    smp = smp.withColumn("_i", F.row_number().over(Window.partitionBy("_c").orderBy(*order_cols)) - 1) \
+        .withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("_c")))
+    # a sample row is a split point when it starts a new one of ``fine`` equal runs
+    seg = F.floor(F.col("_i") * F.lit(fine) / F.col("_m"))
+    prev = F.floor((F.col("_i") - 1) * F.lit(fine) / F.col("_m"))
+    points = smp.where((F.col("_i") > 0) & (seg > prev)) \
+        .groupBy("_c").agg(F.array_sort(F.collect_list(key)).alias("_fb"))
+    # one row per coarse block (<= coarse_max rows), each with fewer than ``fine`` points
+    tagged = range_blocks(df, order_cols, coarse_bounds, "_c").join(F.broadcast(points), "_c", "left")
+    fine_id = F.when(F.col("_fb").isNull(), F.lit(0)).otherwise(F.size(F.filter("_fb", lambda b: b <= key)))
+    return tagged.withColumn(name, F.col("_c").cast("long") * F.lit(fine) + fine_id.cast("long")) \
+        .drop("_c", "_fb")
+
+
 def prefix_before(df: DataFrame, part_cols: list[str], order_cols: list[str], weight: str | None = None,
-                  out: str = "before", rows_per_block: int = ROWS_PER_BLOCK, seed: int = 17) -> DataFrame:
+                  out: str = "before", rows_per_block: int = ROWS_PER_BLOCK, seed: int = 17,
+                  max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """Add ``out`` = sum of ``weight`` (1 if None) over rows of the same ``part_cols``
     that sort strictly before this row by ``order_cols`` (rows equal on the order
     columns are ordered arbitrarily but consistently: pass a unique order)."""
     w_col = F.col(weight) if weight else F.lit(1)
     n = df.count()
-    blocks = block_count(n, rows_per_block)
+    blocks = block_count(n, rows_per_block, max_blocks * max_blocks)
     if blocks == 1:
         # the whole input fits one block: a plain window per part is exact and bounded
         w1 = Window.partitionBy(*part_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(out, F.coalesce(F.sum(w_col.cast("long")).over(w1), F.lit(0)).cast("long"))
-    bounds = sample_bounds(df, part_cols + order_cols, blocks, n, seed)
-    tagged = range_blocks(df, part_cols + order_cols, bounds, "_blk").withColumn("_w", w_col.cast("long"))
+    if blocks <= max_blocks:
+        bounds = sample_bounds(df, part_cols + order_cols, blocks, n, seed)
+        tagged = range_blocks(df, part_cols + order_cols, bounds, "_blk")
+        small = len(bounds) + 1 <= MAX_BLOCKS
+    else:
+        tagged = two_level_blocks(df, part_cols + order_cols, blocks, n, max_blocks, seed, "_blk")
+        small = False
+    tagged = tagged.withColumn("_w", w_col.cast("long"))
     totals = tagged.groupBy("_blk", *part_cols).agg(F.sum("_w").alias("_tot"))
     wo = Window.partitionBy(*part_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_blk", *part_cols, F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
-    # offsets has at most (blocks x parts) rows; small enough to broadcast when blocks are few
-    if len(bounds) + 1 <= 4096:
+    # offsets has at most (blocks x parts) rows; broadcast only when blocks are few
+    # (otherwise AQE decides from the measured size)
+    if small:
         offsets = F.broadcast(offsets)
     wl = Window.partitionBy("_blk", *part_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     local = tagged.withColumn("_loc", F.coalesce(F.sum("_w").over(wl), F.lit(0)))

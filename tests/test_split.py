@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tabsmith.operators import ranking
 from tabsmith.operators import split as split_mod
 from tabsmith.operators.split import assign_folds, assign_split, holdout, split_sizes, train_test_split
 
@@ -92,3 +93,26 @@ def test_folds_forced_blocks(spark, monkeypatch):
     for c in (0, 1):
         got = sorted(r["before"] for r in rows if r["c"] == c)
         assert got == list(range(100))
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_prefix_before_two_level_blocks_brute_force(spark, weighted):
+    """Forced past the coarse cap (blocks > max_blocks): exact prefix sums per part."""
+    rows = [(i % 3, (i * 7919) % 101, i, 1 + i % 4) for i in range(300)]
+    df = spark.createDataFrame(rows, "c int, a int, b int, w int")
+    got = ranking.prefix_before(df, ["c"], ["a", "b"], "w" if weighted else None, "before",
+                                rows_per_block=4, max_blocks=3)
+    want = {}
+    for c, a, b, w in rows:
+        want[(c, a, b)] = sum((w2 if weighted else 1) for c2, a2, b2, w2 in rows if c2 == c and (a2, b2) < (a, b))
+    assert {(r["c"], r["a"], r["b"]): r["before"] for r in got.collect()} == want
+
+
+def test_two_level_blocks_are_ordered_and_cover(spark):
+    df = spark.createDataFrame([(i,) for i in range(500)], "x int")
+    blk = ranking.two_level_blocks(df, ["x"], 40, 500, coarse_max=4, name="blk")
+    rows = sorted((r["x"], r["blk"]) for r in blk.collect())
+    assert len(rows) == 500
+    ids = [b for _, b in rows]
+    assert ids == sorted(ids)                          # blocks are contiguous ranges of the order
+    assert len(set(ids)) > 4                           # finer than the coarse cut
