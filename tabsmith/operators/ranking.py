@@ -11,10 +11,11 @@ over a third of the blocks, because blocks cut the *ordering*, not the key.
 Beyond ``MAX_BLOCKS`` blocks (about 4x10^9 rows at the default block size) the cut has
 two levels: coarse blocks from the CASE tree, then inside each coarse block the fine
 split points of a larger seeded sample, picked on executors (ranked within each coarse
-block) and broadcast as one array per coarse block (at most ``MAX_BLOCKS`` rows). A row's
-fine block is the number of its coarse block's split points at or below its key, which
-is a JVM-side array filter. Blocks stay near ``rows_per_block`` up to ``MAX_BLOCKS**2``
-blocks, and the driver never holds more than the coarse sample.
+block) and broadcast as one sorted array per coarse block (at most ``MAX_BLOCKS`` rows).
+A row's fine block is the number of its coarse block's split points at or below its key,
+found by an unrolled binary search (log2 lookups, codegen'd). Blocks stay near
+``rows_per_block`` up to ``MAX_BLOCKS**2`` blocks, and the driver never holds more than
+the coarse sample.
 """
 
 from __future__ import annotations
@@ -92,6 +93,16 @@ def range_blocks(df: DataFrame, order_cols: list[str], bounds: list[tuple], name
     return df.withColumn(name, _block_tree(keys, bounds, 0, len(bounds)))
 
 
+def _count_at_or_below(arr: Column, key: Column, lo: int, hi: int) -> Column:
+    """Number of elements <= ``key`` in the sorted ``arr`` (at most ``hi`` elements), by an
+    unrolled binary search over literal positions; a missing position counts as +inf."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi + 1) // 2
+    le = F.coalesce(F.try_element_at(arr, F.lit(mid)) <= key, F.lit(False))
+    return F.when(le, _count_at_or_below(arr, key, mid, hi)).otherwise(_count_at_or_below(arr, key, lo, mid - 1))
+
+
 def two_level_blocks(df: DataFrame, order_cols: list[str], blocks: int, n_rows: int, coarse_max: int = MAX_BLOCKS,
                      seed: int = 17, name: str = "block") -> DataFrame:
     """Add ``name`` = block id (long) for ``blocks`` ordered blocks, with the coarse CASE
@@ -113,7 +124,7 @@ def two_level_blocks(df: DataFrame, order_cols: list[str], blocks: int, n_rows:
         .groupBy("_c").agg(F.array_sort(F.collect_list(key)).alias("_fb"))
     # one row per coarse block (<= coarse_max rows), each with fewer than ``fine`` points
     tagged = range_blocks(df, order_cols, coarse_bounds, "_c").join(F.broadcast(points), "_c", "left")
-    fine_id = F.when(F.col("_fb").isNull(), F.lit(0)).otherwise(F.size(F.filter("_fb", lambda b: b <= key)))
+    fine_id = F.when(F.col("_fb").isNull(), F.lit(0)).otherwise(_count_at_or_below(F.col("_fb"), key, 0, fine - 1))
     return tagged.withColumn(name, F.col("_c").cast("long") * F.lit(fine) + fine_id.cast("long")) \
         .drop("_c", "_fb")
 
