@@ -377,6 +377,18 @@ def q_s2_csv_scan(spark, sf_dir):
     return CSVDataLoader(path, null_tokens=[PRIORITY_TOKEN]).load(spark)
 
 
+def q_m7_tune_gbt(spark, sf_dir):
+    from tabsmith.plans.tuning import tune_holdout
+
+    return tune_holdout(_t(spark, sf_dir, "lineitem"), "gbt", quick=True)
+
+
+def q_m8_tune_mlp(spark, sf_dir):
+    from tabsmith.plans.tuning import tune_holdout
+
+    return tune_holdout(_t(spark, sf_dir, "lineitem"), "mlp", quick=True)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a7_summary": q_a7_summary,
     "a8_skew": q_a8_skew,
@@ -420,6 +432,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "w2_build_table": q_w2_build_table,
     "m2_gbt_score": q_m2_gbt_score,
     "m3_mlp_score": q_m3_mlp_score,
+    "m7_tune_gbt": q_m7_tune_gbt,
+    "m8_tune_mlp": q_m8_tune_mlp,
     "f7_scale_holdout": q_f7_scale_holdout,
     "s10_split_sink": q_s10_split_sink,
     "e7_compare": q_e7_compare,

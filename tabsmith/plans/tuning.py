@@ -113,9 +113,45 @@ def tune_mlp(train: DataFrame, feature_cols: list[str], scale_cols: list[str], l
     c = candidates[best_i]
     final = build_pipeline("mlp", feature_cols, scale_cols, label, hidden_layer_sizes=c["hidden_layer_sizes"],
                            learning_rate_init=c["learning_rate_init"], batch_size=c["batch_size"],
-                           random_state=seed).fit(train)
+                           max_iter=max_iter, random_state=seed).fit(train)
     return final, c, float(best_f1), rows
 
 
 def sample_grid_size(grid: dict[str, list]) -> int:
     return len(list(itertools.product(*grid.values())))
+
+
+def results_frame(spark, rows: list) -> DataFrame:
+    """M9 as a table: ``(candidate, params map<string,string>, f1)``, one row per candidate."""
+    return spark.createDataFrame(rows, "candidate int, params map<string,string>, f1 double")
+
+
+def tune_holdout(lineitem: DataFrame, name: str, quick: bool = True) -> DataFrame:
+    """M7/M8 on the train split of ``lineitem`` (label: returned flag 'R'); returns the M9
+    table. ``quick`` uses smoke-size grids (two candidates, small models) over the whole
+    table."""
+    from pyspark import StorageLevel
+    from pyspark.sql import functions as F
+
+    from tabsmith.operators.split import assign_split
+    from tabsmith.session import materialized
+
+    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    data = lineitem.select(*key, *feats, (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    with materialized(data) as d:
+        train = assign_split(d, 0.2, 42, "label", key).where("split = 'train'").drop("split") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if name == "mlp":
+                grid = {"hidden_layer_sizes": [(8,), (16, 8)], "learning_rate_init": [1e-4],
+                        "dropout_rate": [0.4], "batch_size": [32]} if quick else None
+                _, _, _, rows = tune_mlp(train, feats, feats, "label", key=key, grid=grid,
+                                         max_candidates=2 if quick else 6, max_iter=20 if quick else 300)
+            else:
+                grid = {"n_estimators": [5], "max_depth": [2, 3]} if quick else None
+                _, _, _, rows = tune_gbt(train, feats, feats, "label", n_iter=2 if quick else 8, key=key, grid=grid)
+        finally:
+            train.unpersist()
+    return results_frame(lineitem.sparkSession, rows)
+
