@@ -51,3 +51,28 @@ def test_outlier_count_is_one_pass_over_all_columns(spark):
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
     plan = _plan(profile.outlier_summary(li, ["l_quantity", "l_extendedprice", "l_discount"]))
     assert plan.count("FileScan parquet") == 1
+
+
+def test_model_comparison_is_one_scan_and_one_aggregate(spark):
+    from tabsmith.operators.evaluate import model_confusion, model_metrics
+
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    scored = li.select((F.col("l_returnflag") == "R").cast("int").alias("label"),
+                       (F.col("l_discount") >= 0.05).cast("int").alias("a"),
+                       (F.col("l_quantity") > 25).cast("int").alias("b"),
+                       (F.col("l_tax") < 0.04).cast("int").alias("c"))
+    for df in (model_metrics(scored, "label", ["a", "b", "c"]), model_confusion(scored, "label", ["a", "b"])):
+        plan = _plan(df)
+        assert plan.count("FileScan parquet") == 1          # every model in the same pass
+        assert "hashpartitioning" not in plan                # no per-model grouping shuffle
+        scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+        assert "l_extendedprice" not in scan                 # pruned to the used columns
+
+
+def test_two_level_blocks_broadcast_only_the_split_points(spark):
+    from tabsmith.operators import ranking
+
+    li = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_linenumber")
+    plan = _plan(ranking.two_level_blocks(li, ["l_orderkey", "l_linenumber"], 40, 6000, coarse_max=4, name="blk"))
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
