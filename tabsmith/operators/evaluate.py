@@ -98,9 +98,11 @@ class Evaluator:
         self.results: dict[str, dict] = {}
 
     def evaluate(self, name: str, pred: DataFrame, label: str = "label", prediction: str = "prediction") -> dict:
-        row = binary_metrics(pred, label, prediction).first().asDict()
-        cells = confusion_cells(pred, label, prediction).collect()  # at most classes^2 rows
-        row["confusion"] = {(r["label"], r["prediction"]): r["cnt"] for r in cells}
+        """Metrics and the 2x2 cells of a 0/1 classifier from one aggregate (one job)."""
+        row = model_metrics(pred, label, [(name, prediction)]).first().asDict()
+        row.pop("run_order")
+        row.pop("model")
+        row["confusion"] = {(0, 0): row["tn"], (0, 1): row["fp"], (1, 0): row["fn"], (1, 1): row["tp"]}
         self.results[name] = row
         return row
 
