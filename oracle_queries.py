@@ -143,12 +143,19 @@ GROUP BY f.class, q1, median, q3, f.n)""")
     return _union(parts)
 
 
-def _split_cte(cls: str | None, seed: int, rounding: str = "ceil", frac: float = 0.2) -> str:
-    """Per-class test sizes by the largest-remainder rule, then row_number by md5."""
+def _split_cte(cls: str | None, seed: int, rounding: str = "ceil", frac: float = 0.2,
+               extra: list[str] | None = None) -> str:
+    """Per-class test sizes by the largest-remainder rule, then row_number by md5.
+
+    ``extra`` columns are carried through ``h``/``rk``; rows with equal hashes (repeated
+    keys) are then ordered by the key, class and extra columns, as the split orders them.
+    """
     cls_expr = cls if cls else "0"
+    extra_sel = "".join(f", {c}" for c in extra) if extra else ""
+    ties = f", {KEY}, cls{extra_sel}" if extra else ""
     n_first = f"CAST(ceil({frac} * n) AS BIGINT)" if rounding == "ceil" else f"CAST(floor({frac} * n) AS BIGINT)"
     return f"""h AS (
-  SELECT {KEY}, {cls_expr} AS cls, md5(concat_ws('|', '{seed}', {KEY})) AS hh FROM lineitem),
+  SELECT {KEY}{extra_sel}, {cls_expr} AS cls, md5(concat_ws('|', '{seed}', {KEY})) AS hh FROM lineitem),
 cc AS (SELECT cls, count(*) AS nc FROM h GROUP BY cls),
 tot AS (SELECT sum(nc) AS n FROM cc),
 sz AS (SELECT n, {n_first} AS n_test, n - {n_first} AS n_train FROM tot),
@@ -158,7 +165,7 @@ lr AS (
   SELECT cls, nc, base, row_number() OVER (ORDER BY rem DESC, cls) AS pos,
          n_train - sum(base) OVER () AS left_over FROM al),
 te AS (SELECT cls, nc - (base + CASE WHEN pos <= left_over THEN 1 ELSE 0 END) AS n_test_c FROM lr),
-rk AS (SELECT h.*, row_number() OVER (PARTITION BY cls ORDER BY hh) AS rn FROM h)"""
+rk AS (SELECT h.*, row_number() OVER (PARTITION BY cls ORDER BY hh{ties}) AS rn FROM h)"""
 
 
 def _f8() -> str:
@@ -252,19 +259,17 @@ def _scale() -> str:
 
 def _f7() -> str:
     """Scale the test split with statistics of the train split."""
-    keys = [k.strip() for k in KEY.split(",")]
-    on = " AND ".join(f"l.{k} = sp.{k}" for k in keys)
     stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in LINEITEM_MEASURES)
     cols = ", ".join(
         f"{r(f'({c} - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END')} AS {c}"
         for c in LINEITEM_MEASURES)
-    return f"""WITH {_split_cte('l_returnflag', 42)},
-sp AS (SELECT {KEY}, CASE WHEN rn <= n_test_c THEN 'test' ELSE 'train' END AS split FROM rk JOIN te USING (cls)),
-d AS (SELECT {", ".join("l." + k for k in keys)}, {", ".join(LINEITEM_MEASURES)}, sp.split
-      FROM lineitem l JOIN sp ON {on}),
+    return f"""WITH {_split_cte('l_returnflag', 42, extra=LINEITEM_MEASURES)},
+d AS (SELECT {KEY}, {", ".join(LINEITEM_MEASURES)}, CASE WHEN rn <= n_test_c THEN 'test' ELSE 'train' END AS split
+      FROM rk JOIN te USING (cls)),
 s AS (SELECT {stats} FROM d WHERE split = 'train')
 SELECT {KEY}, {cols} FROM d, s WHERE split = 'test'"""
 
+
 _METRICS = f"""WITH c AS (
   SELECT count(*) AS n,
          count(*) FILTER (WHERE quality = 1 AND toxic = 1) AS tp, count(*) FILTER (WHERE quality <> 1 AND toxic = 1) AS fp,
