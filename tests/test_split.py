@@ -116,3 +116,17 @@ def test_two_level_blocks_are_ordered_and_cover(spark):
     ids = [b for _, b in rows]
     assert ids == sorted(ids)                          # blocks are contiguous ranges of the order
     assert len(set(ids)) > 4                           # finer than the coarse cut
+
+
+def test_two_level_blocks_spread_a_hot_value(spark):
+    """A value holding a third of the rows spans several blocks (the cut is on the whole
+    order, value then tiebreak), and the prefix sums stay exact."""
+    rows = [(0 if i % 3 == 0 else i % 37, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    blk = ranking.two_level_blocks(df, ["a", "b"], 60, 600, coarse_max=4, name="blk")
+    hot_blocks = {r["blk"] for r in blk.where("a = 0").collect()}
+    assert len(hot_blocks) > 3
+    got = ranking.prefix_before(df, [], ["a", "b"], None, "before", rows_per_block=10, max_blocks=4)
+    order = sorted(rows)
+    want = {row: i for i, row in enumerate(order)}
+    assert {(r["a"], r["b"]): r["before"] for r in got.collect()} == want
