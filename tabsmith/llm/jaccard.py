@@ -10,12 +10,12 @@ fragments count on their own.
 2. The shingles of the remaining classes are ordered by document frequency, then hash.
    Linked sets share one of their first n - ceil(0.8 n) + 1 shingles (prefix filter), so
    the classes that share a prefix shingle are a candidate group.
-3. Candidate pairs are counted fragment by fragment and summed per pair. Within a group
-   only the pairs with its leader (the least class) are counted first. The others are
-   counted only if they still lie in different components and the leader's distances do
-   not rule them out: Jaccard distance is a metric, so |d(l,x) - d(l,y)| > 0.2 settles a
-   pair. A group of near copies so costs its size, not its square, and no link that could
-   join two components is left out.
+3. Candidate pairs are counted fragment by fragment and summed per pair. First each class
+   is paired with one leader. Groups that still hold several components get a pivot, the
+   root of their largest one, and the distances of all members to it: Jaccard distance is
+   a metric, so |d(p,x) - d(p,y)| > 0.2 settles a pair. What is left after some rounds is
+   counted pair by pair. A group of near copies so costs its size, not its square, and no
+   link that could join two components is left out.
 4. Components are propagated as a table.
 """
 
@@ -39,7 +39,7 @@ FLUSH_SHINGLES = 3_000_000
 FRAGMENT_BYTES = 4 << 20   # of the input, a fragment
 PAIR_FRAGMENTS = 8         # fragments that candidate pairs are counted in
 PAIRS_PER_TASK = 20_000
-STAR_ROUNDS = 3            # groups' leaders compared before the rest is listed
+STAR_ROUNDS = 3            # rounds of pivots before the rest is counted pair by pair
 
 _MESSAGE = "bucket long, kind int, sender long, blob binary"
 _MEMBERS = "kind int, doc_id long, n long, k1 long, k2 long, shingle long"
@@ -246,57 +246,72 @@ def _components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def class_components(entries: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, label) of the classes with a link. ``entries`` (shingle, k1, n): prefix
-    shingles of candidate groups; ``sets`` (k1, shingles)."""
+def class_components(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """(node, label) of the classes with a link, None if there is no candidate.
+    ``entries`` (shingle, k1, n): prefix shingles of candidate groups; ``sets``
+    (k1, shingles). Every candidate pair is counted, in one component already, or settled
+    by the triangle inequality."""
     spark = entries.sparkSession
-    checked = links = labels = None
-    active = entries
-    for round_ in range(STAR_ROUNDS + 1):
-        group = Window.partitionBy("shingle")
-        if round_ < STAR_ROUNDS:
-            # leaders differ by round, and one group's leader is met in most of its shingles
-            leader = active.groupBy("shingle").agg(F.min(F.struct("k1", "n")).alias("leader")).select(
-                "shingle", F.col("leader.k1").alias("x"), F.col("leader.n").alias("nx"))
-            starred = active.join(leader, "shingle").where("k1 <> x")
-            pairs = starred.where(_similar_sizes("n", "nx")).select(
-                F.least("x", "k1").alias("x"), F.greatest("x", "k1").alias("y"),
-                F.when(F.col("x") < F.col("k1"), F.col("nx")).otherwise(F.col("n")).alias("nx"),
-                F.when(F.col("x") < F.col("k1"), F.col("n")).otherwise(F.col("nx")).alias("ny")).distinct()
-        else:
-            a, b = active.alias("a"), active.alias("b")
-            pairs = a.join(b, F.expr("a.shingle = b.shingle AND a.k1 < b.k1 AND a.label <> b.label")).where(
-                _similar_sizes("a.n", "b.n")).select(F.col("a.k1").alias("x"), F.col("b.k1").alias("y"),
-                                                     F.col("a.n").alias("nx"), F.col("b.n").alias("ny")).distinct()
+    sizes = entries.select("k1", "n").distinct()
+    group = Window.partitionBy("shingle")
+    checked = labels = None
+
+    def count(pairs: DataFrame) -> bool:
+        """Count new pairs (x, y), in either order; update ``checked`` and ``labels``."""
+        nonlocal checked, labels
+        pairs = pairs.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         if checked is not None:
             pairs = pairs.join(checked.select("x", "y"), ["x", "y"], "left_anti")
-        pairs = shared_table(pairs, "pairs", spark)
-        if pairs.limit(1).count():
-            counted = _count_pairs(pairs, sets)
-            checked = counted if checked is None else checked.unionByName(counted)
-            links = checked.where(_linked())
-            labels = _components(links)
-        if labels is None or round_ == STAR_ROUNDS:
-            break
-        # what is left of each group: not its leader, and not a group within one component
-        rest = starred.select("shingle", "k1", "n", "x").join(labels.withColumnRenamed("node", "k1"), "k1", "left").withColumn(
-            "label", F.coalesce("label", "k1"))
-        rest = rest.withColumn("lo", F.min("label").over(group)).withColumn("hi", F.max("label").over(group)).where("lo <> hi")
-        distance = checked.select(F.explode(F.array(F.struct(F.col("x").alias("x"), F.col("y").alias("k1")),
-                                                    F.struct(F.col("y").alias("x"), F.col("x").alias("k1")))).alias("p"),
-                                  F.floor((1 - F.col("overlap") / (F.col("nx") + F.col("ny") - F.col("overlap"))) * _SCALE).alias("d")).select("p.x", "p.k1", "d")
-        rest = rest.join(distance, ["x", "k1"], "left")
-        # a member whose leader distance no member of another component comes near to is settled
-        near = Window.partitionBy("shingle").orderBy("d").rangeBetween(-_REACH, _REACH)
-        known = rest.where("d IS NOT NULL").withColumn("near_lo", F.min("label").over(near)).withColumn(
-            "near_hi", F.max("label").over(near)).withColumn("open", F.expr("near_lo <> near_hi"))
-        unknown = rest.where("d IS NULL").withColumn("open", F.lit(True))
-        whole = known.drop("near_lo", "near_hi").unionByName(unknown)
-        # an unknown distance keeps its whole group open
-        whole = whole.withColumn("open", F.col("open") | F.max(F.col("d").isNull()).over(group))
-        active = shared_table(whole.where("open").select("shingle", "k1", "n", "label"), "open-groups", spark)
+        pairs = pairs.join(sizes.select(F.col("k1").alias("x"), F.col("n").alias("nx")), "x").join(
+            sizes.select(F.col("k1").alias("y"), F.col("n").alias("ny")), "y")
+        pairs = shared_table(pairs.select("x", "y", "nx", "ny"), "pairs", spark)
+        if pairs.limit(1).count() == 0:
+            return False
+        counted = _count_pairs(pairs, sets)
+        checked = counted if checked is None else checked.unionByName(counted)
+        labels = _components(checked.where(_linked()))
+        return True
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        """Adds the label (a class without a link is its own) and keeps the groups that
+        still hold several components."""
+        if labels is None:
+            rows = rows.withColumn("label", F.col("k1"))
+        else:
+            rows = rows.join(labels.select(F.col("node").alias("k1"), "label"), "k1", "left").withColumn(
+                "label", F.coalesce("label", "k1"))
+        return rows.withColumn("lo", F.min("label").over(group)).withColumn("hi", F.max("label").over(group)).where(
+            "lo <> hi").drop("lo", "hi")
+
+    # first one pair a class: with the least class of its largest group
+    groups = entries.groupBy("shingle").agg(F.min("k1").alias("leader"), F.count(F.lit(1)).alias("c"))
+    first = entries.join(groups, "shingle").where("k1 <> leader").groupBy("k1").agg(
+        F.max(F.struct("c", "leader"))["leader"].alias("y"))
+    if not count(first.select(F.col("k1").alias("x"), "y")):
+        return None
+    active = shared_table(labelled(entries), "open-groups", spark)
+    for round_ in range(STAR_ROUNDS + 1):
         if active.limit(1).count() == 0:
             break
+        if round_ == STAR_ROUNDS:  # the rest, pair by pair
+            a, b = active.alias("a"), active.alias("b")
+            count(a.join(b, F.expr("a.shingle = b.shingle AND a.k1 < b.k1 AND a.label <> b.label")).where(
+                _similar_sizes("a.n", "b.n")).select(F.col("a.k1").alias("x"), F.col("b.k1").alias("y")))
+            break
+        # the pivot of a group: the root of the component that most of its members are in
+        pivots = active.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("shingle").agg(
+            F.max(F.struct("c", "label"))["label"].alias("pivot"))
+        around = shared_table(active.drop("label").join(pivots, "shingle"), "around", spark)
+        count(around.select(F.col("k1").alias("x"), F.col("pivot").alias("y")))
+        both = F.explode(F.array(F.struct(F.col("x").alias("pivot"), F.col("y").alias("k1")),
+                                 F.struct(F.col("y").alias("pivot"), F.col("x").alias("k1"))))
+        distance = checked.select(both.alias("p"), F.floor(
+            (1 - F.col("overlap") / (F.col("nx") + F.col("ny") - F.col("overlap"))) * _SCALE).alias("d")).select("p.pivot", "p.k1", "d")
+        rest = labelled(around).join(distance, ["pivot", "k1"], "left").withColumn("d", F.coalesce("d", F.lit(0)))
+        # whoever has no member of another component in reach is settled
+        near = Window.partitionBy("shingle").orderBy("d").rangeBetween(-_REACH, _REACH)
+        rest = rest.withColumn("lo", F.min("label").over(near)).withColumn("hi", F.max("label").over(near)).where("lo <> hi")
+        active = shared_table(rest.select("shingle", "k1", "n", "label"), "open-groups", spark)
     return labels
 
 
