@@ -41,8 +41,8 @@ LENGTH = 50
 GRAM = 25
 SPAN = LENGTH - GRAM + 1           # anchors' candidates in a window
 WIDTH = 2 * LENGTH - GRAM          # bytes of a segment
-FLUSH_ANCHORS = 3_000_000
-SEGMENT_ROWS = 60_000
+FLUSH_ANCHORS = 800_000
+SEGMENT_ROWS = 30_000
 BUCKET_BYTES = 4 << 20             # of the input, an anchor bucket
 GROUP_BYTES = 4 << 20              # of the input, a group of documents
 _NONE = np.uint64(2**64 - 1)
@@ -179,7 +179,7 @@ def _send_anchors(buckets: int):
         rows, found, held, n_rows = [], [], 0, 0
         for batch in batches:
             named = [_ids(batch.column(c)) for c in ("doc_id", "digest", "grp")]
-            for chunk in text_chunks(batch.column("text")):
+            for chunk in text_chunks(batch.column("text"), 1 << 19):
                 at, gram = anchors(chunk.buf, chunk.offsets)
                 local = np.searchsorted(chunk.offsets, at, "right") - 1
                 rows.append([x[chunk.first:chunk.first + chunk.size] for x in named])
