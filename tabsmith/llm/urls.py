@@ -30,7 +30,7 @@ RULES = [
     ("allow", "org", "/fr/"),
 ]
 DEFAULT_VERDICT = "allow"
-SAMPLE_ROWS = 100_000
+SAMPLE_ROWS = 16_384
 PAGES_PER_RANGE = 250_000
 
 
