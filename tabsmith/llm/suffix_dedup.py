@@ -83,7 +83,12 @@ def anchors(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     padded = np.zeros(len(gram) + SPAN - 1, np.uint64)
     padded[SPAN - 1:SPAN - 1 + len(top)] = top
     at = np.flatnonzero(_sliding(padded, SPAN, np.maximum) == gram)  # some whole window chose it
-    return at, gram[at]
+    return at, _spread(gram[at])
+
+
+def _spread(gram: np.ndarray) -> np.ndarray:
+    """Anchors have the least hashes of their windows; hashed again they fill all buckets alike."""
+    return mix64(gram ^ np.uint64(0xD6E8FEB86659FD93))
 
 
 def columnwise_cover(columns: np.ndarray, doc: np.ndarray, first: np.ndarray, last: np.ndarray,
@@ -309,7 +314,7 @@ def _send_segments(buckets: int):
             codes = BYTE_CODE[matrix]
             power, _ = powers(WIDTH + 1)
             whole = mix64((codes * power[:WIDTH]).sum(axis=1, dtype=np.uint64) + (first * 64 + last).astype(np.uint64))
-            gram = mix64((codes[:, SPAN - 1:LENGTH] * power[:GRAM]).sum(axis=1, dtype=np.uint64))
+            gram = _spread(mix64((codes[:, SPAN - 1:LENGTH] * power[:GRAM]).sum(axis=1, dtype=np.uint64)))
             order = np.lexsort((d, whole, gram))
             run_of = run_starts(whole[order])
             count = np.diff(np.append(run_of, len(order)))
