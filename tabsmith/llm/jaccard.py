@@ -9,7 +9,8 @@ fragments count on their own.
    than 80% shared shingles links with nothing. Documents with equal sets are one class.
 2. The shingles of the remaining classes are ordered by document frequency, then hash.
    Linked sets share one of their first n - ceil(0.8 n) + 1 shingles (prefix filter), so
-   the classes that share a prefix shingle are a candidate group.
+   the classes that share a prefix shingle are a candidate group; the place of the shingle
+   in each set bounds what can follow it (positional filter).
 3. Candidate pairs are counted fragment by fragment and summed per pair. First each class
    is paired with one leader. Groups that still hold several components get a pivot, the
    root of their largest one, and the distances of all members to it: Jaccard distance is
@@ -39,10 +40,10 @@ FLUSH_SHINGLES = 3_000_000
 FRAGMENT_BYTES = 4 << 20   # of the input, a fragment
 PAIR_FRAGMENTS = 8         # fragments that candidate pairs are counted in
 PAIRS_PER_TASK = 20_000
-STAR_ROUNDS = 3            # rounds of pivots before the rest is counted pair by pair
+STAR_ROUNDS = 2            # rounds of pivots before the rest is counted pair by pair
 
 _MESSAGE = "bucket long, kind int, sender long, blob binary"
-_MEMBERS = "kind int, doc_id long, n long, k1 long, k2 long, shingle long"
+_MEMBERS = "kind int, doc_id long, n long, k1 long, k2 long, shingle long, place long, weight long"
 
 
 def _needed(n):
@@ -149,10 +150,11 @@ def _prefixes(blobs: pa.Table) -> pa.Table:
     order = np.lexsort((shingle, frequency, number))
     order = order[alive[number[order]]]
     shingle, number = shingle[order], number[order]
-    place = np.arange(len(number)) - np.searchsorted(number, number)
     # shingles of no other document come first in the order and match nothing
-    prefix = size - _needed(size) + 1 - (size - shared)
-    keep = place < prefix[number]
+    place = np.arange(len(number)) - np.searchsorted(number, number) + (size - shared)[number]
+    keep = place < (size - _needed(size) + 1)[number]
+    # how common a set's shingles are on average: the text that copies were made of leads
+    weight = (np.bincount(number, frequency[order].astype(np.float64), minlength=sets)[:sets] * 1000 / np.maximum(size, 1)).astype(np.int64)
     a, b = len(ids), int(keep.sum())
     kind = np.repeat(np.array([0, 1], np.int32), (a, b))
     pad = np.zeros(b, np.int64)
@@ -160,7 +162,8 @@ def _prefixes(blobs: pa.Table) -> pa.Table:
         "kind": kind,
         "doc_id": pa.array(np.concatenate((ids, pad)), pa.int64(), mask=np.concatenate((null.astype(bool), pad == 0))),
         "n": np.concatenate((n, size[number[keep]])), "k1": np.concatenate((k1, key[number[keep]])),
-        "k2": np.concatenate((k2, pad)), "shingle": np.concatenate((np.zeros(a, np.int64), shingle[keep].view(np.int64)))})
+        "k2": np.concatenate((k2, pad)), "shingle": np.concatenate((np.zeros(a, np.int64), shingle[keep].view(np.int64))),
+        "place": np.concatenate((np.zeros(a, np.int64), place[keep])), "weight": np.concatenate((np.zeros(a, np.int64), weight[number[keep]]))})
 
 
 def _class_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,34 +192,44 @@ def _cut_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _partial_overlaps(pairs: pa.Table, segments: pa.Table) -> pa.Table:
+    """One fragment of a task's pairs: a packed row of partial overlaps."""
     sets = dict(zip(segments.column("k1").to_pylist(), (np.frombuffer(b.as_py(), np.uint64) for b in segments.column("segment")),
                     strict=True))
-    x, y = pairs.column("x").to_pylist(), pairs.column("y").to_pylist()
-    overlap = []
-    for a, b in zip(x, y, strict=True):
+    x, y = (np.array(pairs.column(c)[0].as_py(), np.int64) for c in ("xs", "ys"))
+    part = np.zeros(len(x), np.uint32)
+    for i, (a, b) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
         a, b = sets[a], sets[b]
         if len(a) > len(b):
             a, b = b, a
-        if not len(b):
-            overlap.append(0)
-            continue
-        at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-        overlap.append(int((b[at] == a).sum()))
-    return pa.table({"x": pairs.column("x"), "y": pairs.column("y"), "part": pa.array(overlap, pa.int64())})
+        if len(b):
+            part[i] = (b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum()
+    return pa.table({"h": pairs.column("h"), "blob": pa.array([pack(x, y, part)], pa.binary())})
+
+
+def _sum_overlaps(fragments: pa.Table) -> pa.Table:
+    """The overlap of each pair of a task: the sum over its fragments."""
+    total = None
+    for blob in fragments.column("blob"):
+        x, y, part = unpack(blob.as_py())
+        total = part.astype(np.int64) if total is None else total + part
+    return pa.table({"x": x, "y": y, "overlap": total})
 
 
 def _count_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(x, y, nx, ny, overlap): partial overlaps per fragment, summed per pair. Pairs are
-    dealt by (x, part of y), so one x with very many partners spreads over 16 tasks a
-    fragment at least."""
+    dealt to tasks by x and a part of y, so one x with very many partners spreads over all
+    tasks; a task's pairs (about PAIRS_PER_TASK) travel as one packed row a fragment."""
     spark = pairs.sparkSession
     tasks = max(1, -(-pairs.count() // PAIRS_PER_TASK))
-    dealt = pairs.withColumn("h", F.pmod(F.xxhash64("x", F.pmod(F.xxhash64("y"), F.lit(16))), F.lit(tasks)).cast("long"))
+    salt = F.pmod(F.xxhash64("y"), F.lit(max(16, tasks)))
+    dealt = pairs.withColumn("h", F.pmod(F.xxhash64("x", salt), F.lit(tasks)).cast("long"))
     need = dealt.select("h", F.explode(F.array("x", "y")).alias("k1")).distinct()
     segments = need.join(sets, "k1").select("h", "k1", "shingles").mapInArrow(_cut_sets, "h long, f int, k1 long, segment binary")
-    spread = dealt.select("h", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(PAIR_FRAGMENTS - 1))).alias("f"))
-    parts = spread.groupBy("h", "f").cogroup(segments.groupBy("h", "f")).applyInArrow(_partial_overlaps, "x long, y long, part long")
-    total = parts.groupBy("x", "y").agg(F.sum("part").alias("overlap"))
+    packed = dealt.groupBy("h").agg(F.collect_list(F.struct("x", "y")).alias("p")).select(
+        "h", F.col("p.x").alias("xs"), F.col("p.y").alias("ys"),
+        F.explode(F.sequence(F.lit(0), F.lit(PAIR_FRAGMENTS - 1))).alias("f"))
+    parts = packed.groupBy("h", "f").cogroup(segments.groupBy("h", "f")).applyInArrow(_partial_overlaps, "h long, blob binary")
+    total = parts.groupBy("h").applyInArrow(_sum_overlaps, "x long, y long, overlap long")
     return shared_table(pairs.join(total, ["x", "y"]), "pair-overlaps", spark)
 
 
@@ -224,8 +237,21 @@ def _linked() -> F.Column:
     return 100 * F.col("overlap") >= PERCENT * (F.col("nx") + F.col("ny") - F.col("overlap"))
 
 
-def _similar_sizes(a: str, b: str) -> F.Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _reachable(n, place, other_n) -> F.Column:
+    """Whether a set of ``n`` shingles, ``place`` of them before the first common one, can
+    link with a set of ``other_n`` (the positional filter, one side of it)."""
+    return (100 + PERCENT) * (n - place) >= PERCENT * (n + other_n)
+
+
+def _live(entries: DataFrame) -> DataFrame:
+    """Drops members that cannot link even with the least set of their group, and groups
+    of one, twice (the second pass sees the groups that the first one left)."""
+    group = Window.partitionBy("shingle")
+    for _ in range(2):
+        least = F.greatest(F.min("n").over(group), F.ceil(F.col("n") * PERCENT / 100))
+        entries = entries.withColumn("least", least).where(_reachable(F.col("n"), F.col("place"), F.col("least")))
+        entries = entries.withColumn("c", F.count(F.lit(1)).over(group)).where("c > 1").drop("least", "c")
+    return entries
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -248,11 +274,12 @@ def _components(links: DataFrame) -> DataFrame:
 
 def class_components(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
     """(node, label) of the classes with a link, None if there is no candidate.
-    ``entries`` (shingle, k1, n): prefix shingles of candidate groups; ``sets``
-    (k1, shingles). Every candidate pair is counted, in one component already, or settled
+    ``entries`` (shingle, k1, n, place, weight): prefix shingles of candidate groups;
+    ``sets`` (k1, shingles). Every candidate pair is counted, in one component already, or settled
     by the triangle inequality."""
     spark = entries.sparkSession
-    sizes = entries.select("k1", "n").distinct()
+    nodes = entries.groupBy("k1").agg(F.max("n").alias("n"), F.max("weight").alias("weight"))
+    sizes = shared_table(nodes, "classes", spark)
     group = Window.partitionBy("shingle")
     checked = labels = None
 
@@ -280,13 +307,14 @@ def class_components(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
         else:
             rows = rows.join(labels.select(F.col("node").alias("k1"), "label"), "k1", "left").withColumn(
                 "label", F.coalesce("label", "k1"))
+        # with two components or more, and in each group only those who can link
         return rows.withColumn("lo", F.min("label").over(group)).withColumn("hi", F.max("label").over(group)).where(
             "lo <> hi").drop("lo", "hi")
 
-    # first one pair a class: with the least class of its largest group
-    groups = entries.groupBy("shingle").agg(F.min("k1").alias("leader"), F.count(F.lit(1)).alias("c"))
-    first = entries.join(groups, "shingle").where("k1 <> leader").groupBy("k1").agg(
-        F.max(F.struct("c", "leader"))["leader"].alias("y"))
+    # first one pair a class: with the heaviest class that shares a group with it
+    groups = entries.groupBy("shingle").agg(F.max(F.struct("weight", "k1")).alias("leader"))
+    first = entries.join(groups, "shingle").where("k1 <> leader.k1").groupBy("k1").agg(
+        F.max("leader")["k1"].alias("y"))
     if not count(first.select(F.col("k1").alias("x"), "y")):
         return None
     active = shared_table(labelled(entries), "open-groups", spark)
@@ -295,13 +323,15 @@ def class_components(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
             break
         if round_ == STAR_ROUNDS:  # the rest, pair by pair
             a, b = active.alias("a"), active.alias("b")
-            count(a.join(b, F.expr("a.shingle = b.shingle AND a.k1 < b.k1 AND a.label <> b.label")).where(
-                _similar_sizes("a.n", "b.n")).select(F.col("a.k1").alias("x"), F.col("b.k1").alias("y")))
+            meet = F.expr(f"a.shingle = b.shingle AND a.k1 < b.k1 AND a.label <> b.label AND abs(a.d - b.d) <= {_REACH}")
+            able = _reachable(F.col("a.n"), F.col("a.place"), F.col("b.n")) & _reachable(F.col("b.n"), F.col("b.place"), F.col("a.n"))
+            count(a.join(b, meet).where(able).select(F.col("a.k1").alias("x"), F.col("b.k1").alias("y")))
             break
-        # the pivot of a group: the root of the component that most of its members are in
+        # the pivot of a group: the heaviest class of the component that most members are in
+        centres = active.groupBy("label").agg(F.max(F.struct("weight", "k1"))["k1"].alias("pivot"))
         pivots = active.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("shingle").agg(
-            F.max(F.struct("c", "label"))["label"].alias("pivot"))
-        around = shared_table(active.drop("label").join(pivots, "shingle"), "around", spark)
+            F.max(F.struct("c", "label"))["label"].alias("label")).join(centres, "label").drop("label")
+        around = shared_table(active.drop("label", "d").join(pivots, "shingle"), "around", spark)
         count(around.select(F.col("k1").alias("x"), F.col("pivot").alias("y")))
         both = F.explode(F.array(F.struct(F.col("x").alias("pivot"), F.col("y").alias("k1")),
                                  F.struct(F.col("y").alias("pivot"), F.col("x").alias("k1"))))
@@ -311,7 +341,7 @@ def class_components(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
         # whoever has no member of another component in reach is settled
         near = Window.partitionBy("shingle").orderBy("d").rangeBetween(-_REACH, _REACH)
         rest = rest.withColumn("lo", F.min("label").over(near)).withColumn("hi", F.max("label").over(near)).where("lo <> hi")
-        active = shared_table(rest.select("shingle", "k1", "n", "label"), "open-groups", spark)
+        active = shared_table(rest.select("shingle", "k1", "n", "place", "weight", "label", "d"), "open-groups", spark)
     return labels
 
 
@@ -338,9 +368,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     release_shuffles(spark)
     members = found.where("kind = 0").select("doc_id", "n", "k1", "k2")
 
-    entries = found.where("kind = 1").select("shingle", "k1", "n").distinct()
-    in_groups = entries.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("c > 1").drop("c")
-    entries = shared_table(in_groups, "groups", spark)
+    # equal sets of several senders have equal rows
+    entries = shared_table(_live(found.where("kind = 1").select("shingle", "k1", "n", "place", "weight").distinct()), "groups", spark)
     candidates = entries.select("k1").distinct()
     names = members.where("n > 0").groupBy("k1").agg(F.min("doc_id").alias("doc_id")).join(candidates, "k1", "left_semi")
     # an id that repeats with other texts brings their sets too; they are dropped by name
