@@ -303,13 +303,13 @@ def q_w2_build_table(spark, sf_dir):
 def q_m2_gbt_score(spark, sf_dir):
     from tabsmith.plans.models import score_holdout
 
-    return score_holdout(_t(spark, sf_dir, "lineitem"), "gbt", quick=True)
+    return score_holdout(_t(spark, sf_dir, "lineitem"), "gbt", n_estimators=5, max_depth=3)
 
 
 def q_m3_mlp_score(spark, sf_dir):
     from tabsmith.plans.models import score_holdout
 
-    return score_holdout(_t(spark, sf_dir, "lineitem"), "mlp", quick=True)
+    return score_holdout(_t(spark, sf_dir, "lineitem"), "mlp", hidden_layer_sizes=(8,), max_iter=20)
 
 
 # Rule "models" predicting l_returnflag = 'R' on lineitem: inputs for comparing models
@@ -380,13 +380,15 @@ def q_s2_csv_scan(spark, sf_dir):
 def q_m7_tune_gbt(spark, sf_dir):
     from tabsmith.plans.tuning import tune_holdout
 
-    return tune_holdout(_t(spark, sf_dir, "lineitem"), "gbt", quick=True)
+    grid = {"n_estimators": [5], "max_depth": [2, 3]}
+    return tune_holdout(_t(spark, sf_dir, "lineitem"), "gbt", grid=grid, n_iter=2)
 
 
 def q_m8_tune_mlp(spark, sf_dir):
     from tabsmith.plans.tuning import tune_holdout
 
-    return tune_holdout(_t(spark, sf_dir, "lineitem"), "mlp", quick=True)
+    grid = {"hidden_layer_sizes": [(8,), (16, 8)], "learning_rate_init": [1e-4], "dropout_rate": [0.4], "batch_size": [32]}
+    return tune_holdout(_t(spark, sf_dir, "lineitem"), "mlp", grid=grid, max_candidates=2, max_iter=20, refit_max_iter=20)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -430,10 +432,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "e5_report": q_e5_report,
     "w1_clean": q_w1_clean,
     "w2_build_table": q_w2_build_table,
-    "m2_gbt_score": q_m2_gbt_score,
-    "m3_mlp_score": q_m3_mlp_score,
-    "m7_tune_gbt": q_m7_tune_gbt,
-    "m8_tune_mlp": q_m8_tune_mlp,
+    "m2_gbt_score_5_rounds": q_m2_gbt_score,
+    "m3_mlp_score_20_iterations": q_m3_mlp_score,
+    "m7_tune_gbt_grid_of_2": q_m7_tune_gbt,
+    "m8_tune_mlp_grid_of_2": q_m8_tune_mlp,
     "f7_scale_holdout": q_f7_scale_holdout,
     "s10_split_sink": q_s10_split_sink,
     "e7_compare": q_e7_compare,

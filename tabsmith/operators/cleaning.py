@@ -125,7 +125,8 @@ class ModeImputer:
 
 def fill_constant(df: DataFrame, column: str, value) -> DataFrame:
     """C4: replace missing values of one column with a constant."""
-    return df.withColumn(column, F.coalesce(col(column), F.lit(value).cast(dtype_of(df, column))))
+    filler = F.lit(value).cast(dtype_of(df, column))
+    return df.withColumn(column, F.when(is_missing(col(column), dtype_of(df, column)), filler).otherwise(col(column)))
 
 
 class DropDuplicateRows:

@@ -6,10 +6,13 @@ order statistic is found by refinement instead:
 
 1. one aggregate gives ``n, min, max`` per group; the ranks needed for linear
    interpolation (``p * (n - 1)``, floor and ceiling) become targets;
-2. each round counts the rows of every open value window in ``buckets`` equal-width
-   buckets (``groupBy(window, bucket)`` - map-side aggregated, at most ``buckets`` rows
-   per window reach the driver) and each target descends into the bucket holding its
-   rank;
+2. each round counts the rows of every open value window in ``buckets`` buckets
+   (``groupBy(window, bucket)`` - map-side aggregated, at most ``buckets`` rows per window
+   reach the driver) and each target descends into the bucket holding its rank. The
+   first ``LINEAR_ROUNDS`` rounds cut a finite window evenly; later ones, and windows of
+   infinite width, cut the order-preserving 64-bit pattern of the doubles into
+   ``PATTERN_BUCKETS`` runs. Each of those settles 6 bits, so any data takes at most
+   ``MAX_ROUNDS`` rounds;
 3. a bucket with one distinct value resolves its targets; a bucket with at most
    ``list_limit`` rows is listed as ``(value, count)`` and resolved exactly.
 
@@ -22,12 +25,45 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabsmith.operators.ranking import _count_at_or_below
+
 BUCKETS = 1024
 LIST_LIMIT = 20_000
+LINEAR_ROUNDS = 2
+PATTERN_BUCKETS = 64
+MAX_ROUNDS = LINEAR_ROUNDS + 11  # 64 bits, 6 a round
+
+
+def _ordinal(x: float) -> int:
+    """Position of a double among all doubles in ascending order."""
+    bits = int(np.float64(x + 0.0).view(np.int64))
+    return bits if bits >= 0 else -(bits & 0x7FFF_FFFF_FFFF_FFFF)
+
+
+def _double(ordinal: int) -> float:
+    bits = ordinal if ordinal >= 0 else (-ordinal) | (1 << 63)
+    return float(np.uint64(bits).view(np.float64))
+
+
+def split_points(a: float, b: float, buckets: int) -> list[float]:
+    """``buckets - 1`` doubles that cut [a, b] into runs of equally many doubles."""
+    lo, hi = _ordinal(a), _ordinal(b)
+    return [_double(lo + -(-(hi - lo + 1) * i // buckets)) for i in range(1, buckets)]
+
+
+def _bucket_frame(spark, windows: dict, keys: list[str], key_types: list[T.DataType], linear: bool) -> DataFrame:
+    """The windows with their split points (null: cut evenly); one row a window."""
+    fields = [T.StructField("_wid", T.LongType())] + [T.StructField(k, t) for k, t in zip(keys, key_types)] + \
+        [T.StructField("_a", T.DoubleType()), T.StructField("_b", T.DoubleType()),
+         T.StructField("_points", T.ArrayType(T.DoubleType()))]
+    rows = [(wid, *kv, a, b, None if linear and math.isfinite(b - a) else split_points(a, b, PATTERN_BUCKETS))
+            for wid, (kv, a, b) in windows.items()]
+    return spark.createDataFrame(rows, T.StructType(fields))
 
 
 def _window_frame(spark, windows: dict, keys: list[str], key_types: list[T.DataType]) -> DataFrame:
@@ -41,7 +77,8 @@ def _in_windows(long: DataFrame, frame: DataFrame, keys: list[str]) -> DataFrame
     """Rows of ``long`` inside their group's windows (a window table is small: broadcast)."""
     cond = [long[k].eqNullSafe(frame[k]) for k in keys]
     cond.append(long["v"].between(frame["_a"], frame["_b"]))
-    return long.join(F.broadcast(frame), cond, "inner").select("_wid", long["v"].alias("v"), "_a", "_b")
+    return long.join(F.broadcast(frame), cond, "inner").select(
+        "_wid", long["v"].alias("v"), "_a", "_b", *[c for c in frame.columns if c == "_points"])
 
 
 def exact_quantiles(long: DataFrame, keys: list[str], probs: list[float], buckets: int = BUCKETS,
@@ -63,7 +100,7 @@ def exact_quantiles(long: DataFrame, keys: list[str], probs: list[float], bucket
     values: dict = {}
     windows: dict = {}
     open_t: dict = {}
-    next_wid = 0
+    next_wid = rounds = 0
     for g in groups:
         n, mn, mx = info[g]
         ranks = set()
@@ -80,10 +117,14 @@ def exact_quantiles(long: DataFrame, keys: list[str], probs: list[float], bucket
         next_wid += 1
     while open_t:
         active = {wid: windows[wid] for wid in {w for w, _ in open_t.values()}}
-        frame = _window_frame(spark, active, keys, key_types)
+        linear = rounds < LINEAR_ROUNDS
+        rounds += 1
+        frame = _bucket_frame(spark, active, keys, key_types, linear)
         inside = _in_windows(long, frame, keys)
-        width = (F.col("_b") - F.col("_a"))
-        bucket = F.least(F.floor((F.col("v") - F.col("_a")) / width * buckets).cast("long"), F.lit(buckets - 1))
+        bucket = _count_at_or_below(F.col("_points"), F.col("v"), 0, PATTERN_BUCKETS - 1).cast("long")
+        if linear:
+            even = F.floor((F.col("v") - F.col("_a")) / (F.col("_b") - F.col("_a")) * buckets).cast("long")
+            bucket = F.when(F.col("_points").isNull(), F.least(even, F.lit(buckets - 1))).otherwise(bucket)
         hist: dict = {}
         for r in inside.groupBy("_wid", bucket.alias("_k")).agg(
                 F.count(F.lit(1)).alias("_c"), F.min("v").alias("_lo"), F.max("v").alias("_hi")).collect():

@@ -21,6 +21,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabsmith.functions.columns import col
 from tabsmith.operators.ranking import prefix_before
@@ -196,5 +197,9 @@ def assign_folds(df: DataFrame, k: int = 3, seed: int = 42, stratify_by: str | N
     h = order_hash(df, key, seed)
     cls = col(stratify_by) if stratify_by else F.lit(0)
     tagged = df.withColumn("_h", h).withColumn("_cls", cls)
-    ranked = prefix_before(tagged, ["_cls"], ["_h"], out="_before")
+    # rows that tie on the key are told apart by their other columns, so that the folds do
+    # not depend on the partitioning (equal rows are interchangeable)
+    ties = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    tagged = tagged.withColumn("_tie", F.struct(*[col(c) for c in ties]))
+    ranked = prefix_before(tagged, ["_cls"], ["_h", "_tie"], out="_before").drop("_tie")
     return ranked.withColumn(output, (F.col("_before") % k).cast("int")).drop("_h", "_cls", "_before")

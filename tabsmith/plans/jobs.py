@@ -80,35 +80,36 @@ def explore(spark: SparkSession, in_path: str, out_dir: str, target: str = TARGE
 
 def train(spark: SparkSession, table_path: str, out_dir: str, label: str = TARGET, models: str = "gbt,mlp",
           tune: bool = True, scale_cols: list[str] | None = None, key: list[str] | None = None,
-          quick: bool = False) -> dict:
-    """Fit scaler+model pipelines, evaluate on the test split, log runs, keep the best."""
+          params: dict[str, dict] | None = None, searches: dict[str, dict] | None = None) -> dict:
+    """Fit scaler+model pipelines, evaluate on the test split, log runs, keep the best.
+
+    ``params`` and ``searches`` override, per model name, the model's parameters and the
+    arguments of its search; without them the full defaults run.
+    """
     table = spark.read.parquet(table_path)
     features = [c for c in table.columns if c not in {label, "split", *(key or [])}]
     scale = [c for c in (scale_cols or NUMERICAL_COLUMNS) if c in features]
     trainset = table.where("split = 'train'").drop("split").persist(StorageLevel.MEMORY_AND_DISK)
     testset = table.where("split = 'test'").drop("split")
     log, ev, saved = RunLog(spark, os.path.join(out_dir, "runs")), Evaluator(), {}
-    small = {"n_estimators": 10, "max_depth": 3} if quick else {}
     for name in select_models(models):
-        params = ({"hidden_layer_sizes": (16,), "max_iter": 30} if quick else {}) if name == "mlp" else small
-        model = build_pipeline(name, features, scale, label, **params).fit(trainset)
+        own = (params or {}).get(name, {})
+        search = (searches or {}).get(name, {})
+        model = build_pipeline(name, features, scale, label, **own).fit(trainset)
         run_name = f"{name}_baseline"
         metrics = ev.evaluate(run_name, predict(model, testset, keep=[label]), label)
         path = os.path.join(out_dir, "models", run_name)
         save_model(model, path)
         saved[run_name] = path
-        log.log_run(run_name, name, "baseline", params, {k: metrics[k] for k in ("accuracy", "precision",
+        log.log_run(run_name, name, "baseline", own, {k: metrics[k] for k in ("accuracy", "precision",
                                                                                 "recall", "f1")}, {"model": path})
         if tune:
             from tabsmith.plans.tuning import tune_gbt, tune_mlp
 
             if name == "mlp":
-                model, best, score, _ = tune_mlp(trainset, features, scale, label, key=key,
-                                                 max_candidates=2 if quick else 6, max_iter=30 if quick else 300)
+                model, best, score, _ = tune_mlp(trainset, features, scale, label, key=key, **search)
             else:
-                grid = {"n_estimators": [5, 10], "max_depth": [2, 3]} if quick else None
-                model, best, score, _ = tune_gbt(trainset, features, scale, label, n_iter=2 if quick else 8,
-                                                 key=key, grid=grid)
+                model, best, score, _ = tune_gbt(trainset, features, scale, label, key=key, **search)
             run_name = f"{name}_tuned"
             metrics = ev.evaluate(run_name, predict(model, testset, keep=[label]), label)
             path = os.path.join(out_dir, "models", run_name)

@@ -83,7 +83,7 @@ def tune_gbt(train: DataFrame, feature_cols: list[str], scale_cols: list[str], l
             m[clf.weightCol] = f"_w{float(c['scale_pos_weight'])}"
         maps.append(m)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=f1_evaluator(label),
-                        foldCol="fold", parallelism=parallelism, seed=seed)
+                        foldCol="fold", numFolds=folds, parallelism=parallelism, seed=seed)
     model = cv.fit(data)
     scores = list(model.avgMetrics)
     best = max(range(len(scores)), key=lambda i: (scores[i], -i))
@@ -93,7 +93,7 @@ def tune_gbt(train: DataFrame, feature_cols: list[str], scale_cols: list[str], l
 
 def tune_mlp(train: DataFrame, feature_cols: list[str], scale_cols: list[str], label: str = "label",
              max_candidates: int = 6, seed: int = 42, key: list[str] | None = None, grid: dict | None = None,
-             max_iter: int = 300):
+             max_iter: int = 300, refit_max_iter: int = MLP_DEFAULTS["max_iter"]):
     """M8/M9: bounded grid on an exact 20% hold-out; ``dropout_rate`` has no Spark
     counterpart and is carried only for the record."""
     base = {**MLP_DEFAULTS, "dropout_rate": 0.4}
@@ -113,7 +113,7 @@ def tune_mlp(train: DataFrame, feature_cols: list[str], scale_cols: list[str], l
     c = candidates[best_i]
     final = build_pipeline("mlp", feature_cols, scale_cols, label, hidden_layer_sizes=c["hidden_layer_sizes"],
                            learning_rate_init=c["learning_rate_init"], batch_size=c["batch_size"],
-                           max_iter=max_iter, random_state=seed).fit(train)
+                           max_iter=refit_max_iter, random_state=seed).fit(train)
     return final, c, float(best_f1), rows
 
 
@@ -126,10 +126,10 @@ def results_frame(spark, rows: list) -> DataFrame:
     return spark.createDataFrame(rows, "candidate int, params map<string,string>, f1 double")
 
 
-def tune_holdout(lineitem: DataFrame, name: str, quick: bool = True) -> DataFrame:
+def tune_holdout(lineitem: DataFrame, name: str, **search) -> DataFrame:
     """M7/M8 on the train split of ``lineitem`` (label: returned flag 'R'); returns the M9
-    table. ``quick`` uses smoke-size grids (two candidates, small models) over the whole
-    table."""
+    table. ``search`` goes to ``tune_gbt`` or ``tune_mlp`` (grid, candidates, iterations);
+    without it their full default search runs."""
     from pyspark import StorageLevel
     from pyspark.sql import functions as F
 
@@ -144,13 +144,9 @@ def tune_holdout(lineitem: DataFrame, name: str, quick: bool = True) -> DataFram
             .persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if name == "mlp":
-                grid = {"hidden_layer_sizes": [(8,), (16, 8)], "learning_rate_init": [1e-4],
-                        "dropout_rate": [0.4], "batch_size": [32]} if quick else None
-                _, _, _, rows = tune_mlp(train, feats, feats, "label", key=key, grid=grid,
-                                         max_candidates=2 if quick else 6, max_iter=20 if quick else 300)
+                _, _, _, rows = tune_mlp(train, feats, feats, "label", key=key, **search)
             else:
-                grid = {"n_estimators": [5], "max_depth": [2, 3]} if quick else None
-                _, _, _, rows = tune_gbt(train, feats, feats, "label", n_iter=2 if quick else 8, key=key, grid=grid)
+                _, _, _, rows = tune_gbt(train, feats, feats, "label", key=key, **search)
         finally:
             train.unpersist()
     return results_frame(lineitem.sparkSession, rows)

@@ -2,8 +2,8 @@
 
 The library never creates machine-local scratch folders on a cluster: lineage is cut
 with ``DataFrame.checkpoint()`` into the folder the cluster names in
-``spark.checkpoint.dir``. Only when that setting is absent (local tests) do we point
-it at a fresh temporary folder.
+``spark.checkpoint.dir``. Only where that setting is absent and the master is local
+(tests) is it pointed at a fresh temporary folder; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -45,8 +45,11 @@ def get_spark(master: str | None = None, app_name: str = "tabsmith",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder named by the session; set a local one only if unset."""
+    """The checkpoint folder named by the session. Where it is unset a local master gets a
+    temporary folder (tests); a cluster raises, as its machines do not share one."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current

@@ -116,16 +116,23 @@ def infer_types(df: DataFrame) -> DataFrame:
     return df.select(*[casts[c].alias(c) if c in casts else col(c) for c in df.columns])
 
 
+_RECORD = "__whole_record"
+
+
 class CSVDataLoader(DataLoader):
     """CSV scan with the reference loader's text rules.
 
+    A line with more fields than the header raises; one with fewer ends in missing values.
+    A file read with ``multi_line`` cannot be split among tasks; turn it off for large
+    files without line breaks in quotes.
+
     ``schema`` (a DDL string or StructType) skips inference and is what to use at scale;
     without it every column is read as text and typed by :func:`infer_types`.
     """
 
     def __init__(self, path: str, null_tokens: Iterable[str] = CENSUS_NULL_TOKENS,
                  default_null_tokens: bool = True, strip_whitespace: bool = True,
-                 schema: T.StructType | str | None = None, sep: str = ",") -> None:
+                 schema: T.StructType | str | None = None, sep: str = ",", multi_line: bool = True) -> None:
         self.path = path
         tokens = list(null_tokens)
         if default_null_tokens:
@@ -134,9 +141,10 @@ class CSVDataLoader(DataLoader):
         self.strip_whitespace = strip_whitespace
         self.schema = schema
         self.sep = sep
+        self.multi_line = multi_line
 
     def _read_text(self, spark: SparkSession) -> DataFrame:
-        return (
+        reader = (
             spark.read.option("header", True)
             .option("sep", self.sep)
             .option("ignoreLeadingWhiteSpace", True)
@@ -145,9 +153,20 @@ class CSVDataLoader(DataLoader):
             # keep empty fields as "" so the token list decides what is missing
             .option("nullValue", "\u0000__never__")
             .option("emptyValue", "")
+            # quotes inside quotes are doubled, and quoted text may hold line breaks
+            .option("escape", '"')
+            .option("multiLine", self.multi_line)
             .option("mode", "PERMISSIVE")
-            .csv(self.path)
         )
+        header = reader.csv(self.path).schema
+        if not header.fields:
+            return reader.csv(self.path)
+        whole = T.StructType([*header.fields, T.StructField(_RECORD, T.StringType())])
+        df = reader.schema(whole).option("columnNameOfCorruptRecord", _RECORD).csv(self.path)
+        # a line with too few fields has nulls at its end; one with too many has none
+        surplus = F.col(_RECORD).isNotNull() & col(header.fields[-1].name).isNotNull()
+        fails = F.raise_error(F.concat(F.lit("more fields than the header: "), F.col(_RECORD))).cast("boolean")
+        return df.where(F.when(surplus, fails).otherwise(F.lit(True))).drop(_RECORD)
 
     def load(self, spark: SparkSession) -> DataFrame:
         _check_path(spark, self.path)
@@ -159,7 +178,7 @@ class CSVDataLoader(DataLoader):
             return infer_types(df)
         target = self.schema if isinstance(self.schema, T.StructType) else T._parse_datatype_string(self.schema)
         return df.select(*[
-            col(f.name).try_cast(f.dataType).alias(f.name) if f.name in df.columns
+            col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in target.fields
         ])
