@@ -263,6 +263,32 @@ def q_f13_folds(spark, sf_dir):
     return assign_folds(li, 3, SEED, "l_returnflag", LINEITEM_KEY).select(*LINEITEM_KEY, "l_returnflag", "fold")
 
 
+def q_f8_split_hot_key(spark, sf_dir):
+    """The split key repeats in whole classes: every row of a class ties."""
+    li = _t(spark, sf_dir, "lineitem").select(*LINEITEM_KEY, "l_returnflag", "l_quantity")
+    return assign_split(li, 0.2, SEED, "l_returnflag", ["l_returnflag"])
+
+
+def q_f13_folds_repeated_key(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select(*LINEITEM_KEY, "l_returnflag", "l_quantity")
+    return assign_folds(li, 3, SEED, "l_returnflag", ["l_suppkey"])
+
+
+def q_j1_pair_by_key(spark, sf_dir):
+    from tabsmith.operators.pairing import pair_by_key
+
+    orders = _t(spark, sf_dir, "orders")
+    return pair_by_key(orders.select("o_orderkey", "o_totalprice"), orders.select("o_orderkey", "o_orderstatus"), ["o_orderkey"])
+
+
+def q_c4_fill_constant(spark, sf_dir):
+    """C4 on whole ``events`` with NaN put in for every seventh id."""
+    from tabsmith.operators.cleaning import fill_constant
+
+    events = _t(spark, sf_dir, "events").select("event_id", F.expr("CASE WHEN event_id % 7 = 0 THEN double('NaN') ELSE value END").alias("value"))
+    return fill_constant(events, "value", -1.0)
+
+
 def _labels_pred(spark, sf_dir):
     return _t(spark, sf_dir, "labels").select(F.col("quality").alias("label"), F.col("toxic").alias("prediction"))
 
@@ -387,7 +413,7 @@ def q_m7_tune_gbt(spark, sf_dir):
 def q_m8_tune_mlp(spark, sf_dir):
     from tabsmith.plans.tuning import tune_holdout
 
-    grid = {"hidden_layer_sizes": [(8,), (16, 8)], "learning_rate_init": [1e-4], "dropout_rate": [0.4], "batch_size": [32]}
+    grid = {"hidden_layer_sizes": [(8,), (16, 8)], "tol": [1e-6]}
     return tune_holdout(_t(spark, sf_dir, "lineitem"), "mlp", grid=grid, max_candidates=2, max_iter=20, refit_max_iter=20)
 
 
@@ -445,6 +471,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a17_missing_one": q_a17_missing_one,
     "s5_strip": q_s5_strip,
     "s2_csv_scan": q_s2_csv_scan,
+    "f8_split_hot_key": q_f8_split_hot_key,
+    "f13_folds_repeated_key": q_f13_folds_repeated_key,
+    "j1_pair_by_key": q_j1_pair_by_key,
+    "c4_fill_constant": q_c4_fill_constant,
 }
 
 

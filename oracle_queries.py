@@ -186,6 +186,14 @@ SELECT {KEY}, rn <= n_test_c AS is_validation
 FROM rk JOIN te USING (cls)"""
 
 
+def _f8_hot() -> str:
+    cte = _split_cte("l_returnflag", 42, extra=["l_quantity"]).replace(
+        f"md5(concat_ws('|', '42', {KEY}))", "md5(concat_ws('|', '42', l_returnflag))")
+    return f"""WITH {cte}
+SELECT {KEY}, cls AS l_returnflag, l_quantity, CASE WHEN rn <= n_test_c THEN 'test' ELSE 'train' END AS split
+FROM rk JOIN te USING (cls)"""
+
+
 def _f13() -> str:
     return f"""WITH h AS (
   SELECT {KEY}, l_returnflag, md5(concat_ws('|', '42', {KEY})) AS hh FROM lineitem)
@@ -502,6 +510,12 @@ FROM orders""",
   n_chars FROM documents""",
     "s2_csv_scan": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
   nullif(o_orderpriority, '{TOKEN}') AS o_orderpriority FROM orders""",
+    "f8_split_hot_key": _f8_hot(),
+    "f13_folds_repeated_key": f"""SELECT {KEY}, l_returnflag, l_quantity, CAST((row_number() OVER (PARTITION BY l_returnflag
+  ORDER BY md5(concat_ws('|', '42', l_suppkey)), {KEY}, l_quantity) - 1) % 3 AS INTEGER) AS fold FROM lineitem""",
+    "j1_pair_by_key": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
+    "c4_fill_constant": """SELECT event_id, CASE WHEN event_id % 7 = 0 OR value IS NULL OR isnan(value) THEN -1.0
+  ELSE value END::DOUBLE AS value FROM events""",
     "w1_clean": f"""SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
   coalesce(nullif(o_orderpriority, '{TOKEN}'), {_MODE}) AS o_orderpriority FROM orders""",
 }

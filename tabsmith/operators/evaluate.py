@@ -21,19 +21,20 @@ def confusion_cells(pred: DataFrame, label: str = "label", prediction: str = "pr
                     labels: list | None = None) -> DataFrame:
     """``(label, prediction, cnt)`` for every pair of labels, zero-filled.
 
-    Labels default to those seen in either column (a tiny distinct set).
+    Labels default to those seen in either column; the square of their number is the
+    size of the result.
     """
     counts = pred.groupBy(col(label).alias("label"), col(prediction).alias("prediction")) \
         .agg(F.count(F.lit(1)).alias("cnt"))
     if labels is None:
-        # the label set of a classifier is tiny; read it from the (already small) cell table
         seen = counts.select(F.col("label").alias("v")).union(counts.select(F.col("prediction").alias("v"))) \
-            .where(F.col("v").isNotNull()).distinct().collect()
-        labels = sorted(r["v"] for r in seen)
-    dtype = pred.schema[label].dataType.simpleString()
-    grid = pred.sparkSession.createDataFrame([(a, b) for a in labels for b in labels],
-                                             f"label {dtype}, prediction {dtype}")
-    return grid.join(F.broadcast(counts), ["label", "prediction"], "left") \
+            .where(F.col("v").isNotNull()).groupBy().agg(F.sort_array(F.collect_set("v")).alias("vs"))
+        grid = seen.select(F.explode("vs").alias("label"), "vs").select("label", F.explode("vs").alias("prediction"))
+    else:
+        dtype = pred.schema[label].dataType.simpleString()
+        grid = pred.sparkSession.createDataFrame([(a, b) for a in labels for b in labels],
+                                                 f"label {dtype}, prediction {dtype}")
+    return grid.join(counts, ["label", "prediction"], "left") \
         .select("label", "prediction", F.coalesce("cnt", F.lit(0)).cast("long").alias("cnt"))
 
 
@@ -62,11 +63,15 @@ def binary_metrics(pred: DataFrame, label: str = "label", prediction: str = "pre
 def classification_report(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """E5: ``(class, precision, recall, f1, support)`` per class, then the rows
     ``accuracy``, ``macro avg`` and ``weighted avg`` (class as text)."""
-    cells = confusion_cells(pred, label, prediction)
-    per = cells.groupBy(F.col("label").alias("k")).agg(
-        F.sum("cnt").alias("support"), F.sum(F.when(F.col("label") == F.col("prediction"), F.col("cnt"))).alias("tp"))
-    predicted = cells.groupBy(F.col("prediction").alias("k")).agg(F.sum("cnt").alias("npred"))
-    per = per.join(predicted, "k").select(
+    cells = pred.groupBy(col(label).alias("label"), col(prediction).alias("prediction")) \
+        .agg(F.count(F.lit(1)).alias("cnt")).where("label IS NOT NULL AND prediction IS NOT NULL")
+    sides = cells.select(F.inline(F.array(
+        F.struct(F.col("label").alias("k"), F.col("cnt").alias("support"), F.lit(0).cast("long").alias("npred"),
+                 F.when(F.col("label") == F.col("prediction"), F.col("cnt")).otherwise(0).alias("tp")),
+        F.struct(F.col("prediction").alias("k"), F.lit(0).cast("long").alias("support"), F.col("cnt").alias("npred"),
+                 F.lit(0).cast("long").alias("tp")))))
+    per = sides.groupBy("k").agg(*[F.sum(c).alias(c) for c in ("support", "npred", "tp")])
+    per = per.select(
         F.col("k").cast("string").alias("class"), "support",
         _ratio(F.col("tp"), F.col("npred")).alias("precision"),
         _ratio(F.col("tp"), F.col("support")).alias("recall"),

@@ -11,7 +11,7 @@ over a third of the blocks, because blocks cut the *ordering*, not the key.
 Beyond ``MAX_BLOCKS`` blocks (about 4x10^9 rows at the default block size) the cut has
 two levels: coarse blocks from the CASE tree, then inside each coarse block the fine
 split points of a larger seeded sample, picked on executors (ranked within each coarse
-block) and broadcast as one sorted array per coarse block (at most ``MAX_BLOCKS`` rows).
+block), written once and joined as one sorted array per coarse block (at most ``MAX_BLOCKS`` rows).
 A row's fine block is the number of its coarse block's split points at or below its key,
 found by an unrolled binary search (log2 lookups, codegen'd). Blocks stay near
 ``rows_per_block`` up to ``MAX_BLOCKS**2`` blocks, and the driver never holds more than
@@ -26,6 +26,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabsmith.functions.columns import col
+from tabsmith.session import cut_lineage
+
 ROWS_PER_BLOCK = 1_000_000
 MAX_BLOCKS = 4096          # bounds the CASE tree (depth 12) and the collected boundaries
 _SAMPLES_PER_BLOCK = 20
@@ -36,14 +39,11 @@ def _literal(v):
 
 
 def _less_than(key_cols: list[Column], bound: tuple) -> Column:
-    """Lexicographic ``key < bound`` over several columns."""
-    expr = None
-    for i in range(len(key_cols) - 1, -1, -1):
-        lt = key_cols[i] < _literal(bound[i])
-        if expr is None:
-            expr = lt
-        else:
-            expr = lt | ((key_cols[i] == _literal(bound[i])) & expr)
+    """Lexicographic ``key < bound`` over several columns, nulls first as Spark sorts."""
+    expr = F.lit(False)
+    for key, value in reversed(list(zip(key_cols, bound, strict=True))):
+        less = F.lit(False) if value is None else F.coalesce(key < _literal(value), F.lit(True))
+        expr = less | (key.eqNullSafe(_literal(value)) & expr)
     return expr
 
 
@@ -68,10 +68,7 @@ def sample_bounds(df: DataFrame, order_cols: list[str], blocks: int, n_rows: int
         return []
     want = blocks * _SAMPLES_PER_BLOCK
     frac = min(1.0, want / n_rows * 1.5)
-    sample = (
-        df.select(*order_cols).sample(False, frac, seed).orderBy(*order_cols)
-        .limit(want * 2).collect()
-    )
+    sample = df.select(*order_cols).sample(False, frac, seed).orderBy(*order_cols).collect()
     if not sample:
         return []
     picks = []
@@ -120,10 +117,11 @@ def two_level_blocks(df: DataFrame, order_cols: list[str], blocks: int, n_rows:
     # a sample row is a split point when it starts a new one of ``fine`` equal runs
     seg = F.floor(F.col("_i") * F.lit(fine) / F.col("_m"))
     prev = F.floor((F.col("_i") - 1) * F.lit(fine) / F.col("_m"))
-    points = smp.where((F.col("_i") > 0) & (seg > prev)) \
-        .groupBy("_c").agg(F.array_sort(F.collect_list(key)).alias("_fb"))
+    # written once: a recomputed task must see the same points, whatever order its rows came in
+    points = cut_lineage(smp.where((F.col("_i") > 0) & (seg > prev))
+                         .groupBy("_c").agg(F.array_sort(F.collect_list(key)).alias("_fb")))
     # one row per coarse block (<= coarse_max rows), each with fewer than ``fine`` points
-    tagged = range_blocks(df, order_cols, coarse_bounds, "_c").join(F.broadcast(points), "_c", "left")
+    tagged = range_blocks(df, order_cols, coarse_bounds, "_c").join(points, "_c", "left")
     fine_id = F.when(F.col("_fb").isNull(), F.lit(0)).otherwise(_count_at_or_below(F.col("_fb"), key, 0, fine - 1))
     return tagged.withColumn(name, F.col("_c").cast("long") * F.lit(fine) + fine_id.cast("long")) \
         .drop("_c", "_fb")
@@ -142,25 +140,24 @@ def prefix_before(df: DataFrame, part_cols: list[str], order_cols: list[str], we
         # the whole input fits one block: a plain window per part is exact and bounded
         w1 = Window.partitionBy(*part_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn(out, F.coalesce(F.sum(w_col.cast("long")).over(w1), F.lit(0)).cast("long"))
+    # one text per part, never null: nulls are a part of their own
+    mark = [F.coalesce(col(c).cast("string"), F.lit("\u0001")) for c in part_cols]
+    df = df.withColumn("_part", F.concat_ws("\u0002", *mark) if mark else F.lit(""))
     if blocks <= max_blocks:
-        bounds = sample_bounds(df, part_cols + order_cols, blocks, n, seed)
-        tagged = range_blocks(df, part_cols + order_cols, bounds, "_blk")
-        small = len(bounds) + 1 <= MAX_BLOCKS
+        bounds = sample_bounds(df, ["_part", *order_cols], blocks, n, seed)
+        tagged = range_blocks(df, ["_part", *order_cols], bounds, "_blk")
     else:
-        tagged = two_level_blocks(df, part_cols + order_cols, blocks, n, max_blocks, seed, "_blk")
-        small = False
+        tagged = two_level_blocks(df, ["_part", *order_cols], blocks, n, max_blocks, seed, "_blk")
     tagged = tagged.withColumn("_w", w_col.cast("long"))
-    totals = tagged.groupBy("_blk", *part_cols).agg(F.sum("_w").alias("_tot"))
-    wo = Window.partitionBy(*part_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_blk", *part_cols, F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
-    # offsets has at most (blocks x parts) rows; broadcast only when blocks are few
-    # (otherwise AQE decides from the measured size)
-    if small:
-        offsets = F.broadcast(offsets)
-    wl = Window.partitionBy("_blk", *part_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    totals = tagged.groupBy("_blk", "_part").agg(F.sum("_w").alias("_tot"))
+    wo = Window.partitionBy("_part").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_blk", "_part", F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
+    # offsets has at most (blocks x parts) rows; the rows are already dealt by (_blk, _part)
+    # for the window, so the join moves only the offsets
+    wl = Window.partitionBy("_blk", "_part").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     local = tagged.withColumn("_loc", F.coalesce(F.sum("_w").over(wl), F.lit(0)))
-    joined = local.join(offsets, ["_blk", *part_cols], "inner")
-    return joined.withColumn(out, F.col("_off") + F.col("_loc")).drop("_blk", "_w", "_off", "_loc")
+    joined = local.join(offsets, ["_blk", "_part"], "inner")
+    return joined.withColumn(out, F.col("_off") + F.col("_loc")).drop("_blk", "_part", "_w", "_off", "_loc")
 
 
 def weighted_inversions(values: np.ndarray, weights: np.ndarray) -> int:

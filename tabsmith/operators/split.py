@@ -9,16 +9,17 @@ partitioning.
 At scale the split never shuffles the table: for each class we only need the
 order statistic ``T_c`` = the smallest ``h`` that stays in train. It is found by
 counting rows per 4-hex-digit prefix of ``h`` (at most 65,536 counts per class, map-side
-aggregated), descending into the one bucket that holds the rank, until the bucket is
-small enough to list. Each level is one filtered scan; two levels cover 10^12 rows.
-Then ``test = h < T_c`` is a per-row comparison against a broadcast table with one
-row per class.
+aggregated and summed up on executors), descending into the one bucket that holds the
+rank, until the bucket is small enough for whole hashes. Each level is one filtered
+scan; two levels cover 10^12 rows. Only one row per class and level reaches the driver.
+Then ``test = h < T_c`` is a per-row comparison against a table with one row per class.
 """
 
 from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,9 +27,13 @@ from pyspark.sql import types as T
 from tabsmith.functions.columns import col
 from tabsmith.operators.ranking import prefix_before
 
-_PREFIX = 4          # hex digits per refinement level
-_LIST_LIMIT = 65_536  # a bucket this small is listed (h, count) instead of refined
+_PREFIX = 4              # hex digits per refinement level
+_HASH_DIGITS = 32
+_LIST_LIMIT = 65_536     # buckets this small are resolved to whole hashes at once
+_TIE_BLOCKS = 256        # coarse blocks where all columns order the rows (two levels beyond)
+_BROADCAST_ROWS = 50_000  # class tables up to this size are broadcast
 _NULL_MARK = "\u0001"
+_NESTED = (T.MapType, T.ArrayType, T.StructType, T.VariantType)
 
 
 def order_hash(df: DataFrame, key: list[str] | None, seed: int) -> Column:
@@ -38,6 +43,12 @@ def order_hash(df: DataFrame, key: list[str] | None, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 
+def _tie_columns(df: DataFrame) -> dict[str, Column]:
+    """All columns as order columns under names of their own; nested ones as text."""
+    return {f"_tie{i}": col(f.name).cast("string") if isinstance(f.dataType, _NESTED) else col(f.name)
+            for i, f in enumerate(df.schema.fields)}
+
+
 def allocate(class_counts: dict, n_first: int) -> dict:
     """Per-class share of ``n_first`` rows by largest remainder (ties by class value)."""
     n = sum(class_counts.values())
@@ -71,59 +82,47 @@ def split_sizes(class_counts: dict, test_size: float, rounding: str = "ceil") ->
     return {c: class_counts[c] - train[c] for c in class_counts}
 
 
-def _prefix_counts(hdf: DataFrame, state: dict | None, depth: int) -> dict:
-    """``{class: [(prefix, count), ...]}`` for the rows under each class's current prefix."""
-    src = hdf
-    if state is not None:
-        cond = None
-        for c, (prefix, _) in state.items():
-            term = F.col("_cls").eqNullSafe(F.lit(c)) & F.col("_h").startswith(prefix)
-            cond = term if cond is None else cond | term
-        src = hdf.where(cond)
-    per: dict = {}
-    for r in src.groupBy("_cls", F.substring("_h", 1, depth).alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect():
-        per.setdefault(r["_cls"], []).append((r["_p"], r["_n"]))
-    return per
+def _class_table(hdf: DataFrame, rows: list[tuple], columns: str) -> DataFrame:
+    """``rows`` (one per class, class first) as a frame; broadcast while it is small."""
+    dtype = hdf.schema["_cls"].dataType.simpleString()
+    table = hdf.sparkSession.createDataFrame(rows, f"_c {dtype}, {columns}")
+    return F.broadcast(table) if len(rows) <= _BROADCAST_ROWS else table
+
+
+def _prefix_counts(hdf: DataFrame, depth: int, at: dict | None = None) -> DataFrame:
+    """``(_cls, _p, _n)``: rows per class and hash prefix; with ``at`` ({class: prefix})
+    only those under the class's prefix."""
+    if at is not None:
+        state = _class_table(hdf, list(at.items()), "_at string")
+        hdf = hdf.join(state, hdf["_cls"].eqNullSafe(state["_c"]) & F.col("_h").startswith(F.col("_at")))
+    return hdf.groupBy("_cls", F.substring("_h", 1, depth).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _boundaries(counts: DataFrame, ranks: dict, before: dict) -> dict:
+    """``{class: (prefix, rows before it, rows in it)}`` of the bucket that holds the
+    class's rank. Summed up on executors (at most 65,536 buckets a class); one row per
+    class is collected."""
+    wanted = _class_table(counts, [(c, ranks[c], before[c]) for c in ranks], "_rank long, _before long")
+    run = counts.withColumn("_run", F.sum("_n").over(Window.partitionBy("_cls").orderBy("_p")))
+    run = run.join(wanted, run["_cls"].eqNullSafe(wanted["_c"])).withColumn("_start", F.col("_before") + F.col("_run") - F.col("_n"))
+    hit = run.where((F.col("_start") < F.col("_rank")) & (F.col("_start") + F.col("_n") >= F.col("_rank")))
+    return {r["_cls"]: (r["_p"], r["_start"], r["_n"]) for r in hit.select("_cls", "_p", "_start", "_n").collect()}
 
 
-def _thresholds(hdf: DataFrame, ranks: dict, level1: dict) -> dict:
+def _thresholds(hdf: DataFrame, ranks: dict, level1: DataFrame) -> dict:
     """For each class, ``(T, k)``: T = h of the row with 1-based rank ``ranks[c]``;
     k = how many rows with h == T come before it (0 unless keys repeat).
 
-    ``level1`` holds the first-level prefix counts already computed by the caller. Each
-    further level is one scan for all unresolved classes; the final small buckets of all
-    classes are listed in one scan.
+    ``level1`` holds the first-level prefix counts of the caller. Each further level is
+    one scan for all classes; once every bucket is small it is resolved to whole hashes.
     """
-    state = {c: ("", 0) for c in ranks}
-    per, depth, out = level1, _PREFIX, {}
-    while state:
-        final, nxt = {}, {}
-        for c, (_, before) in state.items():
-            run = before
-            for p, n in sorted(per.get(c, [])):
-                if run + n >= ranks[c]:
-                    (final if (n <= _LIST_LIMIT or depth >= 32) else nxt)[c] = (p, run)
-                    break
-                run += n
-        if final:
-            cond = None
-            for c, (p, _) in final.items():
-                term = F.col("_cls").eqNullSafe(F.lit(c)) & F.col("_h").startswith(p)
-                cond = term if cond is None else cond | term
-            listed: dict = {}
-            for r in hdf.where(cond).groupBy("_cls", "_h").agg(F.count(F.lit(1)).alias("_n")).collect():
-                listed.setdefault(r["_cls"], []).append((r["_h"], r["_n"]))
-            for c, (_, run) in final.items():
-                for h, m in sorted(listed.get(c, [])):
-                    if run + m >= ranks[c]:
-                        out[c] = (h, ranks[c] - run - 1)
-                        break
-                    run += m
-        state = nxt
-        if state:
-            depth += _PREFIX
-            per = _prefix_counts(hdf, state, depth)
-    return out
+    depth, found = _PREFIX, _boundaries(level1, ranks, dict.fromkeys(ranks, 0))
+    while depth < _HASH_DIGITS:
+        small = max(n for _, _, n in found.values()) <= _LIST_LIMIT
+        depth = _HASH_DIGITS if small else min(_HASH_DIGITS, depth + _PREFIX)
+        counts = _prefix_counts(hdf, depth, {c: p for c, (p, _, _) in found.items()})
+        found = _boundaries(counts, ranks, {c: start for c, (_, start, _) in found.items()})
+    return {c: (p, ranks[c] - start - 1) for c, (p, start, _) in found.items()}
 
 
 def assign_split(df: DataFrame, test_size: float = 0.2, seed: int = 42, stratify_by: str | None = None,
@@ -135,14 +134,17 @@ def assign_split(df: DataFrame, test_size: float = 0.2, seed: int = 42, stratify
     h = order_hash(df, key, seed)
     cls = col(stratify_by) if stratify_by else F.lit(0)
     hdf = df.select(cls.alias("_cls"), h.alias("_h"))
-    level1 = _prefix_counts(hdf, None, _PREFIX)       # also yields the class sizes
-    counts = {c: sum(n for _, n in v) for c, v in level1.items()}
-    if not counts:
-        return df.withColumn(output, F.lit(None).cast("string"))
-    n_test = split_sizes(counts, test_size, rounding)
-    # rank of the first TRAIN row in each class that is not all-test / all-train
-    ranks = {c: n_test[c] + 1 for c in counts if 0 < n_test[c] < counts[c]}
-    thr = _thresholds(hdf, ranks, level1) if ranks else {}
+    level1 = _prefix_counts(hdf, _PREFIX).persist(StorageLevel.MEMORY_AND_DISK)  # also yields the class sizes
+    try:
+        counts = {r["_cls"]: r["n"] for r in level1.groupBy("_cls").agg(F.sum("_n").alias("n")).collect()}
+        if not counts:
+            return df.withColumn(output, F.lit(None).cast("string"))
+        n_test = split_sizes(counts, test_size, rounding)
+        # rank of the first TRAIN row in each class that is not all-test / all-train
+        ranks = {c: n_test[c] + 1 for c in counts if 0 < n_test[c] < counts[c]}
+        thr = _thresholds(hdf, ranks, level1) if ranks else {}
+    finally:
+        level1.unpersist()
     rows = []
     for c in counts:
         if n_test[c] == 0:
@@ -150,25 +152,22 @@ def assign_split(df: DataFrame, test_size: float = 0.2, seed: int = 42, stratify
         elif n_test[c] == counts[c]:
             rows.append((c, "g", 0, True))           # every hex string is < "g": all test
         else:
-            t, k = thr[c]
-            rows.append((c, t, k, False))
-    spark = df.sparkSession
-    schema = hdf.schema["_cls"].dataType.simpleString()
-    table = spark.createDataFrame(rows, f"_cls {schema}, _t string, _k long, _all boolean")
+            rows.append((c, *thr[c], False))
+    table = _class_table(hdf, rows, "_t string, _k long, _all boolean")
     with_h = df.withColumn("_h", h).withColumn("_cls", cls)
-    joined = with_h.join(F.broadcast(table), with_h["_cls"].eqNullSafe(table["_cls"]), "left") \
-        .drop(table["_cls"])
+    joined = with_h.join(table, with_h["_cls"].eqNullSafe(table["_c"]), "left").drop("_c")
     is_test = F.col("_all") | (F.col("_h") < F.col("_t"))
     if not any(r[2] > 0 for r in rows):
         return joined.withColumn(output, F.when(is_test, "test").otherwise("train")) \
             .drop("_h", "_cls", "_t", "_k", "_all")
-    # repeated keys straddle the boundary: order the tied rows by all columns
+    # repeated keys straddle the boundary: the tied rows are ordered by all columns and
+    # ranked in blocks, however many there are
     main = joined.where(F.col("_h") != F.col("_t")) \
         .withColumn(output, F.when(is_test, "test").otherwise("train"))
-    tied = joined.where(F.col("_h") == F.col("_t"))
-    w = Window.partitionBy("_cls").orderBy(*[col(c) for c in df.columns])
-    tied = tied.withColumn("_rn", F.row_number().over(w)) \
-        .withColumn(output, F.when(F.col("_rn") <= F.col("_k"), "test").otherwise("train")).drop("_rn")
+    ties = _tie_columns(df)
+    tied = joined.where(F.col("_h") == F.col("_t")).withColumns(ties)
+    tied = prefix_before(tied, ["_cls"], list(ties), out="_rn", max_blocks=_TIE_BLOCKS) \
+        .withColumn(output, F.when(F.col("_rn") < F.col("_k"), "test").otherwise("train")).drop("_rn", *ties)
     return main.unionByName(tied).drop("_h", "_cls", "_t", "_k", "_all")
 
 
@@ -197,9 +196,8 @@ def assign_folds(df: DataFrame, k: int = 3, seed: int = 42, stratify_by: str | N
     h = order_hash(df, key, seed)
     cls = col(stratify_by) if stratify_by else F.lit(0)
     tagged = df.withColumn("_h", h).withColumn("_cls", cls)
-    # rows that tie on the key are told apart by their other columns, so that the folds do
+    # rows that tie on the key are told apart by all their columns, so that the folds do
     # not depend on the partitioning (equal rows are interchangeable)
-    ties = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    tagged = tagged.withColumn("_tie", F.struct(*[col(c) for c in ties]))
-    ranked = prefix_before(tagged, ["_cls"], ["_h", "_tie"], out="_before").drop("_tie")
+    ties = _tie_columns(df)
+    ranked = prefix_before(tagged.withColumns(ties), ["_cls"], ["_h", *ties], out="_before", max_blocks=_TIE_BLOCKS).drop(*ties)
     return ranked.withColumn(output, (F.col("_before") % k).cast("int")).drop("_h", "_cls", "_before")

@@ -68,6 +68,7 @@ def explore(spark: SparkSession, in_path: str, out_dir: str, target: str = TARGE
             "top_levels": profile.categorical_summary(df, top_n, cats) if cats else None,
             "correlation": correlation.heatmap_cells(df, "pearson", nums) if len(nums) > 1 else None,
             "histograms": chartdata.histogram(df, nums) if nums else None,
+            "density": chartdata.density_curve(df, nums) if nums else None,
             "box_stats": chartdata.box_stats(df, target, nums) if target in df.columns and nums else None,
             "category_counts": chartdata.category_frequency(df, cats) if cats else None,
             "class_balance": chartdata.class_balance(df, target) if target in df.columns else None,

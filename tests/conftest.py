@@ -23,22 +23,16 @@ def spark():
 
 @pytest.fixture
 def sample_csv(tmp_path):
-    """Three census-like rows: blank after each comma, '?' missing, rows 1 and 3 equal."""
-    content = "age, workclass, salary\n39, State-gov, <=50K\n50, ?, >50K\n39, State-gov, <=50K\n"
-    path = tmp_path / "sample.csv"
-    path.write_text(content, encoding="utf-8")
+    """Coffee lots: a blank after each comma, one missing roast, the first lot listed twice."""
+    path = tmp_path / "lots.csv"
+    path.write_text("lot, roast, grade\n7, dark, B\n7, dark, B\n12, NA, A\n15, dark, A\n", encoding="utf-8")
     return str(path)
 
 
 @pytest.fixture
-def mini_census(spark):
-    rows = [
-        (25, 1, "Bachelors", "Private", "Male", "<=50K"),
-        (40, 2, "HS-grad", None, "Female", ">50K"),
-        (35, 3, "Masters", "Private", "Female", "<=50K"),
-        (50, 4, "HS-grad", "Self-emp", "Male", ">50K"),
-        (28, 5, "Bachelors", "Private", "Male", "<=50K"),
-        (60, 6, "Doctorate", "Private", "Female", ">50K"),
-    ]
+def crates(spark):
+    """Fruit crates with one unknown farm, one unknown fruit and a padded state."""
     return spark.createDataFrame(
-        rows, "age long, fnlwgt long, education string, workclass string, sex string, salary string")
+        [(1, 10.0, "apple", "north", "ripe"), (2, 12.5, "pear", None, "green"), (3, 9.0, None, "north", "green"),
+         (4, 11.0, "plum", "south", "ripe"), (5, 10.0, "pear", "north", " ripe")],
+        "crate long, kilos double, fruit string, farm string, state string")

@@ -10,15 +10,15 @@ from tabsmith.sources.sinks import export_four_files
 
 
 def test_csv_with_explicit_schema(spark, sample_csv):
-    df = CSVDataLoader(sample_csv, schema="age int, workclass string, salary string, extra double").load(spark)
-    assert df.dtypes == [("age", "int"), ("workclass", "string"), ("salary", "string"), ("extra", "double")]
-    assert df.where("workclass is null").count() == 1 and df.where("extra is null").count() == 3
+    df = CSVDataLoader(sample_csv, schema="lot int, roast string, grade string, extra double").load(spark)
+    assert df.dtypes == [("lot", "int"), ("roast", "string"), ("grade", "string"), ("extra", "double")]
+    assert df.where("roast is null").count() == 1 and df.where("extra is null").count() == 4
 
 
 def test_load_counts_observed_without_extra_job(spark, sample_csv):
     df, obs = with_load_counts(CSVDataLoader(sample_csv).load(spark))
     df.write.format("noop").mode("overwrite").save()
-    assert obs.get["rows"] == 3
+    assert obs.get["rows"] == 4
 
 
 def test_vector_one_hot_equals_dummy_columns(spark):
