@@ -417,6 +417,167 @@ def q_m8_tune_mlp(spark, sf_dir):
     return tune_holdout(_t(spark, sf_dir, "lineitem"), "mlp", grid=grid, max_candidates=2, max_iter=20, refit_max_iter=20)
 
 
+def _scratch(spark, name: str) -> str:
+    """A new folder in the shared scratch folder."""
+    import uuid
+
+    from tabsmith.session import shared_path
+
+    return shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_a7_special_values(spark, sf_dir):
+    """A7 on whole ``events`` with infinities put in for two of every fifty ids."""
+    events = _t(spark, sf_dir, "events").select(F.expr(
+        "CASE event_id % 50 WHEN 0 THEN double('Infinity') WHEN 1 THEN double('-Infinity') ELSE value END").alias("value"))
+    out = profile.numerical_summary(events, ["value"]).select("column", "count", "min", "q25", "q50", "q75", "max")
+    return _round_cols(out, ["q25", "q50", "q75"], 6)
+
+
+def q_p2_column_roles(spark, sf_dir):
+    """The numeric and the categorical columns of three tables."""
+    from tabsmith.functions.columns import categorical_columns, numeric_columns
+
+    rows = []
+    for name in ("lineitem", "orders", "part"):
+        table = _t(spark, sf_dir, name)
+        rows += [(name, c, "numeric") for c in numeric_columns(table)]
+        rows += [(name, c, "categorical") for c in categorical_columns(table)]
+    return spark.createDataFrame(rows, "table_name string, column string, role string")
+
+
+def q_s4_header_strip(spark, sf_dir):
+    from tabsmith.sources.loaders import strip_header
+
+    part = _t(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    return strip_header(part.toDF(*[f"  {c}\t" for c in part.columns]))
+
+
+def q_s8_load_counts(spark, sf_dir):
+    """Rows counted by the scan of each table's next action."""
+    from tabsmith.sources.loaders import with_load_counts
+
+    rows = []
+    for name in ("orders", "lineitem", "documents"):
+        df, seen = with_load_counts(_t(spark, sf_dir, name), f"load_{name}")
+        df.write.format("noop").mode("overwrite").save()
+        rows.append((name, seen.get["rows"]))
+    return spark.createDataFrame(rows, "table_name string, n_rows long")
+
+
+def q_s9_table_sink(spark, sf_dir):
+    from tabsmith.sources.sinks import write_table
+
+    path = _scratch(spark, "s9-table")
+    write_table(_t(spark, sf_dir, "orders").drop("o_orderdate"), path)
+    return spark.read.parquet(path)
+
+
+def q_s12_predictions(spark, sf_dir):
+    """Keyed predictions of a rule, written and read back."""
+    from tabsmith.sources.sinks import write_predictions
+
+    path = _scratch(spark, "s12-predictions")
+    scored = _t(spark, sf_dir, "lineitem").withColumn("prediction", (F.col("l_quantity") > 25).cast("int"))
+    write_predictions(scored, path, LINEITEM_KEY)
+    return spark.read.parquet(path)
+
+
+def q_s14_run_log(spark, sf_dir):
+    """The metrics of the compared rules (E7), logged and read back by run."""
+    from tabsmith.plans.runs import RunLog
+
+    log = RunLog(spark, _scratch(spark, "s14-runs"))
+    for m in _rule_metrics(spark, sf_dir).collect():          # one row a model
+        log.log_run(m["model"], "rule", "baseline", {}, {k: m[k] for k in ("accuracy", "precision", "recall", "f1")})
+    out = log.runs().join(log.metrics(), "run_id").select("run_name", "version", "name", "value")
+    return _round_cols(out, ["value"], 9)
+
+
+def q_s15_report_sink(spark, sf_dir):
+    """Two report tables written and read back."""
+    from tabsmith.sources.sinks import write_report
+
+    part = _t(spark, sf_dir, "part")
+    paths = write_report({"cardinality": quality.cardinality_report(part),
+                          "levels": chartdata.category_frequency(part, ["p_brand", "p_type"])}, _scratch(spark, "s15-report"))
+    cardinality = spark.read.parquet(paths["cardinality"]).select(
+        F.lit("cardinality").alias("section"), "column", F.lit(None).cast("string").alias("value"),
+        F.col("unique_values").alias("cnt"))
+    return cardinality.unionByName(spark.read.parquet(paths["levels"]).select(
+        F.lit("levels").alias("section"), "column", "value", "cnt"))
+
+
+def q_w3_explore(spark, sf_dir):
+    """The explore job on ``orders``; levels, classes and counts of its report tables."""
+    from tabsmith.plans.jobs import explore
+
+    paths = explore(spark, os.path.join(sf_dir, "orders.parquet"), _scratch(spark, "w3-explore"), target="o_orderstatus")
+    none = F.lit(None).cast("string")
+    parts = [
+        spark.read.parquet(paths["category_counts"]).select(F.lit("level").alias("section"), "column", "value", "cnt"),
+        spark.read.parquet(paths["class_balance"]).select(F.lit("class").alias("section"),
+                                                          F.lit("o_orderstatus").alias("column"), "value", "cnt"),
+        spark.read.parquet(paths["numeric_stats"]).select(F.lit("numeric").alias("section"), "column",
+                                                          none.alias("value"), F.col("count").alias("cnt")),
+        spark.read.parquet(paths["histograms"]).groupBy("column").agg(F.sum("cnt").alias("cnt")).select(
+            F.lit("histogram").alias("section"), "column", none.alias("value"), "cnt"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def q_w5_score_bundle(spark, sf_dir):
+    """A small boosted model trained on the train split of lineitem is
+    saved, loaded and applied to the test split by the scoring job; every row tells whether the
+    probability, the threshold and the unsaved model agree with what the job wrote."""
+    from tabsmith.plans.jobs import score
+    from tabsmith.plans.models import build_pipeline, predict
+    from tabsmith.sources.sinks import save_model, write_split_table
+
+    base = _scratch(spark, "w5-score")
+    data = _t(spark, sf_dir, "lineitem").select(
+        *LINEITEM_KEY, *LINEITEM_MEASURES, "l_returnflag", (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    write_split_table(assign_split(data, 0.2, SEED, "l_returnflag", LINEITEM_KEY), f"{base}/table")
+    table = spark.read.parquet(f"{base}/table")
+    model = build_pipeline("gbt", LINEITEM_MEASURES, LINEITEM_MEASURES, "label", n_estimators=3, max_depth=2) \
+        .fit(table.where("split = 'train'"))
+    save_model(model, f"{base}/model")
+    test = f"{base}/table/split=test"
+    loaded = score(spark, f"{base}/model", test, f"{base}/scored", LINEITEM_KEY, threshold=0.3)
+    direct = predict(model, spark.read.parquet(test), 0.3, keep=LINEITEM_KEY) \
+        .withColumnsRenamed({"p1": "p1_direct", "prediction": "direct"})
+    return loaded.join(direct, LINEITEM_KEY).select(
+        *LINEITEM_KEY, F.col("p1").between(0, 1).alias("p_in_range"),
+        (F.col("prediction") == (F.col("p1") >= 0.3).cast("int")).alias("threshold_holds"),
+        ((F.col("p1") == F.col("p1_direct")) & (F.col("prediction") == F.col("direct"))).alias("same_as_unsaved"))
+
+
+def q_c6_removed_rows(spark, sf_dir):
+    """Rows removed by de-duplication, observed during its action."""
+    step = DropDuplicateRows(observe=True)
+    step(_t(spark, sf_dir, "events").select("event_type", "user_id")).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(step.removed,)], "removed long")
+
+
+def q_f5_unseen_levels(spark, sf_dir):
+    """levels learned without the urgent orders, which then get zeros."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    model = OneHotCategoricalEncoder(dropFirst=True).fit(orders.where("o_orderpriority <> '1-URGENT'"))
+    return model.transform(orders).select("o_orderkey", *[col(c) for c in model.encoded_columns_])
+
+
+def q_s2_csv_quoted(spark, sf_dir):
+    """Whole ``documents`` texts as quoted CSV with line breaks, written and read back."""
+    from tabsmith.sources.loaders import CSVDataLoader
+
+    path = _scratch(spark, "s2-documents-csv")
+    _t(spark, sf_dir, "documents").select("doc_id", "text").write.option("header", True).option("escape", '"').csv(path)
+    return CSVDataLoader(path, null_tokens=[], default_null_tokens=False, schema="doc_id long, text string").load(spark)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "a7_summary": q_a7_summary,
     "a8_skew": q_a8_skew,
@@ -475,6 +636,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "f13_folds_repeated_key": q_f13_folds_repeated_key,
     "j1_pair_by_key": q_j1_pair_by_key,
     "c4_fill_constant": q_c4_fill_constant,
+    "a7_special_values": q_a7_special_values,
+    "p2_column_roles": q_p2_column_roles,
+    "s4_header_strip": q_s4_header_strip,
+    "s8_load_counts": q_s8_load_counts,
+    "s9_table_sink": q_s9_table_sink,
+    "s12_predictions": q_s12_predictions,
+    "s14_run_log": q_s14_run_log,
+    "s15_report_sink": q_s15_report_sink,
+    "w3_explore": q_w3_explore,
+    "w5_score_bundle": q_w5_score_bundle,
+    "c6_removed_rows": q_c6_removed_rows,
+    "f5_unseen_levels": q_f5_unseen_levels,
+    "s2_csv_quoted": q_s2_csv_quoted,
 }
 
 

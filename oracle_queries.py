@@ -343,19 +343,17 @@ SQRT_2PI = 2.5066282746310002
 
 
 def _density() -> str:
+    """The kernel sum over the raw rows."""
     c = "l_extendedprice"
-    kernel = f"1e6 * sum(cnt * exp(-0.5 * ((x - centre) / bw) * ((x - centre) / bw)) / (n * bw * {SQRT_2PI}))"
+    kernel = f"1e6 * sum(exp(-0.5 * ((x - v) / bw) * ((x - v) / bw)) / (n * bw * {SQRT_2PI}))"
     return f"""WITH p AS (
   SELECT count({c}) AS n, stddev_samp({c}) AS s, min({c})::DOUBLE AS lo, max({c})::DOUBLE AS hi FROM lineitem),
 q AS (SELECT n, lo, hi, s * pow(n::DOUBLE, -0.2) AS bw FROM p WHERE n > 1 AND s > 0),
-fine AS (
-  SELECT CAST(least(floor(({c} - lo) / ((hi - lo) / 2048)), 2047) AS BIGINT) AS b, count(*) AS cnt
-  FROM lineitem, q WHERE {c} IS NOT NULL GROUP BY 1),
-cen AS (SELECT lo + (b + 0.5) * (hi - lo) / 2048 AS centre, cnt FROM fine, q),
+raw AS (SELECT {c}::DOUBLE AS v FROM lineitem WHERE {c} IS NOT NULL),
 g AS (SELECT CAST(i AS INTEGER) AS i, lo + i * (hi - lo) / 199 AS x FROM q, range(0, 200) t(i))
 SELECT '{c}' AS "column", i, {r('x')} AS x,
   {r(kernel)} AS density
-FROM g, cen, q GROUP BY i, x"""
+FROM g, raw, q GROUP BY i, x"""
 
 
 _BUILD = f"""WITH t AS (
@@ -518,4 +516,43 @@ FROM orders""",
   ELSE value END::DOUBLE AS value FROM events""",
     "w1_clean": f"""SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
   coalesce(nullif(o_orderpriority, '{TOKEN}'), {_MODE}) AS o_orderpriority FROM orders""",
+    "a7_special_values": f"""WITH v AS (SELECT CASE event_id % 50 WHEN 0 THEN 'Infinity'::DOUBLE
+  WHEN 1 THEN '-Infinity'::DOUBLE ELSE value END AS x FROM events),
+k AS (SELECT x FROM v WHERE x IS NOT NULL AND NOT isnan(x))
+SELECT 'value' AS "column", count(x) AS "count", min(x) AS min, {r('quantile_cont(x, 0.25)')} AS q25,
+  {r('quantile_cont(x, 0.5)')} AS q50, {r('quantile_cont(x, 0.75)')} AS q75, max(x) AS max FROM k""",
+    "p2_column_roles": """SELECT DISTINCT table_name, column_name AS "column",
+  CASE WHEN data_type = 'VARCHAR' THEN 'categorical' ELSE 'numeric' END AS role
+FROM information_schema.columns WHERE table_name IN ('lineitem', 'orders', 'part')
+  AND (data_type IN ('VARCHAR', 'TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT', 'FLOAT', 'DOUBLE') OR data_type LIKE 'DECIMAL%')""",
+    "s4_header_strip": "SELECT p_partkey, p_name, p_brand FROM part",
+    "s8_load_counts": _union([f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"
+                              for t in ("orders", "lineitem", "documents")]),
+    "s9_table_sink": "SELECT * EXCLUDE (o_orderdate) FROM orders",
+    "s12_predictions": f"SELECT {KEY}, CAST(l_quantity > 25 AS INTEGER) AS prediction FROM lineitem",
+    "s14_run_log": f"""WITH {_rule_counts()}
+""" + _union([f"SELECT model AS run_name, 'baseline' AS version, '{k}' AS name, {r(k, 9)} AS value FROM m"
+              for k in ("accuracy", "precision", "recall", "f1")]),
+    "s15_report_sink": _union(
+        [f"SELECT 'cardinality' AS section, column_name AS \"column\", NULL::VARCHAR AS value, n AS cnt FROM "
+         f"(SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n FROM part)" for c in ["p_name", "p_brand", "p_type"]]
+        + [f"SELECT 'levels', '{c}', {c}, count(*) FROM part WHERE {c} IS NOT NULL GROUP BY {c}"
+           for c in ("p_brand", "p_type")]),
+    "w3_explore": _union(
+        ["""SELECT 'level' AS section, 'o_orderpriority' AS "column", o_orderpriority AS value, count(*) AS cnt
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority""",
+         """SELECT 'class', 'o_orderstatus', o_orderstatus, count(*) FROM orders
+WHERE o_orderstatus IS NOT NULL GROUP BY o_orderstatus"""]
+        + [f"SELECT '{s}', '{c}', NULL, count({c}) FROM orders" for s in ("numeric", "histogram")
+           for c in ("o_orderkey", "o_custkey", "o_totalprice")]),
+    "w5_score_bundle": f"""WITH {_split_cte('l_returnflag', 42)}
+SELECT {KEY}, true AS p_in_range, true AS threshold_holds, true AS same_as_unsaved
+FROM rk JOIN te USING (cls) WHERE rn <= n_test_c""",
+    "c6_removed_rows": """SELECT (SELECT count(*) FROM events)
+  - (SELECT count(*) FROM (SELECT DISTINCT event_type, user_id FROM events)) AS removed""",
+    "f5_unseen_levels": """SELECT o_orderkey,
+  CAST(coalesce(o_orderpriority = '3-MEDIUM', false) AS INTEGER) AS "o_orderpriority_3-MEDIUM",
+  CAST(coalesce(o_orderpriority = '4-NOT SPECIFIED', false) AS INTEGER) AS "o_orderpriority_4-NOT SPECIFIED",
+  CAST(coalesce(o_orderpriority = '5-LOW', false) AS INTEGER) AS "o_orderpriority_5-LOW" FROM orders""",
+    "s2_csv_quoted": "SELECT doc_id, text FROM documents",
 }

@@ -1,12 +1,13 @@
 """Chart data (V1-V7): the small tables behind each picture, computed on executors.
 
 Rendering is left to the caller; every function returns a frame whose size depends on
-bins, levels or classes - never on the number of rows.
+bins, levels or classes, not directly on the number of rows.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ from tabsmith.functions.columns import col, numeric_columns, numeric_value
 from tabsmith.operators.frequency import frequency_table, level_shares, unpivot_values
 from tabsmith.operators.quantiles import exact_quantiles
 
+BINS_PER_TASK = 1_000_000      # histogram bins made by one task
+BINS_PER_BANDWIDTH = 20
+KERNEL_REACH = 40              # bandwidths; exp(-40 * 40 / 2) is zero in doubles
+
 
 def _auto_bins_params(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row per column: ``lo, hi, bins`` with numpy's 'auto' rule.
@@ -48,74 +53,96 @@ def _auto_bins_params(df: DataFrame, columns: list[str]) -> DataFrame:
     return row.select(F.inline(F.array(*structs))).where("n > 0")
 
 
-def histogram(df: DataFrame, columns: list[str] | None = None, bins: int | None = None) -> DataFrame:
+def histogram(df: DataFrame, columns: list[str] | None = None, bins: int | None = None,
+              empty_bins: bool = True) -> DataFrame:
     """V1: ``(column, bin, lo, hi, cnt)``, equal-width bins, last bin closed, zero-filled.
 
     Pass 1 (one aggregate) fixes range and bin count per column; pass 2 assigns each
     value ``least(floor((v - lo) * bins / (hi - lo)), bins - 1)`` and counts with a
-    partial aggregate. Empty bins come from a ``sequence`` over the parameter rows.
+    partial aggregate. The bins come from ``spark.range``, so however many the rule asks
+    for, no task holds them all; ``empty_bins=False`` leaves out those without a value.
+    A column with an infinite value has no bin width and raises ``ValueError``.
     """
     columns = columns if columns is not None else numeric_columns(df)
-    params = _auto_bins_params(df, columns)
-    if bins is not None:
-        params = params.withColumn("bins", F.lit(bins).cast("long"))
-    params = F.broadcast(params)
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), numeric_value(c, df).alias("v")) for c in columns
-    ]))).where(F.col("v").isNotNull())
-    norm = F.col("bins") / (F.col("hi") - F.col("lo"))
-    idx = F.floor((F.col("v") - F.col("lo")) * norm).cast("long")
-    idx = F.least(F.greatest(idx, F.lit(0)), F.col("bins") - 1)
-    counts = long.join(params, "column").select("column", idx.alias("bin")).groupBy("column", "bin") \
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    grid = params.select("column", "lo", "hi", "bins",
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("bins") - 1)).alias("bin"))
-    step = (F.col("hi") - F.col("lo")) / F.col("bins")
-    return grid.join(counts, ["column", "bin"], "left").select(
-        "column", "bin", (F.col("lo") + F.col("bin") * step).alias("lo"),
-        F.when(F.col("bin") == F.col("bins") - 1, F.col("hi")).otherwise(F.col("lo") + (F.col("bin") + 1) * step)
-        .alias("hi"),
-        F.coalesce("cnt", F.lit(0)).cast("long").alias("cnt"))
-
-
-def density_curve(df: DataFrame, columns: list[str] | None = None, points: int = 200,
-                  fine_bins: int = 2048) -> DataFrame:
+    spark = df.sparkSession
+    df = df.select(*[col(c) for c in columns])
+    params = _auto_bins_params(df, columns).collect() if columns else []     # one row a column
+    if not params:
+        return spark.createDataFrame([], "column string, bin long, lo double, hi double, cnt long")
+    cells, grids, edges, at = [], [], [], F.col("bin")
+    for p in params:
+        c, lo, hi, k = p["column"], p["lo"], p["hi"], int(bins if bins is not None else p["bins"])
+        if not math.isfinite(hi - lo):
+            raise ValueError(f"column {c!r} has no finite range")
+        v = numeric_value(c, df)
+        idx = F.floor((v - F.lit(lo)) * F.lit(k / (hi - lo))).cast("long")
+        idx = F.least(F.greatest(idx, F.lit(0)), F.lit(k - 1)).cast("long")
+        cells.append(F.struct(F.lit(c).alias("column"), F.when(v.isNotNull(), idx).alias("bin")))
+        step = (hi - lo) / k
+        edges.append(F.when(F.col("column") == c, F.struct(
+            (F.lit(lo) + at * F.lit(step)).alias("lo"),
+            F.when(at == k - 1, F.lit(hi)).otherwise(F.lit(lo) + (at + 1) * F.lit(step)).alias("hi"))))
+        if empty_bins:
+            grids.append(spark.range(0, k, 1, -(-k // BINS_PER_TASK))
+                         .select(F.lit(c).alias("column"), F.col("id").alias("bin")))
+    out = df.select(F.inline(F.array(*cells))).where("bin IS NOT NULL") \
+        .groupBy("column", "bin").agg(F.count(F.lit(1)).alias("cnt"))
+    if empty_bins:
+        out = reduce(DataFrame.unionByName, grids).join(out, ["column", "bin"], "left")
+    return out.withColumn("edge", F.coalesce(*edges)).select(
+        "column", "bin", "edge.lo", "edge.hi", F.coalesce("cnt", F.lit(0)).cast("long").alias("cnt"))
+
+
+def density_curve(df: DataFrame, columns: list[str] | None = None, points: int = 200) -> DataFrame:
     """V2: Gaussian KDE (Scott bandwidth) at ``points`` grid points between min and max.
 
-    The estimate is evaluated from a fine histogram (bin centres weighted by counts),
-    so its cost is bins x points, independent of rows.
+    Values are gathered in bins of a twentieth of the bandwidth. Each non-empty bin keeps
+    its count and the sums of the first four powers of the distance ``d`` to its centre;
+    with the Hermite polynomials ``exp(-(z - d)^2 / 2) = exp(-z^2 / 2) * sum He_k(z) d^k / k!``
+    they give the kernel sum to 1e-10 of the kernel's peak, whatever the range of the column. A bin
+    reaches only the points within 40 bandwidths, beyond which the kernel is zero in doubles.
+    The cost after one pass over the rows is non-empty bins x points in reach.
+    Columns with fewer than two values, no spread or an infinite value have no curve.
     """
     columns = columns if columns is not None else numeric_columns(df)
+    spark = df.sparkSession
+    df = df.select(*[col(c) for c in columns])
     aggs = []
     for i, c in enumerate(columns):
         v = numeric_value(c, df)
         aggs += [F.count(v).alias(f"n{i}"), F.stddev_samp(v).alias(f"s{i}"),
                  F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
-    row = df.agg(*aggs)
-    params = row.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n"), F.col(f"s{i}").alias("s"),
-                 F.col(f"lo{i}").alias("lo"), F.col(f"hi{i}").alias("hi"))
-        for i, c in enumerate(columns)
-    ]))).where("n > 1 and s > 0")
-    # Scott's factor n^(-1/5) times the sample standard deviation
-    params = params.withColumn("bw", F.col("s") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    params = F.broadcast(params)
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), numeric_value(c, df).alias("v")) for c in columns
-    ]))).where(F.col("v").isNotNull())
-    width = (F.col("hi") - F.col("lo")) / fine_bins
-    b = F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(fine_bins - 1)).cast("long")
-    fine = long.join(params, "column").select("column", b.alias("b"), "lo", "hi", "n", "bw") \
-        .groupBy("column", "b", "lo", "hi", "n", "bw").agg(F.count(F.lit(1)).alias("cnt"))
-    centre = F.col("lo") + (F.col("b") + 0.5) * (F.col("hi") - F.col("lo")) / fine_bins
-    fine = fine.withColumn("centre", centre)
-    grid = params.select("column", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"),
-                         "lo", "hi") \
-        .select("column", "i", (F.col("lo") + F.col("i") * (F.col("hi") - F.col("lo")) / (points - 1)).alias("x"))
-    z = (F.col("x") - F.col("centre")) / F.col("bw")
-    contrib = F.col("cnt") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))
-    return grid.join(fine.select("column", "centre", "cnt", "n", "bw"), "column") \
-        .groupBy("column", "i", "x").agg(F.sum(contrib).alias("density")).orderBy("column", "i")
+    row = df.agg(*aggs).first() if columns else {}                            # one row of scalars
+    values, grid = [], []
+    for i, c in enumerate(columns):
+        n, s, lo, hi = (row[f"{f}{i}"] for f in ("n", "s", "lo", "hi"))
+        if n < 2 or not math.isfinite(s) or s <= 0 or not math.isfinite(hi - lo):
+            continue
+        bw = s * n ** -0.2                    # Scott's factor times the sample deviation
+        u = (numeric_value(c, df) - F.lit(lo)) / F.lit(bw)
+        gap = (hi - lo) / (points - 1)
+        values.append(F.struct(F.lit(c).alias("column"), u.alias("u"), F.lit(gap / bw).alias("gap")))
+        grid += [(c, j, lo + j * (hi - lo) / (points - 1), n * bw * math.sqrt(2 * math.pi)) for j in range(points)]
+    if not values:
+        return spark.createDataFrame([], "column string, i int, x double, density double")
+    centre = (F.col("b") + 0.5) / BINS_PER_BANDWIDTH
+    d = F.col("u") - centre
+    binned = df.select(F.inline(F.array(*values))).where(F.col("u").isNotNull()) \
+        .withColumn("b", F.floor(F.col("u") * BINS_PER_BANDWIDTH)).withColumn("d", d) \
+        .groupBy("column", "gap", "b").agg(
+            F.count(F.lit(1)).alias("m0"), F.sum("d").alias("m1"), F.sum(F.expr("d * d")).alias("m2"),
+            F.sum(F.expr("d * d * d")).alias("m3"), F.sum(F.expr("d * d * d * d")).alias("m4"))
+    first = F.greatest(F.ceil((centre - KERNEL_REACH) / F.col("gap")), F.lit(0)).cast("int")
+    last = F.least(F.floor((centre + KERNEL_REACH) / F.col("gap")), F.lit(points - 1)).cast("int")
+    reach = binned.withColumns({"c": centre, "first": first, "last": last}).where("first <= last") \
+        .withColumn("i", F.explode(F.sequence("first", "last"))).withColumn("z", F.expr("i * gap - c"))
+    kernel = F.expr("exp(-0.5D * z * z) * (m0 + z * m1 + (z * z - 1) * m2 / 2 + (z * z - 3) * z * m3 / 6"
+                    " + (z * z * (z * z - 6) + 3) * m4 / 24)")
+    sums = reach.groupBy("column", "i").agg(F.sum(kernel).alias("s"))
+    return spark.createDataFrame(grid, "column string, i int, x double, norm double") \
+        .join(sums, ["column", "i"], "left") \
+        .select("column", "i", "x", (F.coalesce("s", F.lit(0.0)) / F.col("norm")).alias("density")) \
+        .orderBy("column", "i")
 
 
 def box_stats(df: DataFrame, target: str, columns: list[str] | None = None, k: float = 1.5) -> DataFrame:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.functions.columns import numeric_columns, numeric_value
+from tabsmith.functions.columns import col, numeric_columns, numeric_value
 from tabsmith.functions.stats import pairwise_pearson
 from tabsmith.session import materialized, spread
 from tabsmith.operators.ranking import (
@@ -32,6 +32,7 @@ from tabsmith.operators.ranking import (
 
 
 AGGS_PER_PASS = 512   # keeps each aggregate's generated code small; more pairs -> more passes
+PAIRS_PER_PASS = 6    # Kendall: cells a row makes in one pass
 
 
 def _pairs(columns: list[str], diagonal: bool = False) -> list[tuple[int, int]]:
@@ -55,7 +56,7 @@ def pearson_matrix(df: DataFrame, columns: list[str] | None = None, complete: bo
     pairs = _pairs(columns)
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_x string, col_y string, corr double")
-    with materialized(df) as d:
+    with materialized(df.select(*[col(c) for c in dict.fromkeys(columns)])) as d:
         return _pearson_rows(d, columns, pairs, complete, means)
 
 
@@ -205,13 +206,14 @@ def _discordant(cells: DataFrame, max_cells: int, rows_per_block: int) -> dict[i
         ranked.unpersist()
 
 
-def kendall_matrix(df: DataFrame, columns: list[str] | None = None,
-                   rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+def kendall_matrix(df: DataFrame, columns: list[str] | None = None, rows_per_block: int = ROWS_PER_BLOCK,
+                   pairs_per_pass: int = PAIRS_PER_PASS) -> DataFrame:
     """``(col_x, col_y, corr)`` Kendall tau-b for every pair (pairwise-complete).
 
-    All pairs share each pass: one cell table ``(pair, x, y, n)``, one aggregate for
-    the tie totals and the discordant count of :func:`_discordant`. Results are a few
-    scalars per pair, assembled into a small frame.
+    Each pass takes ``pairs_per_pass`` pairs, so a row grows into that many cells at most
+    before they are counted. The pairs of a pass share one cell table ``(pair, x, y, n)``,
+    one aggregate for the tie totals and the discordant count of :func:`_discordant`.
+    Results are a few scalars per pair, assembled into a small frame.
     """
     columns = columns if columns is not None else numeric_columns(df)
     pairs = _pairs(columns)
@@ -219,7 +221,14 @@ def kendall_matrix(df: DataFrame, columns: list[str] | None = None,
     schema = "col_x string, col_y string, corr double"
     if not pairs:
         return spark.createDataFrame([], schema)
-    df = spread(df)
+    df = spread(df.select(*[col(c) for c in dict.fromkeys(columns)]))
+    rows = []
+    for start in range(0, len(pairs), pairs_per_pass):
+        rows += _kendall_rows(df, columns, pairs[start:start + pairs_per_pass], rows_per_block)
+    return spark.createDataFrame(rows, schema)
+
+
+def _kendall_rows(df: DataFrame, columns: list[str], pairs: list, rows_per_block: int) -> list[tuple]:
     vals = [numeric_value(c, df) for c in columns]
     entries = F.array(*[
         F.when(vals[i].isNotNull() & vals[j].isNotNull(),
@@ -253,7 +262,7 @@ def kendall_matrix(df: DataFrame, columns: list[str] | None = None,
             if den > 0:
                 corr = (n0 - n1 - n2 + n3 - 2 * nd.get(p, 0)) / math.sqrt(den)
         rows.append((columns[i], columns[j], corr))
-    return spark.createDataFrame(rows, schema)
+    return rows
 
 
 def kendall_pair(df: DataFrame, x: str, y: str, rows_per_block: int = ROWS_PER_BLOCK) -> float | None:

@@ -98,19 +98,23 @@ class OneHotModel(Model, DefaultParamsReadable, DefaultParamsWritable):
 
 
 class OneHotCategoricalEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """one-hot every string column except ``exclude``; levels sorted by code point."""
+    """one-hot every string column except ``exclude``; levels sorted by code point.
+
+    Every level becomes a column, so the levels are brought to the driver; a column with
+    very many is a case for :func:`vector_one_hot`. ``maxLevels`` makes that an error.
+    """
 
     exclude = Param(Params._dummy(), "exclude", "columns never encoded", TypeConverters.toListString)
     dropFirst = Param(Params._dummy(), "dropFirst", "drop the smallest level", TypeConverters.toBoolean)
     dtype = Param(Params._dummy(), "dtype", "type of the dummy columns", TypeConverters.toString)
-    maxLevels = Param(Params._dummy(), "maxLevels", "largest level count brought to the driver",
+    maxLevels = Param(Params._dummy(), "maxLevels", "error beyond so many levels a column (0: no limit)",
                       TypeConverters.toInt)
 
     @keyword_only
     def __init__(self, exclude: list[str] | None = None, dropFirst: bool = True, dtype: str = "int",
-                 maxLevels: int = 10_000):
+                 maxLevels: int = 0):
         super().__init__()
-        self._setDefault(exclude=[], dropFirst=True, dtype="int", maxLevels=10_000)
+        self._setDefault(exclude=[], dropFirst=True, dtype="int", maxLevels=0)
         kwargs = {k: v for k, v in self._input_kwargs.items() if v is not None}
         self._set(**kwargs)
 
@@ -121,7 +125,7 @@ class OneHotCategoricalEncoder(Estimator, DefaultParamsReadable, DefaultParamsWr
         if cats:
             freq = frequency_table(df, cats)
             per_col = freq.groupBy("column").agg(F.count(F.lit(1)).alias("k"))
-            too_many = per_col.where(F.col("k") > limit).collect()
+            too_many = per_col.where(F.col("k") > limit).collect() if limit else []
             if too_many:
                 raise ValueError(f"columns exceed maxLevels={limit}: {[r['column'] for r in too_many]}; "
                                  "use vector_one_hot for high cardinality")

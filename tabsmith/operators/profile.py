@@ -45,7 +45,7 @@ def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
     sample statistics; undefined cases are null, zero variance gives 0.
     """
     spark = df.sparkSession
-    with materialized(df) as d:
+    with materialized(df.select(*[col(c) for c in dict.fromkeys(columns)])) as d:   # caches no other column
         aggs = [F.count(F.lit(1)).alias("_rows")]
         for i, c in enumerate(columns):
             v = numeric_value(c, d)

@@ -15,6 +15,7 @@ from tabsmith.functions.columns import categorical_columns, numeric_columns
 from tabsmith.operators import chartdata, correlation, profile, quality
 from tabsmith.operators.cleaning import default_recipe
 from tabsmith.operators.evaluate import Evaluator
+from tabsmith.operators.split import holdout
 from tabsmith.plans.models import build_pipeline, predict, select_models
 from tabsmith.plans.runs import RunLog
 from tabsmith.plans.table import TableBuilder
@@ -27,6 +28,7 @@ TARGET = "salary"
 POSITIVE_LABEL = ">50K"
 COLUMNS_TO_DROP = ["fnlwgt", "education"]
 COLUMNS_TO_IMPUTE = ["workclass", "occupation", "native-country"]
+VALIDATION = "is_validation"
 NUMERICAL_COLUMNS = ["age", "education-num", "capital-gain", "capital-loss", "hours-per-week"]
 
 
@@ -81,20 +83,28 @@ def explore(spark: SparkSession, in_path: str, out_dir: str, target: str = TARGE
 
 def train(spark: SparkSession, table_path: str, out_dir: str, label: str = TARGET, models: str = "gbt,mlp",
           tune: bool = True, scale_cols: list[str] | None = None, key: list[str] | None = None,
-          params: dict[str, dict] | None = None, searches: dict[str, dict] | None = None) -> dict:
+          params: dict[str, dict] | None = None, searches: dict[str, dict] | None = None,
+          validation_share: float | None = None) -> dict:
     """Fit scaler+model pipelines, evaluate on the test split, log runs, keep the best.
 
+    ``validation_share`` (F12) sets that share of the train split aside, and the boosted
+    trees of the baseline stop when its loss stops falling; Spark's network has no such stop.
     ``params`` and ``searches`` override, per model name, the model's parameters and the
     arguments of its search; without them the full defaults run.
     """
     table = spark.read.parquet(table_path)
     features = [c for c in table.columns if c not in {label, "split", *(key or [])}]
     scale = [c for c in (scale_cols or NUMERICAL_COLUMNS) if c in features]
-    trainset = table.where("split = 'train'").drop("split").persist(StorageLevel.MEMORY_AND_DISK)
+    trainset = table.where("split = 'train'").drop("split")
+    if validation_share:
+        trainset = holdout(trainset, validation_share, key=key, output=VALIDATION)
+    trainset = trainset.persist(StorageLevel.MEMORY_AND_DISK)
     testset = table.where("split = 'test'").drop("split")
     log, ev, saved = RunLog(spark, os.path.join(out_dir, "runs")), Evaluator(), {}
     for name in select_models(models):
         own = (params or {}).get(name, {})
+        if validation_share and name != "mlp":
+            own = {**own, "validation_col": VALIDATION}
         search = (searches or {}).get(name, {})
         model = build_pipeline(name, features, scale, label, **own).fit(trainset)
         run_name = f"{name}_baseline"

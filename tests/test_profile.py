@@ -98,3 +98,45 @@ def test_density_integrates_to_about_one(spark):
     ys = np.array([r["density"] for r in rows])
     assert len(rows) == 200
     assert 0.9 < np.trapezoid(ys, xs) < 1.01
+
+
+def test_density_equals_the_sum_over_all_values_with_a_far_one(spark):
+    rng = np.random.default_rng(5)
+    v = np.append(rng.normal(3, 2, 3000), 5000.0)
+    df = spark.createDataFrame([(float(x), "k") for x in v], "x double, other string")
+    rows = chartdata.density_curve(df, ["x"]).collect()
+    bw = v.std(ddof=1) * len(v) ** -0.2
+    for r in rows:
+        exact = np.exp(-0.5 * ((r["x"] - v) / bw) ** 2).sum() / (len(v) * bw * np.sqrt(2 * np.pi))
+        assert abs(r["density"] - exact) <= 1e-10 / (bw * np.sqrt(2 * np.pi))
+    assert [r["i"] for r in rows] == list(range(200))
+
+
+def test_density_leaves_out_columns_without_a_curve(spark):
+    df = spark.createDataFrame([(1.0, 2.0, None, 1.0), (float("inf"), 2.0, None, 3.0)], "a double, b double, c double, d double")
+    assert {r["column"] for r in chartdata.density_curve(df).collect()} == {"d"}
+
+
+def test_histogram_of_a_wide_range_without_empty_bins(spark):
+    df = spark.createDataFrame([(i / 100,) for i in range(100)] + [(1e12,), (None,)], "x double")
+    rows = chartdata.histogram(df, ["x"], empty_bins=False).collect()
+    assert sum(r["cnt"] for r in rows) == 101 and all(r["cnt"] > 0 for r in rows)
+    assert len(rows) < 10 and max(r["hi"] for r in rows) == 1e12      # the rule asks for about 5e12 bins
+    with pytest.raises(ValueError):
+        chartdata.histogram(spark.createDataFrame([(1.0,), (float("inf"),)], "x double"), ["x"]).collect()
+
+
+def test_profile_caches_only_the_profiled_columns(spark, monkeypatch):
+    from contextlib import contextmanager
+
+    seen = []
+
+    @contextmanager
+    def record(df):
+        seen.append(df.columns)
+        yield df
+
+    monkeypatch.setattr(profile, "materialized", record)
+    df = spark.createDataFrame([(1.0, "k", 2)], "x double, s string, n int")
+    profile.numerical_summary(df, ["x", "n"]).collect()
+    assert seen == [["x", "n"]]
