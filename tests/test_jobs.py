@@ -117,3 +117,16 @@ def test_gbt_early_stopping_with_holdout_column(spark):
                            validation_col="is_val").fit(df)
     gbt = model.stages[-1]
     assert gbt.getNumTrees <= 50 and gbt.getOrDefault("validationIndicatorCol") == "is_val"
+
+
+def test_train_with_validation_share_stops_boosting_early(spark, tmp_path):
+    from tabsmith.sources.sinks import load_model
+
+    # the label is noise: the validation loss stops falling within a few rounds
+    rows = [(i, float(i * 7919 % 101), i * 104729 % 13 % 2, "test" if i % 5 == 0 else "train") for i in range(400)]
+    path = str(tmp_path / "table")
+    spark.createDataFrame(rows, "k long, x double, label int, split string").write.parquet(path)
+    out = jobs.train(spark, path, str(tmp_path / "out"), label="label", models="gbt", tune=False, scale_cols=["x"],
+                     key=["k"], params={"gbt": {"n_estimators": 12, "max_depth": 4}}, validation_share=0.25)
+    trees = load_model(out["best_path"]).stages[-1]
+    assert trees.numFeatures == 1 and trees.getNumTrees < 12
