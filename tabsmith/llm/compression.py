@@ -3,8 +3,8 @@
 The zstandard ratio (compressed / plain bytes) of natural text lies in a band that
 depends on its length: short texts carry the frame and have seen little context, long
 ones have settled. Text below its band repeats itself, text above it is noise. The band
-is tested on the whole text and, for texts of several chunks, on fixed chunks, so that a
-long document that is only partly repetitive or random is caught too.
+is tested on the whole text and, for texts of more than a chunk, on fixed chunks to the
+last byte, so that a long document that is only partly repetitive or random is caught too.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from tabsmith.llm.common import BYTE_CODE, SEPARATOR, mix64, span_hashes, table,
 LEVEL = 3
 # (from this many bytes on, lowest ratio, highest ratio) of a whole text
 BANDS = [(0, 0.0, 8.0), (100, 0.20, 1.30), (256, 0.25, 0.92), (1024, 0.22, 0.80), (4096, 0.20, 0.72), (16384, 0.15, 0.68)]
-CHUNK = 4096          # fixed chunk; a shorter last piece is not judged
+CHUNK = 4096          # fixed chunk; a shorter last piece has the limits of its length
 CHUNK_BAND = (0.12, 0.75)
-MAX_BAD_CHUNKS = 0.2  # share of chunks that may lie outside
+MAX_BAD_CHUNKS = 0.2  # share of chunks (by bytes) that may lie outside
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -41,6 +41,10 @@ def band_of(n_bytes: int) -> tuple[float, float]:
     return low, high
 
 
+def _within(ratio: float, band: tuple[float, float]) -> bool:
+    return band[0] <= ratio <= band[1]
+
+
 class _Ratio:
     def __init__(self):
         self._compress = zstandard.ZstdCompressor(level=LEVEL).compress
@@ -56,12 +60,17 @@ def judge(raw: bytes, ratio: _Ratio) -> tuple[float | None, int, int, bool]:
         return None, 0, 0, False
     whole = ratio(raw)
     low, high = band_of(len(raw))
-    chunks = bad = 0
+    chunks = bad = bad_bytes = 0
     if len(raw) > CHUNK:
-        for at in range(0, len(raw) - CHUNK + 1, CHUNK):
+        for at in range(0, len(raw), CHUNK):
+            piece = raw[at:at + CHUNK]
+            outside = not _within(ratio(piece), CHUNK_BAND if len(piece) == CHUNK else band_of(len(piece)))
+            if CHUNK // 2 <= len(piece) < CHUNK:  # the tail is most of a chunk: the last full one too
+                outside = outside or not _within(ratio(raw[-CHUNK:]), CHUNK_BAND)
             chunks += 1
-            bad += not CHUNK_BAND[0] <= ratio(raw[at:at + CHUNK]) <= CHUNK_BAND[1]
-    return whole, chunks, bad, low <= whole <= high and bad <= MAX_BAD_CHUNKS * chunks
+            bad += outside
+            bad_bytes += len(piece) * outside
+    return whole, chunks, bad, low <= whole <= high and bad_bytes <= MAX_BAD_CHUNKS * len(raw)
 
 
 def repeated_words(hashes: np.ndarray) -> int:

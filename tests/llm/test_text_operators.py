@@ -98,6 +98,18 @@ def test_compression_bands_reject_noise_and_repetition(docs, prose):
     assert got[1] and not got[2] and not got[3] and not got[4]
 
 
+def test_compression_judges_the_last_piece(docs, prose):
+    rnd = random.Random(10)
+    start = prose(3, 3000, 4000)[:4095] + " "
+    noise = "".join(chr(rnd.randrange(0x21, 0x7F)) for _ in range(4095))
+    letters = "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(4095))
+    again = ("and this very sentence comes once more to the end " * 100)[:2500]
+    tails = [noise, noise[:1500], letters, again, prose(4, 3000, 4000)[:4095], noise[:50]]
+    got = {r.doc_id: r for r in compression.quality_rules(docs(list(enumerate(start + t for t in tails)))).collect()}
+    assert [(got[i].n_chunks, got[i].n_bad_chunks) for i in range(6)] == [(2, 1)] * 4 + [(2, 0)] * 2
+    assert [compression.judge((start + t).encode(), compression._Ratio())[3] for t in tails] == [False] * 4 + [True] * 2
+
+
 def kneser_ney_by_rule(train, text):
     def tokens(t):
         return [w.translate({i: i + 32 for i in range(65, 91)}) for w in WORD.findall(t or "")] + ["</s>"]
