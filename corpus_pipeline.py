@@ -31,15 +31,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of links stays: the one with the least id. Rows that
-    repeat an id are one document (the row with the least text hash stays); rows without
-    id stay only where no row of their component has one, as one document."""
-    found = jaccard.near_duplicates(docs)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
-    rows = docs.select(F.struct("*").alias("row"))
-    kept = rows.join(stay, F.col("row.doc_id").eqNullSafe(F.col("stays")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("row.doc_id").orderBy(F.xxhash64("row.text")))
-    return kept.withColumn("nth", nth).where("nth = 1").select("row.*")
+    """One row of each component of links stays: the one with the least id, then the least
+    text hash; a row without id only where no row of its component has one. Rows that are
+    not linked all stay, also where they share an id or have none; a text without words
+    is linked with nothing."""
+    found = jaccard.near_duplicates(docs).where("n_shingles > 0")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "digest"))
+    stay = found.groupBy("component").agg(least.alias("r")).select(F.col("r.doc_id").alias("stays"), F.col("r.digest").alias("stays_digest"))
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("digest"))
+    wordless = ~F.coalesce(F.col("row.text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    same = F.col("row.doc_id").eqNullSafe(F.col("stays")) & (F.col("digest") == F.col("stays_digest"))
+    kept = rows.where(~wordless).join(stay, same, "left_semi")
+    nth = F.row_number().over(Window.partitionBy("row.doc_id", "digest").orderBy(F.xxhash64("row")))
+    kept = kept.withColumn("nth", nth).where("nth = 1")
+    return kept.select("row.*").unionByName(rows.where(wordless).select("row.*"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ PAIRS_PER_TASK = 20_000
 STAR_ROUNDS = 2            # rounds of pivots before the rest is counted pair by pair
 
 _MESSAGE = "bucket long, kind int, sender long, blob binary"
-_MEMBERS = "kind int, doc_id long, n long, k1 long, k2 long, shingle long, place long, weight long"
+_MEMBERS = "kind int, doc_id long, n long, k1 long, k2 long, digest long, shingle long, place long, weight long"
 
 
 def _needed(n):
@@ -66,7 +66,7 @@ def _set_key(shingles: np.ndarray) -> tuple[int, int]:
 
 def _send_segments(fragments: int):
     """kind 0: segments to fragments (a set that repeats within the task is sent once);
-    kind 2: the rows' ids, sizes and set keys, to the sender's own bucket (below zero)."""
+    kind 2: the rows' ids, sizes, set keys and text digests, to the sender's own bucket (below zero)."""
     def flush(sender, rows, sets) -> pa.RecordBatch:
         size = [len(s) for s in sets]
         shingle = np.concatenate(sets)
@@ -85,6 +85,7 @@ def _send_segments(fragments: int):
             ids = batch.column("doc_id")
             null = ids.is_null().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy()
+            digest = batch.column("digest").to_numpy()
             for chunk in text_chunks(batch.column("text")):
                 for row, shingles in shingle_sets(chunk, WORDS):
                     key = _set_key(shingles)
@@ -93,7 +94,7 @@ def _send_segments(fragments: int):
                         sets.append(shingles)
                         held += len(shingles)
                     at = chunk.first + row
-                    rows.append((ids[at], null[at], len(shingles), *key, known.get(key, -1)))
+                    rows.append((ids[at], null[at], len(shingles), *key, known.get(key, -1), digest[at]))
                 if held >= FLUSH_SHINGLES:
                     yield flush((task << 20) + flushed, rows, sets)
                     rows, sets, known, held, flushed = [], [], {}, 0, flushed + 1
@@ -139,7 +140,7 @@ def _prefixes(blobs: pa.Table) -> pa.Table:
             shingle.append(np.cumsum(p[0], dtype=np.uint64))
             number.append(p[1])
             frequency.append(p[2])
-    ids, null, n, k1, k2, set_of = rows
+    ids, null, n, k1, k2, set_of, digest = rows
     shingle, number, frequency = (np.concatenate(x) for x in (shingle, number, frequency))
     sets = int(set_of.max()) + 1 if len(set_of) else 0
     size, key = np.zeros(sets, np.int64), np.zeros(sets, np.int64)
@@ -162,7 +163,7 @@ def _prefixes(blobs: pa.Table) -> pa.Table:
         "kind": kind,
         "doc_id": pa.array(np.concatenate((ids, pad)), pa.int64(), mask=np.concatenate((null.astype(bool), pad == 0))),
         "n": np.concatenate((n, size[number[keep]])), "k1": np.concatenate((k1, key[number[keep]])),
-        "k2": np.concatenate((k2, pad)), "shingle": np.concatenate((np.zeros(a, np.int64), shingle[keep].view(np.int64))),
+        "k2": np.concatenate((k2, pad)), "digest": np.concatenate((digest, pad)), "shingle": np.concatenate((np.zeros(a, np.int64), shingle[keep].view(np.int64))),
         "place": np.concatenate((np.zeros(a, np.int64), place[keep])), "weight": np.concatenate((np.zeros(a, np.int64), weight[number[keep]]))})
 
 
@@ -350,7 +351,9 @@ _REACH = (100 - PERCENT) * _SCALE // 100 + 2              # two for what floor c
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id and class_id (a name of its set).
+    """Per row: doc_id, n_shingles, component_id, class_id (a name of its set), component (a
+    name of its component, which rows without id have too; null without shingles) and
+    digest (xxhash64 of the text, which tells rows of one id apart).
 
     A null text, or one without words, has no shingles and links with nothing (its
     component is its own id). Rows with equal sets are linked whatever their ids; repeated
@@ -359,14 +362,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     id_type = dict(docs.dtypes)["doc_id"]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
     fragments = bucket_count(docs.select("text"), FRAGMENT_BYTES, 32)
     sent = rows.mapInArrow(_send_segments(fragments), _MESSAGE)
     answered = sent.groupBy("bucket").applyInArrow(_answer_segments, _MESSAGE)
     found = shared_table(answered.groupBy("bucket").applyInArrow(_prefixes, _MEMBERS), "members", spark)
     del sent, answered
     release_shuffles(spark)
-    members = found.where("kind = 0").select("doc_id", "n", "k1", "k2")
+    members = found.where("kind = 0").select("doc_id", "n", "k1", "k2", "digest")
 
     # equal sets of several senders have equal rows
     entries = shared_table(_live(found.where("kind = 1").select("shingle", "k1", "n", "place", "weight").distinct()), "groups", spark)
@@ -374,7 +377,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     names = members.where("n > 0").groupBy("k1").agg(F.min("doc_id").alias("doc_id")).join(candidates, "k1", "left_semi")
     # an id that repeats with other texts brings their sets too; they are dropped by name
     wanted = names.select(F.col("doc_id").alias("wanted")).distinct()
-    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    texts = rows.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     sets = texts.mapInArrow(_class_sets, "k1 long, shingles binary").join(candidates, "k1", "left_semi").dropDuplicates(["k1"])
     sets = shared_table(sets, "sets", spark)
     release_shuffles(spark)
@@ -387,11 +390,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         classes = classes.withColumn("label", F.lit(None).cast("long"))
     classes = classes.withColumn("label", F.coalesce("label", "k1"))
     component = classes.where("n > 0").groupBy("label").agg(F.min("least").alias("component_id"))
-    classes = classes.where("n > 0").join(component, "label").select("k1", "k2", "component_id")
+    classes = classes.where("n > 0").join(component, "label").select("k1", "k2", "label", "component_id")
     out = members.join(classes, ["k1", "k2"], "left")
     return out.select(F.col("doc_id").cast(id_type).alias("doc_id"), F.col("n").alias("n_shingles"),
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).cast(id_type).alias("component_id"),
-                      F.col("k1").alias("class_id"))
+                      F.col("k1").alias("class_id"), F.col("label").alias("component"), "digest")
 
 
 SQL = r"""

@@ -33,6 +33,19 @@ def test_stages_keep_columns_and_take_effect(spark, docs, prose):
         frame = out
 
 
+def test_near_duplicates_keep_one_row_of_each_component(spark, docs, prose):
+    a, b, c, d = (prose(200 + i, 150) for i in range(4))
+    clean = [(None, prose(300 + i, 40)) for i in range(20)]                     # unlinked, without id
+    rows = clean + [(None, prose(1, 90)), (None, "X " + prose(1, 90)),          # a component without an id
+                    (5, a), (None, a + " tail"), (3, b), (7, b + " tail"), (7, c), (7, d), (9, d), (9, d),
+                    (11, None), (None, ""), (None, " ")]
+    out = [(r.doc_id, r.text) for r in cp.near_duplicate_documents(spark, docs(rows).repartition(3), "").collect()]
+    pair = [x for x in out if x in ((None, prose(1, 90)), (None, "X " + prose(1, 90)))]
+    assert len(pair) == 1
+    want = clean + pair + [(5, a), (3, b), (7, c), (7, d), (11, None), (None, ""), (None, " ")]
+    assert sorted(out, key=str) == sorted(want, key=str)
+
+
 def test_pipeline_on_empty_table(spark, docs):
     frame = docs([])
     for _, stage in cp.STAGES:
