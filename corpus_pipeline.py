@@ -35,7 +35,7 @@ def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str)
     text hash; a row without id only where no row of its component has one. Rows that are
     not linked all stay, also where they share an id or have none; a text without words
     is linked with nothing."""
-    found = jaccard.near_duplicates(docs).where("n_shingles > 0")
+    found = jaccard.near_duplicates(docs, links=False).where("n_shingles > 0")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "digest"))
     stay = found.groupBy("component").agg(least.alias("r")).select(F.col("r.doc_id").alias("stays"), F.col("r.digest").alias("stays_digest"))
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("digest"))

@@ -18,6 +18,8 @@ fragments count on their own.
    counted pair by pair. A group of near copies so costs its size, not its square, and no
    link that could join two components is left out.
 4. Components are propagated as a table.
+5. Links lie within components. The number of links counts every pair of classes of a
+   component, in blocks of bounded size that meet two by two; no pair becomes a row.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ FLUSH_SHINGLES = 3_000_000
 FRAGMENT_BYTES = 4 << 20   # of the input, a fragment
 PAIR_FRAGMENTS = 8         # fragments that candidate pairs are counted in
 PAIRS_PER_TASK = 20_000
+BLOCK_SETS = 256           # classes of one component in a block, about
+BLOCK_SHINGLES = 1 << 17   # and their shingles
 STAR_ROUNDS = 2            # rounds of pivots before the rest is counted pair by pair
 
 _MESSAGE = "bucket long, kind int, sender long, blob binary"
@@ -346,14 +350,105 @@ def class_components(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
     return labels
 
 
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Common shingles of every set of ``a`` with every set of ``b``. Shingles that many of
+    the sets hold are counted by matrix products, the others by their pairs."""
+    flat = [np.concatenate(x) for x in (a, b)]
+    row = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (a, b)]
+    known = np.intersect1d(*flat)
+    out = np.zeros((len(a), len(b)), np.int64)
+    if not len(known):
+        return out
+    at, held, often = [], [], []
+    for f, r in zip(flat, row, strict=True):
+        hit = np.minimum(np.searchsorted(known, f), len(known) - 1)
+        inside = known[hit] == f
+        order = np.argsort(hit[inside], kind="stable")
+        at.append(hit[inside][order])
+        held.append(r[inside][order])
+        often.append(np.bincount(at[-1], minlength=len(known)))
+    dense = np.flatnonzero(16 * often[0] * often[1] > len(a) * len(b))
+    for k in range(0, len(dense), 4096):
+        some = dense[k:k + 4096]
+        grids = []
+        for i, x in enumerate((a, b)):
+            hit = np.minimum(np.searchsorted(some, at[i]), len(some) - 1)
+            inside = some[hit] == at[i]
+            grids.append(np.zeros((len(x), len(some)), np.float32))
+            grids[i][held[i][inside], hit[inside]] = 1
+        out += (grids[0] @ grids[1].T).astype(np.int64)
+    rare = np.ones(len(known), bool)
+    rare[dense] = False
+    entry = np.flatnonzero(rare[at[0]])
+    first = np.concatenate(([0], np.cumsum(often[1])))
+    partners = often[1][at[0][entry]]
+    steps = np.cumsum(partners) >> 21  # about two million pairs at a time
+    for step in np.unique(steps):
+        mine = steps == step
+        e, n = entry[mine], partners[mine]
+        other = np.repeat(first[at[0][e]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        out += np.bincount(np.repeat(held[0][e], n) * len(b) + held[1][other], minlength=out.size).reshape(out.shape)
+    return out
+
+
+def _count_links(met: pa.Table) -> pa.Table:
+    """Per class and meeting of two blocks (i, j) of a component: the rows linked with it."""
+    label, i, j, block, k1, rows = (met.column(c).to_numpy() for c in ("label", "i", "j", "block", "k1", "rows"))
+    blobs = met.column("shingles")
+    order = np.lexsort((block, j, i, label))
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([np.diff(x[order]) != 0 for x in (label, i, j)], axis=0)
+    keys, links = [], []
+    for own in np.split(order, np.flatnonzero(new)[1:]):
+        sets = [unpack(blobs[int(r)].as_py())[0] for r in own]
+        size = np.array([len(x) for x in sets])
+        low = int((block[own] == i[own[0]]).sum())
+        alone = i[own[0]] == j[own[0]]
+        a, b = slice(0, low), slice(0, low) if alone else slice(low, None)
+        if not len(size[a]) or not len(size[b]):
+            continue
+        both = _overlaps(sets[a], sets[b])
+        linked = 100 * both >= PERCENT * (size[a][:, None] + size[b][None, :] - both)
+        if alone:
+            np.fill_diagonal(linked, False)
+        keys.append(k1[own[a]])
+        links.append(linked @ rows[own[b]])
+        if not alone:
+            keys.append(k1[own[b]])
+            links.append(rows[own[a]] @ linked)
+    keys, links = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, links))
+    return pa.table({"k1": pa.array(keys, pa.int64()), "links": pa.array(links, pa.int64())})
+
+
+def class_links(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(k1, links): the rows of other classes that each class is linked with. ``classes``
+    (k1, label, n, rows): the members of components; ``sets`` (k1, shingles). Members of a
+    component are dealt to blocks, and every two blocks meet once."""
+    spark = classes.sparkSession
+    sums = classes.groupBy("label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("size"), F.sum("rows").alias("all_rows"))
+    blocks = F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("size") / BLOCK_SHINGLES)).cast("long")
+    sums = shared_table(sums.withColumn("blocks", blocks), "component-sizes", spark)
+    found = classes.join(sums, "label")
+    two = found.where("c = 2").select("k1", (F.col("all_rows") - F.col("rows")).alias("links"))
+    total = sums.where("c > 2").agg(F.sum(F.col("size") * F.col("blocks"))).first()[0] or 0
+    tasks = int(max(64, -(-total // BLOCK_SHINGLES)))
+    dealt = found.where("c > 2").withColumn("block", F.pmod(F.xxhash64("k1"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "k1", "rows")
+    dealt = dealt.withColumn("h", F.pmod(F.xxhash64("label", "i", "j"), F.lit(tasks))).join(sets, "k1")
+    counted = dealt.groupBy("h").applyInArrow(_count_links, "k1 long, links long")
+    return shared_table(two.unionByName(counted).groupBy("k1").agg(F.sum("links").alias("links")), "class-links", spark)
+
+
 _SCALE = 10 ** 9                                          # distances as integers
 _REACH = (100 - PERCENT) * _SCALE // 100 + 2              # two for what floor cuts off
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, links: bool = True) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, class_id (a name of its set), component (a
     name of its component, which rows without id have too; null without shingles) and
-    digest (xxhash64 of the text, which tells rows of one id apart).
+    digest (xxhash64 of the text, which tells rows of one id apart). With ``links`` also
+    n_links: how many other rows the row is linked with.
 
     A null text, or one without words, has no shingles and links with nothing (its
     component is its own id). Rows with equal sets are linked whatever their ids; repeated
@@ -383,18 +478,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     release_shuffles(spark)
     labels = class_components(entries, sets)
 
-    classes = members.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"))
+    classes = members.groupBy("k1", "k2").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"),
+                                                F.count(F.lit(1)).alias("rows"))
     if labels is not None:
         classes = classes.join(labels.select(F.col("node").alias("k1"), "label"), "k1", "left")
     else:
         classes = classes.withColumn("label", F.lit(None).cast("long"))
     classes = classes.withColumn("label", F.coalesce("label", "k1"))
+    if links:
+        linked = None
+        if labels is not None:
+            linked = class_links(classes.join(labels.select(F.col("node").alias("k1")), "k1", "left_semi").where(
+                "n > 0").select("k1", "label", "n", "rows"), sets)
+        classes = classes.withColumn("links", F.lit(0).cast("long")) if linked is None else classes.join(linked, "k1", "left")
+        classes = classes.withColumn("links", F.coalesce("links", F.lit(0)) + F.col("rows") - 1)
     component = classes.where("n > 0").groupBy("label").agg(F.min("least").alias("component_id"))
-    classes = classes.where("n > 0").join(component, "label").select("k1", "k2", "label", "component_id")
+    classes = classes.where("n > 0").join(component, "label").select(
+        "k1", "k2", "label", "component_id", *["links"] * links)
     out = members.join(classes, ["k1", "k2"], "left")
     return out.select(F.col("doc_id").cast(id_type).alias("doc_id"), F.col("n").alias("n_shingles"),
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).cast(id_type).alias("component_id"),
-                      F.col("k1").alias("class_id"), F.col("label").alias("component"), "digest")
+                      F.col("k1").alias("class_id"), F.col("label").alias("component"), "digest",
+                      *[F.coalesce("links", F.lit(0)).alias("n_links")] * links)
 
 
 SQL = r"""
@@ -413,4 +518,15 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN r ON r.x = d.doc_i
 
 
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return near_duplicates(table(spark, sf_dir, "documents"), links=False).select("doc_id", "n_shingles", "component_id")
+
+
+LINKS_SQL = SQL[:SQL.index("SELECT d.doc_id")] + r"""SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
+    least(d.doc_id, coalesce(min(r.y), d.doc_id)) AS component_id, coalesce(k.n_links, 0) AS n_links
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN r ON r.x = d.doc_id
+LEFT JOIN (SELECT x, count(*) AS n_links FROM e GROUP BY x) k ON k.x = d.doc_id GROUP BY d.doc_id, n.n, k.n_links
+"""
+
+
+def op8_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")

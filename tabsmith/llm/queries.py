@@ -13,6 +13,7 @@ QUERIES = {
     "op6_compression_bands": compression.op6_compression_bands,
     "op7_pivot_topk": topk.op7_pivot_topk,
     "op8_ngram_jaccard": jaccard.op8_ngram_jaccard,
+    "op8_ngram_jaccard_links": jaccard.op8_ngram_jaccard_links,
     "op9_kneser_ney": kneser_ney.op9_kneser_ney,
     "op10_mix_sources": mixing.op10_mix_sources,
 }
@@ -22,5 +23,6 @@ ORACLE = {
     "op5_suffix_dedup": suffix_dedup.SQL,
     "op7_pivot_topk": topk.SQL,
     "op8_ngram_jaccard": jaccard.SQL,
+    "op8_ngram_jaccard_links": jaccard.LINKS_SQL,
     "op10_mix_sources": mixing.SQL,
 }

@@ -146,6 +146,32 @@ def test_jaccard_components_against_all_pairs(docs, near_copies):
     assert got == components_by_rule(near_copies)
 
 
+def links_by_rule(rows):
+    def shingles(text):
+        w = [x.lower() for x in (text or "").split()]
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [shingles(t) for _, t in rows]
+    return sorted((d, sum(i != j and bool(a & b) and 100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets)))
+                  for i, ((d, _), a) in enumerate(zip(rows, sets, strict=True)))
+
+
+@pytest.mark.parametrize("block", [256, 4])
+def test_jaccard_counts_every_link(docs, near_copies, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", block)
+    base = [d for d, t in near_copies if t][:1]
+    rows = near_copies + [(1000 + i, dict(near_copies)[base[0]]) for i in range(3)]
+    got = sorted((r.doc_id, r.n_links) for r in jaccard.near_duplicates(docs(rows).repartition(3)).collect())
+    assert got == links_by_rule(rows)
+
+
+def test_overlaps_of_rare_and_common_shingles():
+    rnd = np.random.default_rng(2)
+    sets = [np.unique(np.concatenate((np.arange(40), rnd.integers(40, 400, 30)))).astype(np.uint64) for _ in range(50)]
+    want = [[len(np.intersect1d(x, y)) for y in sets[20:]] for x in sets[:20]]
+    assert (jaccard._overlaps(sets[:20], sets[20:]) == want).all()
+
+
 @pytest.mark.parametrize("rounds", [1, 2])
 def test_jaccard_with_small_tasks_and_few_star_rounds(docs, near_copies, monkeypatch, rounds):
     monkeypatch.setattr(jaccard, "STAR_ROUNDS", rounds)
