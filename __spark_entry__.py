@@ -329,13 +329,13 @@ def q_w2_build_table(spark, sf_dir):
 def q_m2_gbt_score(spark, sf_dir):
     from tabsmith.plans.models import score_holdout
 
-    return score_holdout(_t(spark, sf_dir, "lineitem"), "gbt", n_estimators=5, max_depth=3)
+    return score_holdout(_t(spark, sf_dir, "lineitem"), "gbt")
 
 
 def q_m3_mlp_score(spark, sf_dir):
     from tabsmith.plans.models import score_holdout
 
-    return score_holdout(_t(spark, sf_dir, "lineitem"), "mlp", hidden_layer_sizes=(8,), max_iter=20)
+    return score_holdout(_t(spark, sf_dir, "lineitem"), "mlp")
 
 
 # Rule "models" predicting l_returnflag = 'R' on lineitem: inputs for comparing models
@@ -619,8 +619,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "e5_report": q_e5_report,
     "w1_clean": q_w1_clean,
     "w2_build_table": q_w2_build_table,
-    "m2_gbt_score_5_rounds": q_m2_gbt_score,
-    "m3_mlp_score_20_iterations": q_m3_mlp_score,
+    "m2_gbt_score": q_m2_gbt_score,
+    "m3_mlp_score": q_m3_mlp_score,
     "m7_tune_gbt_grid_of_2": q_m7_tune_gbt,
     "m8_tune_mlp_grid_of_2": q_m8_tune_mlp,
     "f7_scale_holdout": q_f7_scale_holdout,
