@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tabsmith.llm import (bpe, compression, jaccard, kneser_ney, langid, mixing, sharding, suffix_dedup, topk, urls)
+from tabsmith.llm import (bpe, compression, decontaminate, jaccard, kneser_ney, langid, mixing, phrases, sharding, suffix_dedup,
+                          topk, urls, variants)
 
 QUERIES = {
     "op1_shard": sharding.op1_shard,
@@ -16,6 +17,9 @@ QUERIES = {
     "op8_ngram_jaccard_links": jaccard.op8_ngram_jaccard_links,
     "op9_kneser_ney": kneser_ney.op9_kneser_ney,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op11_spelling_variants": variants.op11_spelling_variants,
+    "op12_decontaminate": decontaminate.op12_decontaminate,
+    "op13_phrases": phrases.op13_phrases,
 }
 
 ORACLE = {
@@ -25,4 +29,7 @@ ORACLE = {
     "op8_ngram_jaccard": jaccard.SQL,
     "op8_ngram_jaccard_links": jaccard.LINKS_SQL,
     "op10_mix_sources": mixing.SQL,
+    "op11_spelling_variants": variants.SQL,
+    "op12_decontaminate": decontaminate.SQL,
+    "op13_phrases": phrases.SQL,
 }
