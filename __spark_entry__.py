@@ -326,16 +326,26 @@ def q_w2_build_table(spark, sf_dir):
     return builder.build(raw)
 
 
-def q_m2_gbt_score(spark, sf_dir):
+def _scored_holdout(spark, sf_dir, name, **params) -> DataFrame:
+    """A model (the default one but for ``params``), trained on the train split of lineitem, scores
+    the test split; what it may decide for itself (the probability) is only checked."""
     from tabsmith.plans.models import score_holdout
 
-    return score_holdout(_t(spark, sf_dir, "lineitem"), "gbt")
+    out = score_holdout(_t(spark, sf_dir, "lineitem"), name, **params)
+    return out.select(*LINEITEM_KEY, "label", F.col("p1").between(0, 1).alias("p_in_range"),
+                      (F.col("prediction") == (F.col("p1") >= 0.5).cast("int")).alias("threshold_holds"))
 
 
-def q_m3_mlp_score(spark, sf_dir):
-    from tabsmith.plans.models import score_holdout
+def q_m2_gbt_score(spark, sf_dir):
+    return _scored_holdout(spark, sf_dir, "gbt")
 
-    return score_holdout(_t(spark, sf_dir, "lineitem"), "mlp")
+
+def q_m2_xgboost_score(spark, sf_dir):
+    return _scored_holdout(spark, sf_dir, "xgboost", n_estimators=30)
+
+
+def q_m3_mlp_score(spark, sf_dir):
+    return _scored_holdout(spark, sf_dir, "mlp")
 
 
 # Rule "models" predicting l_returnflag = 'R' on lineitem: inputs for comparing models
@@ -403,18 +413,103 @@ def q_s2_csv_scan(spark, sf_dir):
     return CSVDataLoader(path, null_tokens=[PRIORITY_TOKEN]).load(spark)
 
 
+def _search_rows(found: DataFrame) -> DataFrame:
+    """Candidates of a search, their parameters as sorted text, and whether the score is one."""
+    text = F.array_join(F.array_sort(F.transform(F.map_entries("params"), lambda e: F.concat_ws("=", e["key"], e["value"]))), " ")
+    return found.select("candidate", text.alias("params"), F.col("f1").between(0, 1).alias("f1_in_range"))
+
+
 def q_m7_tune_gbt(spark, sf_dir):
+    """M7, M9: three folds of two candidates, grown in the same passes."""
     from tabsmith.plans.tuning import tune_holdout
 
     grid = {"n_estimators": [5], "max_depth": [2, 3]}
-    return tune_holdout(_t(spark, sf_dir, "lineitem"), "gbt", grid=grid, n_iter=2)
+    return _search_rows(tune_holdout(_t(spark, sf_dir, "lineitem"), "xgboost", grid=grid, n_iter=2))
 
 
 def q_m8_tune_mlp(spark, sf_dir):
+    """M8, M9: two small networks trained in the same epochs, until they stop early."""
     from tabsmith.plans.tuning import tune_holdout
 
-    grid = {"hidden_layer_sizes": [(8,), (16, 8)], "tol": [1e-6]}
-    return tune_holdout(_t(spark, sf_dir, "lineitem"), "mlp", grid=grid, max_candidates=2, max_iter=20, refit_max_iter=20)
+    grid = {"hidden_layer_sizes": [(8,), (16, 8)], "learning_rate_init": [0.01], "batch_size": [64]}
+    return _search_rows(tune_holdout(_t(spark, sf_dir, "lineitem"), "mlp", grid=grid, max_candidates=2))
+
+
+def q_v3_box_stats_by_order(spark, sf_dir):
+    """V3 with as many classes as orders: quartiles stay a table on the executors."""
+    out = chartdata.box_stats(_t(spark, sf_dir, "lineitem"), "l_orderkey", ["l_extendedprice", "l_quantity"])
+    return _round_cols(out, ["q1", "median", "q3", "whislo", "whishi"], 6)
+
+
+def q_a14_spearman_missing(spark, sf_dir):
+    """A14 with missing values: every pair ranks its own complete rows."""
+    li = _t(spark, sf_dir, "lineitem").select(
+        F.expr("CASE WHEN l_linenumber <> 3 THEN l_quantity END AS l_quantity"), "l_extendedprice",
+        F.expr("nullif(l_discount, 0.05D) AS l_discount"), F.expr("nullif(l_tax, 0.02D) AS l_tax"))
+    return _round_cols(correlation.spearman_matrix(li, LINEITEM_MEASURES), ["corr"], 9)
+
+
+def q_w4_train(spark, sf_dir):
+    """The training job on the lineitem table with small
+    explicit models: baselines that stop early, searches, the run log, the saved best."""
+    from tabsmith.plans.jobs import train
+    from tabsmith.plans.runs import RunLog
+    from tabsmith.sources.sinks import write_split_table
+
+    base = _scratch(spark, "w4-train")
+    data = _t(spark, sf_dir, "lineitem").select(*LINEITEM_KEY, *LINEITEM_MEASURES, (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    write_split_table(assign_split(data, 0.2, SEED, "label", LINEITEM_KEY), f"{base}/table")
+    small = {"hidden_layer_sizes": (8,), "learning_rate_init": 0.02, "batch_size": 256}
+    done = train(spark, f"{base}/table", f"{base}/out", label="label", scale_cols=LINEITEM_MEASURES, key=LINEITEM_KEY, validation_share=0.2,
+                 params={"xgboost": {"n_estimators": 6, "max_depth": 2}, "mlp": {**small, "max_iter": 6}},
+                 searches={"xgboost": {"grid": {"n_estimators": [4], "max_depth": [1, 2]}, "n_iter": 2},
+                           "mlp": {"grid": {k: [v] for k, v in small.items()}, "search": {"max_iter": 4}, "refit": {"max_iter": 4}}})
+    log = RunLog(spark, f"{base}/out/runs")
+    best = max(done["metrics"], key=lambda n: done["metrics"][n]["f1"])
+    rows = log.runs().join(log.metrics(), "run_id")
+    return rows.select("run_name", "model_key", "version", "name", F.col("value").between(0, 1).alias("in_range"),
+                       F.lit(done["best"] == best).alias("best_has_greatest_f1"))
+
+
+def q_x5_rounded_report(spark, sf_dir):
+    """A report written with rounded numbers; operators return full precision."""
+    from tabsmith.sources.sinks import write_report
+
+    li = _t(spark, sf_dir, "lineitem")
+    paths = write_report({"stats": profile.numerical_summary(li, ["l_quantity", "l_linenumber"]).select("column", "count", "mean", "std")},
+                         _scratch(spark, "x5-report"), digits=2)
+    return spark.read.parquet(paths["stats"])
+
+
+def q_s7_missing_path(spark, sf_dir):
+    """Which of the tables' paths, and of paths beside them, the loader finds."""
+    from tabsmith.sources.loaders import ParquetLoader
+
+    rows = []
+    for name in ("orders", "lineitem", "part"):
+        for path in (os.path.join(sf_dir, f"{name}.parquet"), os.path.join(sf_dir, f"{name}.absent")):
+            try:
+                rows.append((name, path.rsplit(".", 1)[1], ParquetLoader(path).load(spark).count()))
+            except FileNotFoundError:
+                rows.append((name, path.rsplit(".", 1)[1], None))
+    return spark.createDataFrame(rows, "table_name string, suffix string, n_rows long")
+
+
+def q_s2_csv_split(spark, sf_dir):
+    """One file of quoted ``documents`` texts with line breaks, read by several tasks."""
+    from tabsmith.sources.loaders import CSVDataLoader
+
+    path = _scratch(spark, "s2-documents-one-csv")
+    _t(spark, sf_dir, "documents").select("doc_id", "text", "lang").coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        df = CSVDataLoader(path, null_tokens=[], default_null_tokens=False, schema="doc_id long, text string, lang string").load(spark)
+        out = _scratch(spark, "s2-documents-split")
+        df.write.parquet(out)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    return spark.read.parquet(out)
 
 
 def _scratch(spark, name: str) -> str:
@@ -620,6 +715,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "w1_clean": q_w1_clean,
     "w2_build_table": q_w2_build_table,
     "m2_gbt_score": q_m2_gbt_score,
+    "m2_xgboost_score_30_rounds": q_m2_xgboost_score,
     "m3_mlp_score": q_m3_mlp_score,
     "m7_tune_gbt_grid_of_2": q_m7_tune_gbt,
     "m8_tune_mlp_grid_of_2": q_m8_tune_mlp,
@@ -649,6 +745,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "c6_removed_rows": q_c6_removed_rows,
     "f5_unseen_levels": q_f5_unseen_levels,
     "s2_csv_quoted": q_s2_csv_quoted,
+    "s2_csv_split": q_s2_csv_split,
+    "v3_box_stats_by_order": q_v3_box_stats_by_order,
+    "a14_spearman_missing": q_a14_spearman_missing,
+    "w4_train": q_w4_train,
+    "x5_rounded_report": q_x5_rounded_report,
+    "s7_missing_path": q_s7_missing_path,
 }
 
 

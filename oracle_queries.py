@@ -124,12 +124,24 @@ FROM g LEFT JOIN b ON g.bin = b.bin)""")
     return _union(parts)
 
 
-def _box() -> str:
+def _spearman_missing() -> str:
+    """Each pair ranks the rows on which both of its columns are present."""
+    parts = []
+    for x, y in _pairs(LINEITEM_MEASURES):
+        ranks = ", ".join(f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS r{i}" for i, c in enumerate((x, y)))
+        parts.append(f"SELECT '{x}' AS col_x, '{y}' AS col_y, {r('corr(r0, r1)', 9)} AS corr "
+                     f"FROM (SELECT {ranks} FROM li WHERE {x} IS NOT NULL AND {y} IS NOT NULL)")
+    return f"""WITH li AS (SELECT CASE WHEN l_linenumber <> 3 THEN l_quantity END AS l_quantity, l_extendedprice,
+  nullif(l_discount, 0.05::DOUBLE) AS l_discount, nullif(l_tax, 0.02::DOUBLE) AS l_tax FROM lineitem)
+{_union(parts)}"""
+
+
+def _box(cls: str = "l_returnflag") -> str:
     parts = []
     for c in ["l_extendedprice", "l_quantity"]:
         parts.append(f"""SELECT * FROM (
 WITH q AS (
-  SELECT l_returnflag AS class, count({c}) AS n, quantile_cont({c}::DOUBLE, 0.25) AS q1,
+  SELECT {cls} AS class, count({c}) AS n, quantile_cont({c}::DOUBLE, 0.25) AS q1,
          quantile_cont({c}::DOUBLE, 0.5) AS median, quantile_cont({c}::DOUBLE, 0.75) AS q3
   FROM lineitem WHERE {c} IS NOT NULL GROUP BY 1),
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM q)
@@ -137,7 +149,7 @@ SELECT '{c}' AS "column", f.class AS class, {r('q1')} AS q1, {r('median')} AS me
        {r(f'min(CASE WHEN {c} >= lo_f AND {c} <= hi_f THEN {c}::DOUBLE END)')} AS whislo,
        {r(f'max(CASE WHEN {c} >= lo_f AND {c} <= hi_f THEN {c}::DOUBLE END)')} AS whishi,
        count(*) FILTER (WHERE NOT ({c} >= lo_f AND {c} <= hi_f)) AS n_fliers, f.n AS n
-FROM lineitem JOIN f ON lineitem.l_returnflag = f.class
+FROM lineitem JOIN f ON lineitem.{cls} = f.class
 WHERE {c} IS NOT NULL
 GROUP BY f.class, q1, median, q3, f.n)""")
     return _union(parts)
@@ -555,4 +567,22 @@ FROM rk JOIN te USING (cls) WHERE rn <= n_test_c""",
   CAST(coalesce(o_orderpriority = '4-NOT SPECIFIED', false) AS INTEGER) AS "o_orderpriority_4-NOT SPECIFIED",
   CAST(coalesce(o_orderpriority = '5-LOW', false) AS INTEGER) AS "o_orderpriority_5-LOW" FROM orders""",
     "s2_csv_quoted": "SELECT doc_id, text FROM documents",
+    "s2_csv_split": "SELECT doc_id, text, lang FROM documents",
+    "v3_box_stats_by_order": _box("l_orderkey"),
+    "a14_spearman_missing": _spearman_missing(),
+    **{k: f"""WITH {_split_cte("CAST(l_returnflag = 'R' AS INTEGER)", 42)}
+SELECT {KEY}, cls AS label, true AS p_in_range, true AS threshold_holds FROM rk JOIN te USING (cls) WHERE rn <= n_test_c"""
+       for k in ("m2_gbt_score", "m2_xgboost_score_30_rounds", "m3_mlp_score")},
+    "m7_tune_gbt_grid_of_2": """SELECT candidate::INTEGER AS candidate, params, true AS f1_in_range FROM (VALUES
+  (0, 'max_depth=2 n_estimators=5'), (1, 'max_depth=3 n_estimators=5')) v(candidate, params) WHERE EXISTS (FROM lineitem)""",
+    "m8_tune_mlp_grid_of_2": """SELECT candidate::INTEGER AS candidate, params, true AS f1_in_range FROM (VALUES
+  (0, 'batch_size=64 hidden_layer_sizes=(8,) learning_rate_init=0.01'),
+  (1, 'batch_size=64 hidden_layer_sizes=(16, 8) learning_rate_init=0.01')) v(candidate, params) WHERE EXISTS (FROM lineitem)""",
+    "w4_train": """SELECT m || '_' || v AS run_name, m AS model_key, v AS version, name, true AS in_range, true AS best_has_greatest_f1
+FROM (VALUES ('xgboost'), ('mlp')) a(m), (VALUES ('baseline'), ('tuned')) b(v),
+  (VALUES ('accuracy'), ('precision'), ('recall'), ('f1')) c(name) WHERE EXISTS (FROM lineitem)""",
+    "x5_rounded_report": _union([f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 2) AS mean,
+  round(stddev_samp({c}), 2) AS std FROM lineitem""" for c in ("l_quantity", "l_linenumber")]),
+    "s7_missing_path": _union([f"SELECT '{t}' AS table_name, 'parquet' AS suffix, count(*) AS n_rows FROM {t} "
+                               f"UNION ALL SELECT '{t}', 'absent', NULL" for t in ("orders", "lineitem", "part")]),
 }

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.columns import col, numeric_columns, numeric_value
 from tabsmith.operators.frequency import frequency_table, level_shares, unpivot_values
-from tabsmith.operators.quantiles import exact_quantiles
+from tabsmith.operators.quantiles import exact_quantiles, grouped_quantiles
+from tabsmith.session import cut_lineage
 
+FEW_GROUPS = 4096              # (column, class) groups whose quartiles the driver guides
 BINS_PER_TASK = 1_000_000      # histogram bins made by one task
 BINS_PER_BANDWIDTH = 20
 KERNEL_REACH = 40              # bandwidths; exp(-40 * 40 / 2) is zero in doubles
@@ -149,25 +151,30 @@ def box_stats(df: DataFrame, target: str, columns: list[str] | None = None, k: f
     """V3: per (column, class): ``q1, median, q3, whislo, whishi, n_fliers, n``.
 
     Whiskers are the most extreme values inside the 1.5 IQR fences (matplotlib's
-    rule); fliers are counted, not listed. Quartiles per (column, class) come from
-    exact distributed selection and are broadcast back (one row per column x class).
+    rule); fliers are counted, not listed. With up to ``FEW_GROUPS`` (column, class) groups
+    the quartiles come from refinement guided by the driver and are broadcast back; with
+    more, they stay a table on the executors and are joined by group.
     """
     columns = columns if columns is not None else [c for c in numeric_columns(df) if c != target]
     long = df.select(col(target).alias("class"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), numeric_value(c, df).alias("v")) for c in columns
-    ]))).where(F.col("v").isNotNull())
-    q = exact_quantiles(long, ["column", "class"], [0.25, 0.5, 0.75])
+    ]))).where(F.col("v").isNotNull() & F.col("class").isNotNull())
+    few = df.select(col(target)).distinct().limit(FEW_GROUPS + 1).count() * len(columns) <= FEW_GROUPS
+    q = (exact_quantiles if few else grouped_quantiles)(long, ["column", "class"], [0.25, 0.5, 0.75])
     q = q.select("column", "class", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     q = q.withColumn("lo_f", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_f", F.col("q3") + k * (F.col("q3") - F.col("q1")))
+    if not few:
+        q = cut_lineage(q)                     # read twice below
     inside = (F.col("v") >= F.col("lo_f")) & (F.col("v") <= F.col("hi_f"))
-    ext = long.join(F.broadcast(q.select("column", "class", "lo_f", "hi_f")), ["column", "class"], "inner") \
-        .groupBy("column", "class").agg(
-            F.min(F.when(inside, F.col("v"))).alias("whislo"),
-            F.max(F.when(inside, F.col("v"))).alias("whishi"),
-            F.count_if(~inside).alias("n_fliers"))
-    return q.join(ext, ["column", "class"], "inner").select(
+    fences = q.select(F.col("column").alias("_column"), F.col("class").alias("_class"), "lo_f", "hi_f")
+    same = (F.col("column") == F.col("_column")) & (F.col("class") == F.col("_class"))
+    ext = long.join(F.broadcast(fences) if few else fences, same, "inner").groupBy("_column", "_class").agg(
+        F.min(F.when(inside, F.col("v"))).alias("whislo"),
+        F.max(F.when(inside, F.col("v"))).alias("whishi"),
+        F.count_if(~inside).alias("n_fliers"))
+    return q.join(ext, same, "inner").select(
         "column", "class", "q1", "median", "q3", "whislo", "whishi", "n_fliers", "n")
 
 

@@ -10,8 +10,8 @@
   plain aggregates; the discordant count ``nd`` is the number of cell pairs ordered
   differently by the total orders (x, y) and (y, x), i.e. the inversions of the
   (y, x)-rank sequence in (x, y) order. They are counted by a distributed merge sort:
-  a pandas pass inside bounded base blocks, then one distributed prefix sum per
-  higher bit of the x-rank. No pair is ever materialised; memory per task is bounded.
+  a pandas pass inside bounded base blocks, then one pass of distributed prefix sums per
+  four higher bits of the x-rank. No pair is ever materialised; memory per task is bounded.
 """
 
 from __future__ import annotations
@@ -27,12 +27,13 @@ from tabsmith.functions.columns import col, numeric_columns, numeric_value
 from tabsmith.functions.stats import pairwise_pearson
 from tabsmith.session import materialized, spread
 from tabsmith.operators.ranking import (
-    ROWS_PER_BLOCK, prefix_before, weighted_inversions,
+    ROWS_PER_BLOCK, prefix_before, prefixes_before, weighted_inversions,
 )
 
 
 AGGS_PER_PASS = 512   # keeps each aggregate's generated code small; more pairs -> more passes
 PAIRS_PER_PASS = 6    # Kendall: cells a row makes in one pass
+BITS_PER_PASS = 4     # Kendall: bits of the x-rank settled by one pass of prefix sums
 
 
 def _pairs(columns: list[str], diagonal: bool = False) -> list[tuple[int, int]]:
@@ -148,16 +149,51 @@ def spearman_matrix(df: DataFrame, columns: list[str] | None = None,
         finally:
             table.unpersist()
         return spark.createDataFrame(rows, schema)
+    return _spearman_by_pair(df, columns, pairs, rows_per_block)
+
+
+def _complete_pairs(df: DataFrame, columns: list[str], pairs: list) -> DataFrame:
+    """(pair, x, y): the complete rows of every pair of columns."""
+    vals = [numeric_value(c, df) for c in columns]
+    entries = F.array(*[
+        F.when(vals[i].isNotNull() & vals[j].isNotNull(),
+               F.struct(F.lit(n).alias("pair"), vals[i].alias("x"), vals[j].alias("y")))
+        for n, (i, j) in enumerate(pairs)
+    ])
+    return df.select(F.inline(F.filter(entries, lambda e: e.isNotNull())))
+
+
+def _spearman_by_pair(df: DataFrame, columns: list[str], pairs: list, rows_per_block: int) -> DataFrame:
+    """Rank correlation with each pair ranked on its own complete rows: one table of average
+    ranks for all (pair, axis), joined back to the distinct cells of each pair. The number
+    of jobs does not depend on the number of pairs."""
+    from pyspark import StorageLevel
+
+    cells = _complete_pairs(df, columns, pairs).groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("n")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sides = cells.select("pair", F.inline(F.array(F.struct(F.lit(0).alias("axis"), F.col("x").alias("value"), "n"),
+                                                      F.struct(F.lit(1).alias("axis"), F.col("y").alias("value"), "n"))))
+        counts = sides.groupBy("pair", "axis", "value").agg(F.sum("n").alias("cnt"))
+        ranks = prefix_before(counts, ["pair", "axis"], ["value"], "cnt", "before", rows_per_block) \
+            .select("pair", "axis", "value", (F.col("before") + (F.col("cnt") + 1) / 2.0).alias("rank")) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        total = cells.groupBy("pair").agg(F.sum("n").alias("all"))
+        of = lambda axis, name: ranks.where(F.col("axis") == axis).select("pair", F.col("value").alias(name), F.col("rank").alias(f"r{name}"))
+        ranked = cells.join(of(0, "x"), ["pair", "x"]).join(of(1, "y"), ["pair", "y"]).join(total, "pair")
+        dx, dy = F.col("rx") - (F.col("all") + 1) / 2.0, F.col("ry") - (F.col("all") + 1) / 2.0
+        sums = {r["pair"]: r for r in ranked.groupBy("pair").agg(
+            F.sum(F.col("n") * dx * dx).alias("xx"), F.sum(F.col("n") * dy * dy).alias("yy"),
+            F.sum(F.col("n") * dx * dy).alias("xy")).collect()}                # one row a pair
+        ranks.unpersist()
+    finally:
+        cells.unpersist()
     rows = []
-    for i, j in pairs:
-        both = df.where(vals[i].isNotNull() & vals[j].isNotNull())
-        ranked, table = _rank_columns(both, [columns[i], columns[j]], rows_per_block)
-        try:
-            r = pearson_matrix(ranked.toDF("x", "y"), ["x", "y"], complete=True).first()
-        finally:
-            table.unpersist()
-        rows.append((columns[i], columns[j], r["corr"]))
-    return spark.createDataFrame(rows, schema)
+    for p, (i, j) in enumerate(pairs):
+        r = sums.get(p)
+        ok = r is not None and r["xx"] > 0 and r["yy"] > 0
+        rows.append((columns[i], columns[j], r["xy"] / math.sqrt(r["xx"] * r["yy"]) if ok else None))
+    return df.sparkSession.createDataFrame(rows, "col_x string, col_y string, corr double")
 
 
 # ---------------------------------------------------------------- Kendall tau-b
@@ -174,9 +210,10 @@ def _discordant(cells: DataFrame, max_cells: int, rows_per_block: int) -> dict[i
 
     Distributed merge-sort inversion count: exact ranks ``rx`` (order x, y) and ``ry``
     (order y, x); pairs inside a base block of ``2^L0 <= rows_per_block`` consecutive
-    ``rx`` are counted by one grouped pandas pass; pairs that first separate at bit
-    ``l >= L0`` of ``rx`` are counted per level as ``n_b * (left weight above ry_b)`` with
-    one distributed prefix sum. Per-task memory is bounded by ``rows_per_block``.
+    ``rx`` are counted by one grouped pandas pass; pairs that first separate in a later
+    digit of ``rx`` (``BITS_PER_PASS`` bits) are counted per digit place as ``n_b * (weight
+    above ry_b with a smaller digit)``, one pass of prefix sums for all values of the digit.
+    Per-task memory is bounded by ``rows_per_block``.
     """
     from pyspark import StorageLevel
 
@@ -191,14 +228,17 @@ def _discordant(cells: DataFrame, max_cells: int, rows_per_block: int) -> dict[i
         for r in local.collect():
             nd[r["pair"]] = nd.get(r["pair"], 0) + int(r["inv"])
         top = max(1, int(math.ceil(math.log2(max(2, max_cells)))))
-        for level in range(base_bits, top):
-            side = F.shiftright("rx", level).bitwiseAND(F.lit(1))
-            t = ranked.select("pair", F.shiftright("rx", level + 1).alias("_p"), "ry", "n", side.alias("_s")) \
-                .withColumn("_w", F.when(F.col("_s") == 0, F.col("n")).otherwise(F.lit(0)))
-            left = t.groupBy("pair", "_p").agg(F.sum("_w").alias("_lw"))
-            below = prefix_before(t, ["pair", "_p"], ["ry"], "_w", "_lb", rows_per_block)
-            right = below.where(F.col("_s") == 1).join(left, ["pair", "_p"])
-            contrib = (F.col("n").cast("decimal(20,0)") * (F.col("_lw") - F.col("_lb")).cast("decimal(20,0)"))
+        for level in range(base_bits, top, BITS_PER_PASS):
+            bits = min(BITS_PER_PASS, top - level)
+            t = ranked.select("pair", F.shiftright("rx", level + bits).alias("_p"), "ry", "n",
+                              F.shiftright("rx", level).bitwiseAND(F.lit((1 << bits) - 1)).alias("_s"))
+            # for every digit d: the weight of the cells with a smaller digit, in all and before this one
+            lower = {d: F.when(F.col("_s") < d, F.col("n")).otherwise(F.lit(0)) for d in range(1, 1 << bits)}
+            totals = t.groupBy("pair", "_p").agg(*[F.sum(w).alias(f"_t{d}") for d, w in lower.items()])
+            below = prefixes_before(t, ["pair", "_p"], ["ry"], {f"_b{d}": w for d, w in lower.items()}, rows_per_block)
+            above = F.coalesce(*[F.when(F.col("_s") == d, F.col(f"_t{d}") - F.col(f"_b{d}")) for d in lower])
+            right = below.where(F.col("_s") > 0).join(totals, ["pair", "_p"])
+            contrib = F.col("n").cast("decimal(20,0)") * above.cast("decimal(20,0)")
             for r in right.groupBy("pair").agg(F.sum(contrib).cast("string").alias("c")).collect():
                 nd[r["pair"]] = nd.get(r["pair"], 0) + int(r["c"])
         return nd
@@ -229,13 +269,7 @@ def kendall_matrix(df: DataFrame, columns: list[str] | None = None, rows_per_blo
 
 
 def _kendall_rows(df: DataFrame, columns: list[str], pairs: list, rows_per_block: int) -> list[tuple]:
-    vals = [numeric_value(c, df) for c in columns]
-    entries = F.array(*[
-        F.when(vals[i].isNotNull() & vals[j].isNotNull(),
-               F.struct(F.lit(n).alias("pair"), vals[i].alias("x"), vals[j].alias("y")))
-        for n, (i, j) in enumerate(pairs)
-    ])
-    long = df.select(F.inline(F.filter(entries, lambda e: e.isNotNull())))
+    long = _complete_pairs(df, columns, pairs)
     cells = long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("n")).persist()
     try:
         base = {r["pair"]: r for r in cells.groupBy("pair").agg(

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsmith.operators.ranking import _count_at_or_below
+from tabsmith.operators.ranking import _count_at_or_below, prefix_before
 
 BUCKETS = 1024
 LIST_LIMIT = 20_000
@@ -177,3 +177,28 @@ def exact_quantiles(long: DataFrame, keys: list[str], probs: list[float], bucket
     schema = T.StructType([T.StructField(k, t) for k, t in zip(keys, key_types)] +
                           [T.StructField("n", T.LongType()), T.StructField("q", T.ArrayType(T.DoubleType()))])
     return spark.createDataFrame(out, schema)
+
+
+def grouped_quantiles(long: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """``keys + [n, q]`` like :func:`exact_quantiles`, for any number of groups.
+
+    Values are counted per group (combined on the map side) and ranked by distributed
+    prefix sums over the whole order of (group, value), which cut a large group into several
+    blocks. The order statistics are the values whose run of ranks holds the wanted one. No
+    group reaches the driver or is broadcast.
+    """
+    counts = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_c"))
+    runs = prefix_before(counts, keys, ["v"], "_c", "_before")
+    total = [f"_t{i}" for i in range(len(keys))]
+    totals = counts.groupBy(*[F.col(k).alias(t) for k, t in zip(keys, total)]).agg(F.sum("_c").alias("n"))
+    on = [F.col(k).eqNullSafe(F.col(t)) for k, t in zip(keys, total)]
+    rows = runs.join(totals, on).drop(*total)
+    holds = lambda rank: (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c"))
+    ranks = [(F.floor(F.lit(float(p)) * (F.col("n") - 1)), F.ceil(F.lit(float(p)) * (F.col("n") - 1))) for p in probs]
+    picked = rows.groupBy(*keys, "n").agg(*[F.max(F.when(holds(r), F.col("v"))).alias(f"_v{i}{side}")
+                                            for i, pair in enumerate(ranks) for side, r in enumerate(pair)])
+    out = []
+    for i, (p, (lo, hi)) in enumerate(zip(probs, ranks)):
+        pos, v_lo, v_hi = F.lit(float(p)) * (F.col("n") - 1), F.col(f"_v{i}0"), F.col(f"_v{i}1")
+        out.append(F.when((lo == hi) | (v_lo == v_hi), v_lo).otherwise((hi - pos) * v_lo + (pos - lo) * v_hi))
+    return picked.select(*keys, "n", F.array(*out).alias("q"))

@@ -133,13 +133,18 @@ def prefix_before(df: DataFrame, part_cols: list[str], order_cols: list[str], we
     """Add ``out`` = sum of ``weight`` (1 if None) over rows of the same ``part_cols``
     that sort strictly before this row by ``order_cols`` (rows equal on the order
     columns are ordered arbitrarily but consistently: pass a unique order)."""
-    w_col = F.col(weight) if weight else F.lit(1)
+    return prefixes_before(df, part_cols, order_cols, {out: F.col(weight) if weight else F.lit(1)}, rows_per_block, seed, max_blocks)
+
+
+def prefixes_before(df: DataFrame, part_cols: list[str], order_cols: list[str], weights: dict[str, Column],
+                    rows_per_block: int = ROWS_PER_BLOCK, seed: int = 17, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """:func:`prefix_before` for several weights (output name -> weight) in one pass."""
     n = df.count()
     blocks = block_count(n, rows_per_block, max_blocks * max_blocks)
     if blocks == 1:
         # the whole input fits one block: a plain window per part is exact and bounded
         w1 = Window.partitionBy(*part_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.coalesce(F.sum(w_col.cast("long")).over(w1), F.lit(0)).cast("long"))
+        return df.withColumns({out: F.coalesce(F.sum(w.cast("long")).over(w1), F.lit(0)).cast("long") for out, w in weights.items()})
     # one text per part, never null: nulls are a part of their own
     mark = [F.coalesce(col(c).cast("string"), F.lit("\u0001")) for c in part_cols]
     df = df.withColumn("_part", F.concat_ws("\u0002", *mark) if mark else F.lit(""))
@@ -148,16 +153,18 @@ def prefix_before(df: DataFrame, part_cols: list[str], order_cols: list[str], we
         tagged = range_blocks(df, ["_part", *order_cols], bounds, "_blk")
     else:
         tagged = two_level_blocks(df, ["_part", *order_cols], blocks, n, max_blocks, seed, "_blk")
-    tagged = tagged.withColumn("_w", w_col.cast("long"))
-    totals = tagged.groupBy("_blk", "_part").agg(F.sum("_w").alias("_tot"))
+    names = list(weights)
+    tagged = tagged.withColumns({f"_w{i}": weights[o].cast("long") for i, o in enumerate(names)})
+    totals = tagged.groupBy("_blk", "_part").agg(*[F.sum(f"_w{i}").alias(f"_tot{i}") for i in range(len(names))])
     wo = Window.partitionBy("_part").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_blk", "_part", F.coalesce(F.sum("_tot").over(wo), F.lit(0)).alias("_off"))
+    offsets = totals.select("_blk", "_part", *[F.coalesce(F.sum(f"_tot{i}").over(wo), F.lit(0)).alias(f"_off{i}") for i in range(len(names))])
     # offsets has at most (blocks x parts) rows; the rows are already dealt by (_blk, _part)
     # for the window, so the join moves only the offsets
     wl = Window.partitionBy("_blk", "_part").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    local = tagged.withColumn("_loc", F.coalesce(F.sum("_w").over(wl), F.lit(0)))
+    local = tagged.withColumns({f"_loc{i}": F.coalesce(F.sum(f"_w{i}").over(wl), F.lit(0)) for i in range(len(names))})
     joined = local.join(offsets, ["_blk", "_part"], "inner")
-    return joined.withColumn(out, F.col("_off") + F.col("_loc")).drop("_blk", "_part", "_w", "_off", "_loc")
+    done = joined.withColumns({o: F.col(f"_off{i}") + F.col(f"_loc{i}") for i, o in enumerate(names)})
+    return done.drop("_blk", "_part", *[f"{p}{i}" for i in range(len(names)) for p in ("_w", "_off", "_loc")])
 
 
 def weighted_inversions(values: np.ndarray, weights: np.ndarray) -> int:

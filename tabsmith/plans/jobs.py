@@ -29,6 +29,7 @@ POSITIVE_LABEL = ">50K"
 COLUMNS_TO_DROP = ["fnlwgt", "education"]
 COLUMNS_TO_IMPUTE = ["workclass", "occupation", "native-country"]
 VALIDATION = "is_validation"
+STOPPING_ROUNDS = 10
 NUMERICAL_COLUMNS = ["age", "education-num", "capital-gain", "capital-loss", "hours-per-week"]
 
 
@@ -55,8 +56,8 @@ def build_table(spark: SparkSession, in_path: str, out_path: str, target: str =
     return spark.read.parquet(out_path)
 
 
-def explore(spark: SparkSession, in_path: str, out_dir: str, target: str = TARGET, top_n: int = 5) -> dict:
-    """Every report table (A1-A13, V1-V6) from one persisted input."""
+def explore(spark: SparkSession, in_path: str, out_dir: str, target: str = TARGET, top_n: int = 5, digits: int | None = None) -> dict:
+    """Every report table (A1-A13, V1-V6) from one persisted input; ``digits`` rounds them."""
     df = _loader(in_path).load(spark).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         nums = numeric_columns(df)
@@ -76,19 +77,19 @@ def explore(spark: SparkSession, in_path: str, out_dir: str, target: str = TARGE
             "class_balance": chartdata.class_balance(df, target) if target in df.columns else None,
         }
         tables = {k: v for k, v in tables.items() if v is not None}
-        return write_report(tables, out_dir)
+        return write_report(tables, out_dir, digits=digits)
     finally:
         df.unpersist()
 
 
-def train(spark: SparkSession, table_path: str, out_dir: str, label: str = TARGET, models: str = "gbt,mlp",
+def train(spark: SparkSession, table_path: str, out_dir: str, label: str = TARGET, models: str = "xgboost,mlp",
           tune: bool = True, scale_cols: list[str] | None = None, key: list[str] | None = None,
           params: dict[str, dict] | None = None, searches: dict[str, dict] | None = None,
           validation_share: float | None = None) -> dict:
     """Fit scaler+model pipelines, evaluate on the test split, log runs, keep the best.
 
-    ``validation_share`` (F12) sets that share of the train split aside, and the boosted
-    trees of the baseline stop when its loss stops falling; Spark's network has no such stop.
+    ``validation_share`` (F12) sets that share of the train split aside, and every baseline
+    stops when its loss stops falling. The network stops early anyway, on a share of its own.
     ``params`` and ``searches`` override, per model name, the model's parameters and the
     arguments of its search; without them the full defaults run.
     """
@@ -103,8 +104,9 @@ def train(spark: SparkSession, table_path: str, out_dir: str, label: str = TARGE
     log, ev, saved = RunLog(spark, os.path.join(out_dir, "runs")), Evaluator(), {}
     for name in select_models(models):
         own = (params or {}).get(name, {})
-        if validation_share and name != "mlp":
-            own = {**own, "validation_col": VALIDATION}
+        if validation_share:
+            stop = {"early_stopping_rounds": STOPPING_ROUNDS} if name == "xgboost" else {}
+            own = {**stop, **own, "validation_col": VALIDATION}
         search = (searches or {}).get(name, {})
         model = build_pipeline(name, features, scale, label, **own).fit(trainset)
         run_name = f"{name}_baseline"
@@ -115,12 +117,9 @@ def train(spark: SparkSession, table_path: str, out_dir: str, label: str = TARGE
         log.log_run(run_name, name, "baseline", own, {k: metrics[k] for k in ("accuracy", "precision",
                                                                                 "recall", "f1")}, {"model": path})
         if tune:
-            from tabsmith.plans.tuning import tune_gbt, tune_mlp
+            from tabsmith.plans.tuning import TUNERS
 
-            if name == "mlp":
-                model, best, score, _ = tune_mlp(trainset, features, scale, label, key=key, **search)
-            else:
-                model, best, score, _ = tune_gbt(trainset, features, scale, label, key=key, **search)
+            model, best, score, _ = TUNERS[name](trainset, features, scale, label, key=key, **search)
             run_name = f"{name}_tuned"
             metrics = ev.evaluate(run_name, predict(model, testset, keep=[label]), label)
             path = os.path.join(out_dir, "models", run_name)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tabsmith.functions.columns import col, is_string_type, quote, strip_text
+from tabsmith.sources.quoted import quoted_records
 
 # The null tokens pandas' read_csv recognises by default (keep_default_na).
 PANDAS_DEFAULT_NULL_TOKENS = (
@@ -123,8 +124,8 @@ class CSVDataLoader(DataLoader):
     """CSV scan with the reference loader's text rules.
 
     A line with more fields than the header raises; one with fewer ends in missing values.
-    A file read with ``multi_line`` cannot be split among tasks; turn it off for large
-    files without line breaks in quotes.
+    Files are split among tasks by byte ranges. ``multi_line`` allows line breaks in quotes
+    (:mod:`tabsmith.sources.quoted`, two passes over the text); turn it off for files without.
 
     ``schema`` (a DDL string or StructType) skips inference and is what to use at scale;
     without it every column is read as text and typed by :func:`infer_types`.
@@ -144,25 +145,26 @@ class CSVDataLoader(DataLoader):
         self.multi_line = multi_line
 
     def _read_text(self, spark: SparkSession) -> DataFrame:
-        reader = (
-            spark.read.option("header", True)
-            .option("sep", self.sep)
-            .option("ignoreLeadingWhiteSpace", True)
-            .option("ignoreTrailingWhiteSpace", False)
-            .option("inferSchema", False)
+        options = {
+            "sep": self.sep, "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "false",
             # keep empty fields as "" so the token list decides what is missing
-            .option("nullValue", "\u0000__never__")
-            .option("emptyValue", "")
+            "nullValue": "\u0000__never__", "emptyValue": "",
             # quotes inside quotes are doubled, and quoted text may hold line breaks
-            .option("escape", '"')
-            .option("multiLine", self.multi_line)
-            .option("mode", "PERMISSIVE")
-        )
+            "escape": '"', "multiLine": str(self.multi_line).lower(), "mode": "PERMISSIVE",
+        }
+        reader = spark.read.options(**options).option("header", True).option("inferSchema", False)
         header = reader.csv(self.path).schema
         if not header.fields:
             return reader.csv(self.path)
         whole = T.StructType([*header.fields, T.StructField(_RECORD, T.StringType())])
-        df = reader.schema(whole).option("columnNameOfCorruptRecord", _RECORD).csv(self.path)
+        options["columnNameOfCorruptRecord"] = _RECORD
+        if self.multi_line:
+            # field names do not matter to the parser: numbered ones need no quoting
+            plain = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header.fields))] + [whole.fields[-1]])
+            parsed = F.from_csv("record", plain.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+            df = quoted_records(spark, self.path, self.sep).select(parsed.alias("r")).select("r.*").toDF(*whole.names)
+        else:
+            df = reader.schema(whole).options(**options).csv(self.path)
         # a line with too few fields has nulls at its end; one with too many has none
         surplus = F.col(_RECORD).isNotNull() & col(header.fields[-1].name).isNotNull()
         fails = F.raise_error(F.concat(F.lit("more fields than the header: "), F.col(_RECORD))).cast("boolean")

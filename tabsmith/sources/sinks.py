@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabsmith.functions.columns import col
+from tabsmith.functions.columns import col, round_half_up
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -59,10 +59,13 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
-    """Each report section as its own table; some (category counts) grow with the data."""
+def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet", digits: int | None = None) -> dict[str, str]:
+    """Each report section as its own table; some (category counts) grow with the data.
+    ``digits`` (X5) rounds the doubles of the report; without it they keep full precision."""
     paths = {}
     for name, frame in tables.items():
+        if digits is not None:
+            frame = frame.select(*[round_half_up(col(c), digits).alias(c) if t == "double" else col(c) for c, t in frame.dtypes])
         paths[name] = os.path.join(out_dir, name)
         write_table(frame, paths[name], fmt)
     return paths

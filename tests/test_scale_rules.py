@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabsmith.operators import evaluate, ranking
 from tabsmith.operators import split as split_mod
 from tabsmith.operators.split import assign_folds, assign_split
-from tabsmith.plans.models import build_pipeline, mlp, predict
+from tabsmith.plans.models import build_pipeline, mlp, predict, xgboost
 
 
 def _md5(*parts):
@@ -59,10 +59,10 @@ def test_feature_names_with_dots_train_and_score(spark):
     assert len(out) == 60 and all(r["prediction"] == r["label"] for r in out)
 
 
-def test_network_rejects_parameters_without_a_counterpart():
-    for name in ("dropout_rate", "learning_rate_init"):
-        with pytest.raises(ValueError, match=name):
-            mlp(3, **{name: 0.1})
+def test_models_reject_unknown_parameters():
+    for make in (mlp, xgboost):
+        with pytest.raises(ValueError, match="dropout"):
+            make(dropout=0.1)
 
 
 def test_blocks_of_order_columns_with_nulls(spark):
