@@ -94,14 +94,14 @@ def _spread(gram: np.ndarray) -> np.ndarray:
 def columnwise_cover(columns: np.ndarray, doc: np.ndarray, first: np.ndarray, last: np.ndarray,
                      length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """For each segment the first and last window start (column) that a smaller document
-    shares, or (-1, -1). ``columns``: one row per column, one entry per segment;
-    ``first``/``last``: the window starts that lie within the segment's document."""
+    shares, or (-1, -1). ``columns``: one row per column, one entry per segment (fewer than
+    2^31); ``first``/``last``: the window starts that lie within the segment's document."""
     width, m = columns.shape
-    order, lcp = np.arange(m), np.zeros(m, np.uint8)
-    low, high = np.full(m, -1, np.int64), np.full(m, -1, np.int64)
+    order, lcp = np.arange(m, dtype=np.int32), np.zeros(m, np.uint8)
+    low, high = np.full(m, -1, np.int16), np.full(m, -1, np.int16)
     for c in range(width - 1, -1, -1):
         bwt = columns[c][order]                                   # symbol before each suffix, in order
-        step = np.argsort(bwt, kind="stable")                     # LF mapping
+        step = np.argsort(bwt, kind="stable").astype(np.int32)    # LF mapping
         symbol = bwt[step]
         same = np.flatnonzero(symbol[1:] == symbol[:-1]) + 1
         new = np.zeros(m, np.uint8)
@@ -141,14 +141,15 @@ def _range_minimum(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarr
 
 # ------------------------------------------------------------------ tasks
 
-_MESSAGE = "bucket long, kind int, sender long, blob binary"
+_MESSAGE = "bucket long, kind int, sender long, size long, blob binary"
 
 
-def _message(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
+def _message(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
+    """``size``: the number of segments in the blob (0 where it holds none)."""
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)],
-        names=["bucket", "kind", "sender", "blob"])
+        [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
+        names=["bucket", "kind", "sender", "size", "blob"])
 
 
 def _ids(column) -> np.ndarray:
@@ -173,10 +174,10 @@ def _send_anchors(buckets: int):
         keep[starts[several]] = True
         number = np.where(shared, 0, row + 1)[keep].astype(np.uint32)
         out_pos, out_gram = np.where(shared, 0, pos)[keep].astype(np.uint32), gram[keep]
-        out = [(b, 0, sender, pack(np.diff(out_gram[s] >> np.uint64(16), prepend=np.uint64(0)), number[s], out_pos[s]))
+        out = [(b, 0, sender, 0, pack(np.diff(out_gram[s] >> np.uint64(16), prepend=np.uint64(0)), number[s], out_pos[s]))
                for b, s in bucket_runs(out_gram, buckets)]
-        out.append((-1 - sender, 1, sender, pack(row[shared].astype(np.uint32), pos[shared].astype(np.uint32))))
-        out.append((-1 - sender, 2, sender, pack(*[np.concatenate(x) for x in zip(*rows, strict=True)])))
+        out.append((-1 - sender, 1, sender, 0, pack(row[shared].astype(np.uint32), pos[shared].astype(np.uint32))))
+        out.append((-1 - sender, 2, sender, 0, pack(*[np.concatenate(x) for x in zip(*rows, strict=True)])))
         return _message(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +223,7 @@ def _answer_anchors(blobs: pa.Table) -> pa.Table:
     i = np.flatnonzero(hit)
     i = i[np.argsort(part[i], kind="stable")]
     edges = np.searchsorted(part[i], np.arange(len(parts) + 1))
-    rows = [(-1 - int(senders[p]), 1, int(senders[p]), pack(number[i[a:b]] - np.uint32(1), pos[i[a:b]]))
+    rows = [(-1 - int(senders[p]), 1, int(senders[p]), 0, pack(number[i[a:b]] - np.uint32(1), pos[i[a:b]]))
             for p, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
     return pa.Table.from_batches([_message(rows)])
 
@@ -328,11 +329,11 @@ def _send_segments(buckets: int):
             for b, s_ in bucket_runs(gram[i], buckets):
                 j = i[s_]
                 own, index = np.unique(d[j], return_inverse=True)
-                out.append((b, 0, int(key[0].as_py()), pack(
+                out.append((b, 0, int(key[0].as_py()), len(j), pack(
                     matrix[j].reshape(-1), own.astype(np.uint32), np.diff(group.ids[own], prepend=0).astype(np.int64),
                     index.astype(np.uint32), p[j].astype(np.uint32), first[j].astype(np.uint8), last[j].astype(np.uint8))))
         spans = [np.concatenate(x).astype(np.uint32) for x in zip(*resolved, strict=True)]
-        out.append((-1 - int(key[0].as_py()), 1, int(key[0].as_py()), pack(*spans)))
+        out.append((-1 - int(key[0].as_py()), 1, int(key[0].as_py()), 0, pack(*spans)))
         return pa.Table.from_batches([_message(out)])
 
     return run
@@ -343,26 +344,29 @@ def _cover_segments(blobs: pa.Table) -> pa.Table:
     groups = blobs.column("sender").to_numpy()
     if blobs.column("kind")[0].as_py() != 0:
         return pa.table([pa.array(groups, pa.int64()), blobs.column("blob")], names=["grp", "blob"])
-    matrix, doc, number, part, pos, first, last = [], [], [], [], [], [], []
+    sizes = blobs.column("size").to_numpy()
+    edges = np.concatenate(([0], np.cumsum(sizes)))
+    m = int(edges[-1])
+    # one array of each kind for the whole bucket; a blob's arrays go as soon as they are copied
+    columns, doc = np.empty((WIDTH, m), np.uint8), np.empty(m, np.int64)
+    number, pos = np.empty(m, np.uint32), np.empty(m, np.uint32)
+    first, last = np.empty(m, np.uint8), np.empty(m, np.uint8)
     for k, blob in enumerate(blobs.column("blob")):
-        m, own, ids, index, p, f, l = unpack(blob.as_py())
-        matrix.append(m.reshape(-1, WIDTH))
-        doc.append(np.cumsum(ids)[index])
-        number.append(own[index])
-        part.append(np.full(len(index), k))
-        pos.append(p.astype(np.int64))
-        first.append(f.astype(np.int64))
-        last.append(l.astype(np.int64))
-    doc, number, part, pos, first, last = (np.concatenate(x) for x in (doc, number, part, pos, first, last))
-    low, high = columnwise_cover(np.ascontiguousarray(np.concatenate(matrix).T), doc, first, last)
+        s = slice(edges[k], edges[k + 1])
+        symbols, own, ids, index, pos[s], first[s], last[s] = unpack(blob.as_py())
+        columns[:, s] = symbols.reshape(-1, WIDTH).T
+        doc[s], number[s] = np.cumsum(ids)[index], own[index]
+        del symbols
+    low, high = columnwise_cover(columns, doc, first, last)
+    del columns
     out = []
     i = np.flatnonzero(low >= 0)
-    edges = np.searchsorted(part[i], np.arange(len(blobs) + 1))
-    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+    ends = np.searchsorted(i, edges)
+    for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
         if b > a:
             j = i[a:b]
-            out.append((int(groups[k]), pack(number[j].astype(np.uint32), (pos[j] - (SPAN - 1) + low[j]).astype(np.uint32),
-                                             (pos[j] - (SPAN - 1) + high[j] + LENGTH).astype(np.uint32))))
+            begin = pos[j].astype(np.int64) - (SPAN - 1)
+            out.append((int(groups[k]), pack(number[j], (begin + low[j]).astype(np.uint32), (begin + high[j] + LENGTH).astype(np.uint32))))
     return pa.table([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["grp", "blob"])
 
 
@@ -375,7 +379,8 @@ def _cut(with_text: bool):
             start = group.offsets[group.row[number]]
             np.add.at(gone, start + a, 1)
             np.add.at(gone, start + b, -1)
-        gone = np.cumsum(gone[:-1]) > 0
+        np.cumsum(gone, dtype=np.int32, out=gone)
+        gone = gone[:-1] > 0
         n_bytes, n_removed, n_spans, digest, text = [], [], [], [], []
         done: dict[int, tuple] = {}
         for number in group.number.tolist():
