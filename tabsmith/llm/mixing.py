@@ -3,7 +3,8 @@
 1. Targets: sources share the corpus size by weight; a target stops at ``max_repeats``
    times its source's size, and the excess is shared again by weight (closed form over
    the sources sorted by the level at which each one stops).
-2. Quotas: the mix is cut into blocks of ``block_words`` words and the blocks go to the
+2. Quotas: the mix is cut into equal blocks of a power of two of words (64 at most, fewer
+   where the smallest target asks for it) and the blocks go to the
    sources with the highest quotients target / (2 j + 1). Quotients that every
    allotment contains, and those that none can contain, follow from bounds on the
    divisor, so about three quotients per source are ranked whatever the block count.
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 
 from tabsmith.llm.common import shared_table, table, word_count
 
-BLOCK_WORDS = 64
+BLOCK_WORDS = 64            # largest block
+BLOCKS_LEAST = 64           # blocks are small enough that every target holds this many, or one word
 MAX_REPEATS = 3
 SEED = 42
 N_WEIGHTS = 3
@@ -105,6 +107,15 @@ def shard_quotas(targets: DataFrame, n_blocks, n_shards: int = N_SHARDS) -> Data
         "source", (F.col("house") - 1).alias("shard"), "quota")
 
 
+def block_size(least_target, most: int = BLOCK_WORDS) -> F.Column:
+    """The largest power of two of words, up to ``most``, that the least target holds
+    BLOCKS_LEAST times; one word where there is none."""
+    size = F.lit(1)
+    for k in range(1, most.bit_length()):
+        size = F.when(least_target >= (BLOCKS_LEAST << k), F.lit(1 << k)).otherwise(size)
+    return size.cast("long")
+
+
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """Per row: doc_id, size, source_size, target, taken, and the pieces of ``taken``:
     passes (whole repeats), head and tail (words at the start or end of the text that
@@ -115,8 +126,11 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED, max_r
     """
     rows = shared_table(sized(docs, seed), "mix-sizes")
     targets = source_targets(rows, max_repeats)
-    total = F.sum("source_size").over(Window.partitionBy())
-    plan = block_quotas(targets, F.round(total / block_words).cast("long"))
+    everything = Window.partitionBy()
+    block = block_size(F.min(F.when(F.col("target") > 0, F.col("target"))).over(everything), block_words)
+    targets = targets.withColumn("block", block)
+    plan = block_quotas(targets, F.round(F.sum("source_size").over(everything) / F.col("block")).cast("long"))
+    block_words = F.col("block")
     blocks = F.ceil(F.col("source_size") / block_words).cast("long")
     start_hash = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(f"start{seed}"), F.coalesce("source", F.lit("")))), 1, 12),
                         16, 10).cast("long")
@@ -173,14 +187,16 @@ l AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / weight, pos ROWS BETWEEN
     row_number() OVER (ORDER BY cap / weight, pos) AS level FROM w),
 r AS (SELECT *, (total - capped)::DOUBLE / left_w AS rate FROM l),
 f AS (SELECT *, (SELECT arg_min(rate, level) FROM r WHERE rate * weight <= cap) AS free FROM r),
-t AS (SELECT source, pos, source_size, total,
+t0 AS (SELECT source, pos, source_size, total,
     CASE WHEN free IS NULL OR free * weight > cap THEN cap::DOUBLE ELSE free * weight END AS target FROM f),
-q AS (SELECT source, pos, target / (2 * j + 1) AS quotient, j, round(total / 64.0)::BIGINT AS n
-    FROM t, LATERAL (SELECT unnest(range(0, round(total / 64.0)::BIGINT)) AS j) WHERE target > 0),
+t AS (SELECT *, (SELECT max(b) FROM (SELECT unnest([1, 2, 4, 8, 16, 32, 64]) AS b)
+    WHERE b = 1 OR b * 64 <= (SELECT min(target) FROM t0 WHERE target > 0)) AS block FROM t0),
+q AS (SELECT source, pos, target / (2 * j + 1) AS quotient, j, round(total / block::DOUBLE)::BIGINT AS n
+    FROM t, LATERAL (SELECT unnest(range(0, round(total / block::DOUBLE)::BIGINT)) AS j) WHERE target > 0),
 a AS (SELECT source, count(*) AS quota FROM (SELECT source, n,
     row_number() OVER (ORDER BY quotient DESC, pos, j) AS rank FROM q) WHERE rank <= n GROUP BY source),
-p AS (SELECT t.source, source_size, target, ceil(source_size / 64.0)::BIGINT AS blocks,
-    least(coalesce(quota, 0), 3 * ceil(source_size / 64.0)::BIGINT) AS quota,
+p AS (SELECT t.source, source_size, target, block, ceil(source_size / block::DOUBLE)::BIGINT AS blocks,
+    least(coalesce(quota, 0), 3 * ceil(source_size / block::DOUBLE)::BIGINT) AS quota,
     ('0x' || left(md5('start42|' || coalesce(t.source, '')), 12))::BIGINT AS h
     FROM t LEFT JOIN a ON t.source IS NOT DISTINCT FROM a.source),
 p2 AS (SELECT *, CASE WHEN blocks > 0 THEN quota // blocks ELSE 0 END AS passes,
@@ -188,7 +204,7 @@ p2 AS (SELECT *, CASE WHEN blocks > 0 THEN quota // blocks ELSE 0 END AS passes,
 x AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY order_key, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS x0 FROM d)
 SELECT doc_id, size::BIGINT AS size, source_size, target, x.source, passes::BIGINT AS passes,
-  least(passes * size + greatest(0, least(x0 + size, least((first + rest) * 64, blocks * 64)) - greatest(x0, first * 64))
-    + greatest(0, least(x0 + size, (first + rest - blocks) * 64) - x0), 3 * size)::BIGINT AS taken
+  least(passes * size + greatest(0, least(x0 + size, least((first + rest) * block, blocks * block)) - greatest(x0, first * block))
+    + greatest(0, least(x0 + size, (first + rest - blocks) * block) - x0), 3 * size)::BIGINT AS taken
 FROM x JOIN p2 ON x.source IS NOT DISTINCT FROM p2.source
 """

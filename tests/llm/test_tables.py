@@ -105,6 +105,40 @@ def test_topk_against_brute_force(spark, monkeypatch):
     assert topk.top_k(frame.limit(0), F.col("vec_id") % 100 == 0).collect() == []
 
 
+def test_topk_keeps_large_components_exactly(spark):
+    rows = [(0, [2.0 ** 25, 1.0, 0.0, 0.0]), (300, [0.0, 2.0 ** 25 + 0.5, 1.0, 0.0]), (400, [1.0, 0.0, 2.0 ** 40, 0.0]),
+            (7, [1e-300, 0.0, 0.0, -3.7])]
+    rows += [(i, [float(i), 0.5 * i, 0.0, 1.0]) for i in range(10, 40)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.top_k(frame.repartition(3), F.col("vec_id").isin(0, 300, 400)).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    from math import floor
+
+    ok = {i: [floor(int(x) * 1024 if abs(x) >= 2 ** 53 else x * 1024) for x in v] for i, v in rows}
+    for q in (0, 300, 400):
+        best = sorted((-sum(a * b for a, b in zip(ok[q], v)), i) for i, v in ok.items() if i != q)[:10]
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    huge = spark.createDataFrame([(100, [2.0 ** 60, 0.0]), (1, [0.0, 2.0 ** 70]), (2, [0.0, 3.0])], "vec_id long, embedding array<double>")
+    assert [(r.vec_id, r.score) for r in topk.top_k(huge, F.col("vec_id") == 100).orderBy("rank").collect()] == [(1, 0), (2, 0)]
+    over = spark.createDataFrame([(100, [2.0 ** 60]), (1, [2.0 ** 70])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64-bit"):
+        topk.top_k(over, F.col("vec_id") == 100).collect()
+
+
+def test_mix_small_sources_meet_their_targets(docs):
+    rows = [(i, " ".join(["w"] * n), "en", s) for i, (n, s) in enumerate([(20, "a"), (65, "b"), (10, "c"), (3000, "d"), (40, "b"), (1, "e")])]
+    got = {}
+    for r in mixing.mix(docs(rows)).collect():
+        target, taken = got.get(r.source, (r.target, 0))
+        assert r.taken <= 3 * r.size
+        got[r.source] = target, taken + r.taken
+    for target, taken in got.values():
+        assert abs(target - taken) <= 2
+    three = mixing.mix(docs([(1, "w " * 20, "en", "a"), (2, "w " * 65, "en", "b"), (3, "w " * 10, "en", "c")])).collect()
+    assert all(abs(r.target - r.taken) <= 1.5 for r in three)
+
+
 def test_mix_targets_stop_and_reshare(docs):
     rows = [(i, "w " * 100, None, "abc"[i % 3] if i else None) for i in range(90)] + [(100 + i, "w " * 900, None, "d") for i in range(20)] + [(500, None, None, "e")]
     frame = mixing.mix(docs(rows), block_words=16)
