@@ -36,11 +36,12 @@ from pyspark.sql import functions as F
 from tabsmith.llm.common import (BYTE_CODE, LOWER, PLACE_CODE, bucket_of, input_bytes, mix64, pack, run_starts, runs,
                                  shared_table, span_hashes, table, text_buffer, unpack)
 
-UNIT_BYTES = 4 << 20
-HELD_BYTES = 24 << 20       # text of all languages that a task holds before it writes units
-PARTITION_BYTES = 8 << 20   # of the input, a partition of n-grams
+UNIT_BYTES = 3 << 20
+HELD_BYTES = 12 << 20       # text of all languages that a task holds before it writes units
+PARTITION_BYTES = 4 << 20   # of the input, a partition of n-grams
 HASH_BYTES = 1 << 20        # text hashed at a time
-MERGE_ENTRIES = 1 << 20     # blob entries merged into a summary at a time
+RANK_SHARES = 64
+MERGE_ENTRIES = 1 << 19     # blob entries merged into a summary at a time
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09]] = True
@@ -148,13 +149,18 @@ def deal(parts: DataFrame, partitions: int, max_words: int) -> DataFrame:
                     total.sort()                    # equal n-grams have equal totals
                     first = run_starts(total)
                     found.append((total[first], np.diff(np.append(first, len(total))).astype(np.uint32)))
-                part, key = _identity(np.concatenate([f[0] for f in found]), partitions)
+                del total, words, starts, ends, pieces, buf
                 count = np.concatenate([f[1] for f in found])
-                order = np.argsort(key)
-                order = order[np.argsort(part[order].astype(np.uint16 if partitions <= 1 << 16 else np.uint64), kind="stable")]
+                part, key = _identity(np.concatenate([f[0] for f in found]), partitions)
+                del found
+                part = part.astype(np.uint16 if partitions <= 1 << 16 else np.uint64)
+                order = np.argsort(key).astype(np.uint32)         # a unit has fewer than 2^32 n-grams
+                order = order[np.argsort(part[order], kind="stable")]
                 part, key, count = part[order], key[order], count[order]
+                del order
                 rows = [(p, int(count[i:j].sum()), pack(np.diff(key[i:j], prepend=np.uint64(0)), count[i:j]))
                         for p, i, j in runs(part)]
+                del part, key, count
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r[0] for r in rows], pa.int64()), pa.array([row["unit"]] * len(rows)),
@@ -201,8 +207,9 @@ def survivors(blobs: list[bytes], mass: int, min_count: int) -> np.ndarray:
         waiting.append(entries(blob))
         held += len(waiting[-1][0])
         if held >= MERGE_ENTRIES or k == len(blobs) - 1:
-            summary.merge(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+            keys, counts = (np.concatenate(x) for x in zip(*waiting, strict=True))
             waiting, held = [], 0
+            summary.merge(keys, counts)
     return summary.keys
 
 
@@ -214,7 +221,7 @@ def frequent(dealt: DataFrame, min_count: int) -> DataFrame:
         names = group.column("unit").to_pylist()
         # another order of units in every partition, so that spelling is spread over them
         order = sorted(range(len(names)), key=lambda i: hash_text(f"{part}:{names[i]}"))
-        blobs = [group.column("blob")[i].as_py() for i in order]
+        blobs = [group.column("blob")[i].as_buffer() for i in order]   # not copied
         kept = survivors(blobs, sum(group.column("mass").to_pylist()), min_count)
         exact, speller = np.zeros(len(kept), np.int64), np.full(len(kept), -1, np.int64)
         for k, blob in enumerate(blobs if len(kept) else []):
@@ -312,8 +319,12 @@ def collocations(docs: DataFrame, min_count: int = 30, max_words: int = 4, cover
         .groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     covered = exact("longer") * 100 >= exact("a") * cover
     left_over = scored.join(longer, ["lang", "phrase"], "left").where(F.col("longer").isNull() | ~covered)
-    best = Window.partitionBy("lang").orderBy(F.desc("s.score"), F.desc("a"), F.asc("phrase"))
-    ranked = left_over.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= keep)
+    # the best of each share of a language first, so that no task ranks more than RANK_SHARES x keep
+    order = [F.desc("s.score"), F.desc("a"), F.asc("phrase")]
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SHARES))).orderBy(*order)
+    front = left_over.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= keep).drop("rank")
+    best = Window.partitionBy("lang").orderBy(*order)
+    ranked = front.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= keep)
     totals = parts.groupBy("lang").agg(F.sum("n_words").alias("n"))
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("s.l").alias("l"), F.col("s.r").alias("r"),
