@@ -49,8 +49,9 @@ def input_bytes(df: DataFrame) -> int:
     return size if size < 1 << 60 else 0
 
 
-def bucket_count(df: DataFrame, bytes_per_bucket: int = 4 << 20, least: int = 16, most: int = 20_000) -> int:
-    """Buckets for a packed shuffle: in proportion to the input, so a bucket's size stays bounded."""
+def bucket_count(df: DataFrame, bytes_per_bucket: int = 4 << 20, least: int = 16, most: int = 1 << 32) -> int:
+    """Buckets for a packed shuffle: in proportion to the input, so a bucket's size stays bounded
+    (``most``: where :func:`bucket_of` ends, some 10^16 bytes of input)."""
     size = input_bytes(df)
     if not size:
         size = bytes_per_bucket * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -418,7 +418,7 @@ def remove_repeats(docs: DataFrame, keep_rows: bool = False) -> DataFrame:
     spark = docs.sparkSession
     id_type = dict(docs.dtypes)["doc_id"]
     buckets = bucket_count(docs.select("text"), BUCKET_BYTES, 32)
-    groups = bucket_count(docs.select("text"), GROUP_BYTES, 8, 1 << 20)
+    groups = bucket_count(docs.select("text"), GROUP_BYTES, 8)
     extra = [F.struct(*[f"`{c}`" for c in docs.columns if c != "text"]).alias("row")] if keep_rows else []
     digest = F.xxhash64("text")
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", digest.alias("digest"),

@@ -32,3 +32,17 @@ def test_odd_rows_keep_one_result_each(docs, name):
 @pytest.mark.parametrize("name", OPERATORS)
 def test_empty_table(docs, name):
     assert OPERATORS[name](docs([])).collect() == []
+
+
+def test_buckets_stay_bounded_at_a_hundred_terabytes(spark, monkeypatch):
+    import numpy as np
+
+    from tabsmith.llm import common
+
+    df = spark.range(1).selectExpr("'x' AS text")
+    for size in (1 << 30, 100 << 40):
+        monkeypatch.setattr(common, "input_bytes", lambda df, size=size: size)
+        n = common.bucket_count(df)
+        assert size / n <= 4 << 20
+        hashes = np.array([0, 1 << 40, (1 << 64) - 1], np.uint64)
+        assert common.bucket_of(hashes, n).tolist() == [h * n >> 64 if h >> 32 == 0 else (h >> 32) * n >> 32 for h in hashes.tolist()]
