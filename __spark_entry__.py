@@ -99,6 +99,24 @@ def q_c2_mode_impute(spark, sf_dir):
     return out.select("o_orderkey", "o_orderpriority")
 
 
+def _repeated_lineitem(spark, sf_dir) -> DataFrame:
+    """Whole lineitem, and the rows of every seventh order once more."""
+    li = _t(spark, sf_dir, "lineitem").drop("l_shipdate")
+    return li.unionByName(li.where("l_orderkey % 7 = 0"))
+
+
+def q_c5_dedup_by_digest(spark, sf_dir):
+    from tabsmith.operators.duplicates import distinct_rows
+
+    return distinct_rows(_repeated_lineitem(spark, sf_dir))
+
+
+def q_a2_dup_count_by_digest(spark, sf_dir):
+    from tabsmith.operators.duplicates import surplus_rows
+
+    return surplus_rows(_repeated_lineitem(spark, sf_dir))
+
+
 def q_c5_dedup_events(spark, sf_dir):
     return DropDuplicateRows()(_t(spark, sf_dir, "events").select("event_type", "user_id"))
 
@@ -751,6 +769,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "w4_train": q_w4_train,
     "x5_rounded_report": q_x5_rounded_report,
     "s7_missing_path": q_s7_missing_path,
+    "c5_dedup_by_digest": q_c5_dedup_by_digest,
+    "a2_dup_count_by_digest": q_a2_dup_count_by_digest,
 }
 
 

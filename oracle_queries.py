@@ -583,6 +583,10 @@ FROM (VALUES ('xgboost'), ('mlp')) a(m), (VALUES ('baseline'), ('tuned')) b(v),
   (VALUES ('accuracy'), ('precision'), ('recall'), ('f1')) c(name) WHERE EXISTS (FROM lineitem)""",
     "x5_rounded_report": _union([f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 2) AS mean,
   round(stddev_samp({c}), 2) AS std FROM lineitem""" for c in ("l_quantity", "l_linenumber")]),
+    "c5_dedup_by_digest": "SELECT DISTINCT * EXCLUDE (l_shipdate) FROM lineitem",
+    "a2_dup_count_by_digest": """WITH r AS (SELECT * EXCLUDE (l_shipdate) FROM lineitem
+  UNION ALL SELECT * EXCLUDE (l_shipdate) FROM lineitem WHERE l_orderkey % 7 = 0)
+SELECT (SELECT count(*) FROM r) - (SELECT count(*) FROM (SELECT DISTINCT * FROM r)) AS n_duplicate_rows""",
     "s7_missing_path": _union([f"SELECT '{t}' AS table_name, 'parquet' AS suffix, count(*) AS n_rows FROM {t} "
                                f"UNION ALL SELECT '{t}', 'absent', NULL" for t in ("orders", "lineitem", "part")]),
 }
