@@ -47,10 +47,10 @@ def test_clean_build_explore_train_score(spark, census_csv, tmp_path):
     assert spark.read.parquet(report["missing"]).count() == 3
 
     result = jobs.train(spark, table_path, str(tmp_path / "out"), models="xgboost,mlp", tune=True,
-                        params={"xgboost": {"n_estimators": 10, "max_depth": 3},
-                                "mlp": {"hidden_layer_sizes": (16,), "max_iter": 30, "learning_rate_init": 0.01}},
-                        searches={"xgboost": {"grid": {"n_estimators": [5, 10], "max_depth": [2, 3]}, "n_iter": 2},
-                                  "mlp": {"grid": {"hidden_layer_sizes": [(8,), (16, 8)]}, "search": {"max_iter": 12}, "refit": {"max_iter": 12}}})
+                        params={"xgboost": {"n_estimators": 4, "max_depth": 2},
+                                "mlp": {"hidden_layer_sizes": (16,), "max_iter": 4, "learning_rate_init": 0.01}},
+                        searches={"xgboost": {"grid": {"n_estimators": [2, 3], "max_depth": [1, 2]}, "n_iter": 2},
+                                  "mlp": {"grid": {"hidden_layer_sizes": [(8,), (16, 8)]}, "search": {"max_iter": 3}, "refit": {"max_iter": 3}}})
     assert result["best"] in result["models"]
     assert 0.0 <= result["metrics"][result["best"]]["f1"] <= 1.0
     runs = spark.read.parquet(str(tmp_path / "out" / "runs" / "metrics"))
