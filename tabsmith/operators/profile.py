@@ -2,7 +2,7 @@
 
 Moments and extremes of all numeric columns come from one aggregate, centred powers
 from a second. Quartiles: ``exact`` (default) selects the order statistics by
-distributed refinement (``quantiles.exact_quantiles``, no per-group value map);
+distributed refinement (``quantiles.column_quantiles``, no per-group value map);
 ``percentile`` uses Spark's single-pass exact aggregate (fine when distinct values
 are few); ``approx`` uses ``percentile_approx`` sketches of fixed size. Interpolation
 is linear, identical to pandas. The result is stacked to one row per column. Outlier fences are a one-row table
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabsmith.functions.columns import categorical_columns, col, numeric_columns, numeric_value, percent
-from tabsmith.operators.frequency import frequency_table, level_shares, top_levels, unpivot_values
-from tabsmith.operators.quantiles import exact_quantiles
+from tabsmith.operators.frequency import frequency_table, level_shares, top_levels
+from tabsmith.operators.quantiles import column_quantiles
 from tabsmith.session import materialized
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -55,10 +55,8 @@ def numeric_stats_row(df: DataFrame, columns: list[str], method: str = "exact",
                 aggs.append(_quantile_expr(v, QUARTILES, method, accuracy).alias(f"q{i}"))
         first = d.agg(*aggs).first().asDict()
         if quantiles and method == "exact":
-            long = unpivot_values(d, columns, "double").withColumnRenamed("value", "v")
-            seeds = {(c,): (first[f"count{i}"], first[f"min{i}"], first[f"max{i}"]) for i, c in enumerate(columns)}
-            got = {r["column"]: list(r["q"]) for r in
-                   exact_quantiles(long, ["column"], list(QUARTILES), stats=seeds).collect()}
+            seeds = {c: (first[f"count{i}"], first[f"min{i}"], first[f"max{i}"]) for i, c in enumerate(columns)}
+            got = column_quantiles(d, columns, list(QUARTILES), seeds)
             for i, c in enumerate(columns):
                 first[f"q{i}"] = got.get(c)
         elif not quantiles:

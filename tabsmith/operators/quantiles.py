@@ -30,9 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabsmith.functions.columns import numeric_value
+from tabsmith.operators.frequency import unpivot_values
 from tabsmith.operators.ranking import _count_at_or_below, prefix_before
 
 BUCKETS = 1024
+COLUMN_BUCKETS = 4096    # of each column, where whole columns are cut
 LIST_LIMIT = 20_000
 LINEAR_ROUNDS = 2
 PATTERN_BUCKETS = 64
@@ -88,12 +91,79 @@ def exact_quantiles(long: DataFrame, keys: list[str], probs: list[float], bucket
     ``long`` holds the key columns and a non-null double column ``v``. ``stats`` may
     pass ``{group tuple: (n, min, max)}`` already computed by the caller.
     """
-    spark = long.sparkSession
     key_types = [long.schema[k].dataType for k in keys]
     if stats is None:
         rows = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("v").alias("_mn"),
                                        F.max("v").alias("_mx")).collect()
         stats = {tuple(r[k] for k in keys): (r["_n"], r["_mn"], r["_mx"]) for r in rows}
+    out = _refine(stats, probs, list_limit, lambda active, linear: _joined_counts(long, keys, key_types, active, linear, buckets),
+                  lambda listed: _joined_values(long, keys, key_types, listed))
+    schema = T.StructType([T.StructField(k, t) for k, t in zip(keys, key_types)] +
+                          [T.StructField("n", T.LongType()), T.StructField("q", T.ArrayType(T.DoubleType()))])
+    return long.sparkSession.createDataFrame(out, schema)
+
+
+def column_quantiles(df: DataFrame, columns: list[str], probs: list[float], stats: dict, buckets: int = COLUMN_BUCKETS,
+                     list_limit: int = LIST_LIMIT) -> dict[str, list[float]]:
+    """Exact interpolated quantiles of whole columns; ``stats``: (n, min, max) of each.
+
+    The same refinement, on the rows as they are: the few windows of a column are
+    literals of one expression, so no row is joined, and a row makes one cell for each column.
+    """
+    values = {c: numeric_value(c, df) for c in columns}
+    long = unpivot_values(df, list(dict.fromkeys(columns)), "double").withColumnRenamed("value", "v")
+    types = [T.StringType()]
+
+    def counts(active: dict, linear: bool) -> DataFrame:
+        if not linear or not all(math.isfinite(b - a) for _, a, b in active.values()):
+            return _joined_counts(long, ["column"], types, active, linear, buckets)
+
+        def cell(wid, v, a, b):
+            even = F.floor((v - F.lit(a)) / F.lit(b - a) * buckets).cast("long")
+            return F.lit(wid * buckets) + F.least(even, F.lit(buckets - 1))
+
+        cells = _cells(df, values, active, cell)
+        return cells.groupBy("_id").agg(F.count(F.lit(1)).alias("_c"), F.min("v").alias("_lo"), F.max("v").alias("_hi")) \
+            .select(F.expr(f"_id div {buckets}").alias("_wid"), F.expr(f"_id % {buckets}").alias("_k"), "_c", "_lo", "_hi")
+
+    def listed(windows: dict) -> DataFrame:
+        return _cells(df, values, windows, lambda wid, v, a, b: F.lit(wid)).withColumnRenamed("_id", "_wid") \
+            .groupBy("_wid", "v").agg(F.count(F.lit(1)).alias("_c"))
+
+    return {g: q for g, _, q in _refine({(c,): stats[c] for c in columns}, probs, list_limit, counts, listed)}
+
+
+def _cells(df: DataFrame, values: dict, windows: dict, cell) -> DataFrame:
+    """(_id, v): ``cell`` of every value that lies in a window of its column."""
+    of_column: dict = {}
+    for wid, ((c,), a, b) in windows.items():
+        of_column.setdefault(c, []).append((wid, a, b))
+    structs = []
+    for c, found in of_column.items():
+        v = values[c]
+        choice = [F.when(v.between(F.lit(a), F.lit(b)), cell(wid, v, a, b).cast("long")) for wid, a, b in found]
+        structs.append(F.struct(F.coalesce(*choice).alias("_id"), v.alias("v")))
+    return df.select(F.inline(F.array(*structs))).where("_id IS NOT NULL")
+
+
+def _joined_counts(long: DataFrame, keys: list[str], key_types: list, active: dict, linear: bool, buckets: int) -> DataFrame:
+    """(_wid, _k, _c, _lo, _hi): rows, least and greatest value of every bucket of the windows."""
+    inside = _in_windows(long, _bucket_frame(long.sparkSession, active, keys, key_types, linear), keys)
+    bucket = _count_at_or_below(F.col("_points"), F.col("v"), 0, PATTERN_BUCKETS - 1).cast("long")
+    if linear:
+        even = F.floor((F.col("v") - F.col("_a")) / (F.col("_b") - F.col("_a")) * buckets).cast("long")
+        bucket = F.when(F.col("_points").isNull(), F.least(even, F.lit(buckets - 1))).otherwise(bucket)
+    return inside.groupBy("_wid", bucket.alias("_k")).agg(F.count(F.lit(1)).alias("_c"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+
+
+def _joined_values(long: DataFrame, keys: list[str], key_types: list, windows: dict) -> DataFrame:
+    return _in_windows(long, _window_frame(long.sparkSession, windows, keys, key_types), keys) \
+        .groupBy("_wid", "v").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _refine(stats: dict, probs: list[float], list_limit: int, counts, listed_values) -> list[tuple]:
+    """(*group, n, quantiles) of every group. ``counts(windows, linear)`` and
+    ``listed_values(windows)`` give the buckets and the values of open windows."""
     info = {g: v for g, v in stats.items() if v[0]}
     groups = list(info)
     # targets: (group, rank) -> value ; open: target -> (window id, offset)
@@ -119,15 +189,8 @@ def exact_quantiles(long: DataFrame, keys: list[str], probs: list[float], bucket
         active = {wid: windows[wid] for wid in {w for w, _ in open_t.values()}}
         linear = rounds < LINEAR_ROUNDS
         rounds += 1
-        frame = _bucket_frame(spark, active, keys, key_types, linear)
-        inside = _in_windows(long, frame, keys)
-        bucket = _count_at_or_below(F.col("_points"), F.col("v"), 0, PATTERN_BUCKETS - 1).cast("long")
-        if linear:
-            even = F.floor((F.col("v") - F.col("_a")) / (F.col("_b") - F.col("_a")) * buckets).cast("long")
-            bucket = F.when(F.col("_points").isNull(), F.least(even, F.lit(buckets - 1))).otherwise(bucket)
         hist: dict = {}
-        for r in inside.groupBy("_wid", bucket.alias("_k")).agg(
-                F.count(F.lit(1)).alias("_c"), F.min("v").alias("_lo"), F.max("v").alias("_hi")).collect():
+        for r in counts(active, linear).collect():
             hist.setdefault(r["_wid"], []).append((r["_k"], r["_c"], r["_lo"], r["_hi"]))
         for wid in hist:
             hist[wid].sort()
@@ -151,10 +214,8 @@ def exact_quantiles(long: DataFrame, keys: list[str], probs: list[float], bucket
                 run += c
         if listing:
             lw = {wid: windows[wid] for wid in {w for w, _ in listing.values()}}
-            rows = _in_windows(long, _window_frame(spark, lw, keys, key_types), keys) \
-                .groupBy("_wid", "v").agg(F.count(F.lit(1)).alias("_c")).collect()
             listed: dict = {}
-            for r in rows:
+            for r in listed_values(lw).collect():
                 listed.setdefault(r["_wid"], []).append((r["v"], r["_c"]))
             for t, (wid, off) in listing.items():
                 run = off
@@ -174,9 +235,7 @@ def exact_quantiles(long: DataFrame, keys: list[str], probs: list[float], bucket
             vlo, vhi = values[(g, lo)], values[(g, hi)]
             qs.append(vlo if (lo == hi or vlo == vhi) else (hi - pos) * vlo + (pos - lo) * vhi)
         out.append((*g, n, qs))
-    schema = T.StructType([T.StructField(k, t) for k, t in zip(keys, key_types)] +
-                          [T.StructField("n", T.LongType()), T.StructField("q", T.ArrayType(T.DoubleType()))])
-    return spark.createDataFrame(out, schema)
+    return out
 
 
 def grouped_quantiles(long: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
