@@ -87,3 +87,20 @@ def test_pairing_by_key(spark):
     with pytest.raises(ValueError):
         pair_by_key(features.selectExpr("CASE WHEN k = 1 THEN 1 END AS k", "x"),
                     labels.selectExpr("CASE WHEN k = 1 THEN 1 END AS k", "y"), ["k"])
+
+
+def test_folds_by_hash_buckets(spark, monkeypatch):
+    """Buckets of the hash, one of them filled by a repeated key; a null class."""
+    ranked = []
+    plain = split_mod.prefix_before
+    monkeypatch.setattr(split_mod, "_BUCKET_ROWS", 9, raising=False)
+    monkeypatch.setattr(split_mod, "_FULL_BUCKET", 60, raising=False)
+    monkeypatch.setattr(split_mod, "prefix_before", lambda df, *a, **k: ranked.append(df.count()) or plain(df, *a, **k))
+    df = spark.range(500).select("id", F.when(F.col("id") < 400, F.col("id")).otherwise(-1).alias("k"), F.expr("CASE WHEN id % 3 > 0 THEN id % 3 END").alias("c"))
+    for by, classes in ((None, [None]), ("c", [None, 1, 2])):
+        ranked.clear()
+        folds = assign_folds(df.repartition(5), 4, 2, by, ["k"]).collect()
+        for c in classes:
+            part = sorted((_md5(2, r["k"]), r["id"], r["fold"]) for r in folds if by is None or r["c"] == c)
+            assert [f for _, _, f in part] == [i % 4 for i in range(len(part))]
+        assert len(folds) == 500 and (by or 100 <= ranked[0] < 200)        # only the full bucket is ranked by prefix counts
