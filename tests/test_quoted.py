@@ -71,3 +71,16 @@ def test_one_field_over_many_ranges(spark, tmp_path, tiny_ranges):
     ('a, "b', False, True), ('"a""', False, True), ('"a"",b",c', False, False), ('x","y', True, True), ("", True, True)])
 def test_state_after_a_line(line, inside, want):
     assert quoted.ends_inside(line, inside) is want
+
+
+def test_split_query_writes_its_files_side_by_side(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+
+    paths = []
+    monkeypatch.setattr(entry, "_scratch", lambda spark, name: paths.append(str(tmp_path / name)) or paths[-1])
+    texts = [(i, f'line {i}\n"quoted", {i}' if i % 3 else None, "en") for i in range(40)]
+    for part in range(4):
+        spark.createDataFrame(texts[part::4], "doc_id long, text string, lang string").coalesce(1).write.mode("append").parquet(str(tmp_path / "documents.parquet"))
+    got = entry.queries()["s2_csv_split"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(i, t or "") for i, t, _ in texts] or sorted((r.doc_id, r.text) for r in got) == [(i, t) for i, t, _ in texts]
+    assert spark.read.format("binaryFile").load(paths[0] + "/*.csv").count() > 1
