@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.columns import col, numeric_columns, numeric_value
 from tabsmith.operators.frequency import frequency_table, level_shares, unpivot_values
-from tabsmith.operators.quantiles import exact_quantiles, grouped_quantiles
+from tabsmith.operators.quantiles import exact_quantiles, large_group_quantiles, small_groups, with_quantiles
 from tabsmith.session import cut_lineage
 
 FEW_GROUPS = 4096              # (column, class) groups whose quartiles the driver guides
@@ -153,24 +153,40 @@ def box_stats(df: DataFrame, target: str, columns: list[str] | None = None, k: f
     Whiskers are the most extreme values inside the 1.5 IQR fences (matplotlib's
     rule); fliers are counted, not listed. With up to ``FEW_GROUPS`` (column, class) groups
     the quartiles come from refinement guided by the driver and are broadcast back; with
-    more, they stay a table on the executors and are joined by group.
+    more, one shuffle deals the rows by group, and a group's rows are sorted and measured
+    in one task. The few groups too large for that are cut by distributed prefix counts.
     """
     columns = columns if columns is not None else [c for c in numeric_columns(df) if c != target]
     long = df.select(col(target).alias("class"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), numeric_value(c, df).alias("v")) for c in columns
     ]))).where(F.col("v").isNotNull() & F.col("class").isNotNull())
     few = df.select(col(target)).distinct().limit(FEW_GROUPS + 1).count() * len(columns) <= FEW_GROUPS
-    q = (exact_quantiles if few else grouped_quantiles)(long, ["column", "class"], [0.25, 0.5, 0.75])
-    q = q.select("column", "class", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
-    q = q.withColumn("lo_f", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \
-         .withColumn("hi_f", F.col("q3") + k * (F.col("q3") - F.col("q1")))
-    if not few:
-        q = cut_lineage(q)                     # read twice below
+    keys, probs = ["column", "class"], [0.25, 0.5, 0.75]
+    if few:
+        return _boxes(long, exact_quantiles(long, keys, probs), k)
+    small, large = small_groups(long, keys)
+    rows = _with_fences(with_quantiles(small, keys, probs), k)
+    inside = (F.col("v") >= F.col("lo_f")) & (F.col("v") <= F.col("hi_f"))
+    out = rows.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in ("q1", "median", "q3")], F.min(F.when(inside, F.col("v"))).alias("whislo"),
+        F.max(F.when(inside, F.col("v"))).alias("whishi"), F.count_if(~inside).alias("n_fliers"), F.first("n").alias("n"))
+    if large is None:
+        return out
+    return out.unionByName(_boxes(large, cut_lineage(large_group_quantiles(large, keys, probs)), k))   # read twice
+
+
+def _with_fences(q: DataFrame, k: float) -> DataFrame:
+    q = q.withColumns({"q1": F.col("q")[0], "median": F.col("q")[1], "q3": F.col("q")[2]}).drop("q")
+    return q.withColumns({"lo_f": F.col("q1") - k * (F.col("q3") - F.col("q1")), "hi_f": F.col("q3") + k * (F.col("q3") - F.col("q1"))})
+
+
+def _boxes(long: DataFrame, quartiles: DataFrame, k: float) -> DataFrame:
+    """The rows of ``box_stats`` from ``long`` and a small table of its groups' quartiles."""
+    q = _with_fences(quartiles, k)
     inside = (F.col("v") >= F.col("lo_f")) & (F.col("v") <= F.col("hi_f"))
     fences = q.select(F.col("column").alias("_column"), F.col("class").alias("_class"), "lo_f", "hi_f")
     same = (F.col("column") == F.col("_column")) & (F.col("class") == F.col("_class"))
-    ext = long.join(F.broadcast(fences) if few else fences, same, "inner").groupBy("_column", "_class").agg(
+    ext = long.join(F.broadcast(fences), same, "inner").groupBy("_column", "_class").agg(
         F.min(F.when(inside, F.col("v"))).alias("whislo"),
         F.max(F.when(inside, F.col("v"))).alias("whishi"),
         F.count_if(~inside).alias("n_fliers"))

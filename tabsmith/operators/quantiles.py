@@ -26,7 +26,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,7 @@ COLUMN_BUCKETS = 4096    # of each column, where whole columns are cut
 LIST_LIMIT = 20_000
 LINEAR_ROUNDS = 2
 PATTERN_BUCKETS = 64
+GROUP_ROWS = 200_000     # of many groups, those up to this size are sorted by one task each
 MAX_ROUNDS = LINEAR_ROUNDS + 11  # 64 bits, 6 a round
 
 
@@ -238,13 +239,57 @@ def _refine(stats: dict, probs: list[float], list_limit: int, counts, listed_val
     return out
 
 
+def small_groups(long: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of groups of at most ``GROUP_ROWS`` rows, and those of larger ones (None: no such
+    group). The larger groups are few, whatever the number of groups: their keys are broadcast."""
+    large = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > GROUP_ROWS) \
+        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    rows = large.collect()
+    if not rows:
+        return long, None
+    found = F.broadcast(long.sparkSession.createDataFrame(rows, large.schema))
+    on = [long[k].eqNullSafe(found[f"_k{i}"]) for i, k in enumerate(keys)]
+    return long.join(found, on, "left_anti"), long.join(found, on, "left_semi")
+
+
+def with_quantiles(long: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Every row of ``long`` with its group's size ``n`` and quantiles ``q``: one shuffle by
+    group, a group's rows sorted in one task (see :func:`small_groups`)."""
+    group = Window.partitionBy(*keys)
+    rows = long.withColumn("v", F.col("v") + F.lit(0.0))   # as groupBy does: -0.0 is 0.0
+    rows = rows.withColumn("_i", F.row_number().over(group.orderBy("v")) - 1).withColumn("n", F.count(F.lit(1)).over(group))
+    at = [[F.max(F.when(F.col("_i") == rank, F.col("v"))).over(group) for rank in pair] for pair in _ranks(probs)]
+    rows = rows.withColumns({f"_v{i}{side}": v for i, pair in enumerate(at) for side, v in enumerate(pair)})
+    return rows.withColumn("q", _interpolated(probs)).drop("_i", *[f"_v{i}{side}" for i in range(len(probs)) for side in (0, 1)])
+
+
+def _ranks(probs: list[float]) -> list[tuple]:
+    return [(F.floor(F.lit(float(p)) * (F.col("n") - 1)), F.ceil(F.lit(float(p)) * (F.col("n") - 1))) for p in probs]
+
+
+def _interpolated(probs: list[float]):
+    """The quantiles of a row with ``n`` and the two values ``_v<i>0``, ``_v<i>1`` around each."""
+    out = []
+    for i, (p, (lo, hi)) in enumerate(zip(probs, _ranks(probs), strict=True)):
+        pos, v_lo, v_hi = F.lit(float(p)) * (F.col("n") - 1), F.col(f"_v{i}0"), F.col(f"_v{i}1")
+        out.append(F.when((lo == hi) | (v_lo == v_hi), v_lo).otherwise((hi - pos) * v_lo + (pos - lo) * v_hi))
+    return F.array(*out)
+
+
 def grouped_quantiles(long: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """``keys + [n, q]`` like :func:`exact_quantiles`, for any number of groups.
+    """``keys + [n, q]`` like :func:`exact_quantiles`, for any number of groups. No group of more
+    than ``GROUP_ROWS`` rows is held by one task, reaches the driver or is broadcast."""
+    small, large = small_groups(long, keys)
+    out = with_quantiles(small, keys, probs).groupBy(*keys).agg(F.first("n").alias("n"), F.first("q").alias("q"))
+    return out if large is None else out.unionByName(large_group_quantiles(large, keys, probs))
+
+
+def large_group_quantiles(long: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """``keys + [n, q]`` where a group may be larger than a task should sort.
 
     Values are counted per group (combined on the map side) and ranked by distributed
     prefix sums over the whole order of (group, value), which cut a large group into several
-    blocks. The order statistics are the values whose run of ranks holds the wanted one. No
-    group reaches the driver or is broadcast.
+    blocks. The order statistics are the values whose run of ranks holds the wanted one.
     """
     counts = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_c"))
     runs = prefix_before(counts, keys, ["v"], "_c", "_before")
@@ -253,11 +298,6 @@ def grouped_quantiles(long: DataFrame, keys: list[str], probs: list[float]) -> D
     on = [F.col(k).eqNullSafe(F.col(t)) for k, t in zip(keys, total)]
     rows = runs.join(totals, on).drop(*total)
     holds = lambda rank: (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c"))
-    ranks = [(F.floor(F.lit(float(p)) * (F.col("n") - 1)), F.ceil(F.lit(float(p)) * (F.col("n") - 1))) for p in probs]
     picked = rows.groupBy(*keys, "n").agg(*[F.max(F.when(holds(r), F.col("v"))).alias(f"_v{i}{side}")
-                                            for i, pair in enumerate(ranks) for side, r in enumerate(pair)])
-    out = []
-    for i, (p, (lo, hi)) in enumerate(zip(probs, ranks)):
-        pos, v_lo, v_hi = F.lit(float(p)) * (F.col("n") - 1), F.col(f"_v{i}0"), F.col(f"_v{i}1")
-        out.append(F.when((lo == hi) | (v_lo == v_hi), v_lo).otherwise((hi - pos) * v_lo + (pos - lo) * v_hi))
-    return picked.select(*keys, "n", F.array(*out).alias("q"))
+                                            for i, pair in enumerate(_ranks(probs)) for side, r in enumerate(pair)])
+    return picked.select(*keys, "n", _interpolated(probs).alias("q"))

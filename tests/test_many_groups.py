@@ -62,3 +62,19 @@ def test_kendall_in_digits_of_several_bits(spark):
     want = (sx * sy).sum() / np.sqrt((sx != 0).sum() * (sy != 0).sum())
     # blocks of 64 cells leave four bits or fewer: one pass of prefix sums
     assert abs(correlation.kendall_pair(df, "x", "y", 64) - want) < 1e-12
+
+
+def test_large_groups_among_many_are_cut_in_blocks(spark, monkeypatch):
+    from tabsmith.operators import quantiles
+
+    df = spark.range(900).select(F.when(F.col("id") < 500, F.lit(-1)).otherwise(F.col("id") % 90).alias("c"),
+                                 F.when(F.col("id") % 11 > 0, (F.col("id") * 37) % 101 - 7.0).alias("v"))
+    want = sorted(map(tuple, chartdata.box_stats(df, "c", ["v"]).collect()))
+    monkeypatch.setattr(chartdata, "FEW_GROUPS", 1)
+    plans = {}
+    for limit in (10_000, 100):
+        monkeypatch.setattr(quantiles, "GROUP_ROWS", limit, raising=False)
+        got = chartdata.box_stats(df, "c", ["v"])
+        assert sorted(map(tuple, got.collect())) == want
+        plans[limit] = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plans[10_000] and "Join" in plans[100]       # small groups: no row is joined
