@@ -33,6 +33,8 @@ from tabsmith.operators.ranking import (
 
 AGGS_PER_PASS = 512   # keeps each aggregate's generated code small; more pairs -> more passes
 PAIRS_PER_PASS = 6    # Kendall: cells a row makes in one pass
+TILE = 12             # Spearman with missing values: a pass takes the pairs of two blocks of so many columns
+BROADCAST_VALUES = 20_000   # and sends the ranks of a column with no more distinct values to every task
 BITS_PER_PASS = 4     # Kendall: bits of the x-rank settled by one pass of prefix sums
 
 
@@ -164,36 +166,56 @@ def _complete_pairs(df: DataFrame, columns: list[str], pairs: list) -> DataFrame
 
 
 def _spearman_by_pair(df: DataFrame, columns: list[str], pairs: list, rows_per_block: int) -> DataFrame:
-    """Rank correlation with each pair ranked on its own complete rows: one table of average
-    ranks for all (pair, axis), joined back to the distinct cells of each pair. The number
-    of jobs does not depend on the number of pairs."""
+    """Rank correlation with each pair ranked on its own complete rows. A pass takes the pairs
+    of two blocks of ``TILE`` columns, so up to ``TILE`` columns need one pass."""
+    tiles: dict = {}
+    for i, j in pairs:
+        tiles.setdefault((i // TILE, j // TILE), []).append((i, j))
+    corr: dict = {}
+    for tile in tiles.values():
+        corr.update(_spearman_tile(df, columns, tile, rows_per_block))
+    rows = [(columns[i], columns[j], corr.get((i, j))) for i, j in pairs]
+    return df.sparkSession.createDataFrame(rows, "col_x string, col_y string, corr double")
+
+
+def _spearman_tile(df: DataFrame, columns: list[str], pairs: list, rows_per_block: int) -> dict:
+    """One table for all columns: how often each value occurs in the complete rows of its
+    column with every other one, and from that the value's rank in each pair. Every column's
+    ranks are joined back to the rows on its value; a row is never copied for its pairs."""
     from pyspark import StorageLevel
 
-    cells = _complete_pairs(df, columns, pairs).groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("n")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    used = sorted({c for pair in pairs for c in pair})
+    partners = {i: [a if b == i else b for a, b in pairs if i in (a, b)] for i in used}
+    vals = df.select(*[numeric_value(columns[i], df).alias(f"v{i}") for i in used])
+    entries = F.array(*[
+        F.when(F.col(f"v{i}").isNotNull(), F.struct(F.lit(i).alias("column"), F.col(f"v{i}").alias("value"),
+                                                    *[F.col(f"v{j}").isNotNull().alias(f"p{j}") for j in used])) for i in used])
+    counts = vals.select(F.inline(F.filter(entries, lambda e: e.isNotNull()))).groupBy("column", "value") \
+        .agg(*[F.count_if(F.col(f"p{j}")).alias(f"n{j}") for j in used])
+    before = prefixes_before(counts, ["column"], ["value"], {f"b{j}": F.col(f"n{j}") for j in used}, rows_per_block)
+    ranks = before.select("column", "value", *[f"n{j}" for j in used],
+                          *[(F.col(f"b{j}") + (F.col(f"n{j}") + 1) / 2.0).alias(f"r{j}") for j in used]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sides = cells.select("pair", F.inline(F.array(F.struct(F.lit(0).alias("axis"), F.col("x").alias("value"), "n"),
-                                                      F.struct(F.lit(1).alias("axis"), F.col("y").alias("value"), "n"))))
-        counts = sides.groupBy("pair", "axis", "value").agg(F.sum("n").alias("cnt"))
-        ranks = prefix_before(counts, ["pair", "axis"], ["value"], "cnt", "before", rows_per_block) \
-            .select("pair", "axis", "value", (F.col("before") + (F.col("cnt") + 1) / 2.0).alias("rank")) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        total = cells.groupBy("pair").agg(F.sum("n").alias("all"))
-        of = lambda axis, name: ranks.where(F.col("axis") == axis).select("pair", F.col("value").alias(name), F.col("rank").alias(f"r{name}"))
-        ranked = cells.join(of(0, "x"), ["pair", "x"]).join(of(1, "y"), ["pair", "y"]).join(total, "pair")
-        dx, dy = F.col("rx") - (F.col("all") + 1) / 2.0, F.col("ry") - (F.col("all") + 1) / 2.0
-        sums = {r["pair"]: r for r in ranked.groupBy("pair").agg(
-            F.sum(F.col("n") * dx * dx).alias("xx"), F.sum(F.col("n") * dy * dy).alias("yy"),
-            F.sum(F.col("n") * dx * dy).alias("xy")).collect()}                # one row a pair
-        ranks.unpersist()
+        of = {r["column"]: r for r in ranks.groupBy("column").agg(
+            F.count(F.lit(1)).alias("values"), *[F.sum(f"n{j}").alias(f"all{j}") for j in used]).collect()}   # one row a column
+        if len(of) < len(used):                            # columns without any value have no pair
+            pairs = [p for p in pairs if p[0] in of and p[1] in of]
+        off = {(i, j): F.col(f"r{j}") - (of[i][f"all{j}"] + 1) / 2.0 for i in of for j in partners[i] if j in of}
+        if not pairs:
+            return {}
+        squares = ranks.agg(*[F.sum(F.when(F.col("column") == i, F.col(f"n{j}") * d * d)).alias(f"s{i}_{j}") for (i, j), d in off.items()]).first()
+        out = vals
+        for i in sorted(of, key=lambda i: -of[i]["values"]):   # the joins by shuffle first, while rows are narrow
+            own = ranks.where(F.col("column") == i).select(F.col("value").alias(f"v{i}"), *[off[i, j].alias(f"d{i}_{j}") for j in partners[i] if j in of])
+            out = out.join(F.broadcast(own) if of[i]["values"] <= BROADCAST_VALUES else own, f"v{i}", "left")
+        products = out.agg(*[F.sum(F.col(f"d{i}_{j}") * F.col(f"d{j}_{i}")).alias(f"s{i}_{j}") for i, j in pairs]).first()
     finally:
-        cells.unpersist()
-    rows = []
-    for p, (i, j) in enumerate(pairs):
-        r = sums.get(p)
-        ok = r is not None and r["xx"] > 0 and r["yy"] > 0
-        rows.append((columns[i], columns[j], r["xy"] / math.sqrt(r["xx"] * r["yy"]) if ok else None))
-    return df.sparkSession.createDataFrame(rows, "col_x string, col_y string, corr double")
+        ranks.unpersist()
+    corr = {}
+    for i, j in pairs:
+        xx, yy, xy = squares[f"s{i}_{j}"], squares[f"s{j}_{i}"], products[f"s{i}_{j}"]
+        corr[i, j] = xy / math.sqrt(xx * yy) if xy is not None and xx > 0 and yy > 0 else None
+    return corr
 
 
 # ---------------------------------------------------------------- Kendall tau-b

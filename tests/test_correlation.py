@@ -86,3 +86,23 @@ def test_many_columns_are_chunked_into_passes(spark):
     assert len(got) == 40 * 39 // 2            # 820 pair sums + 40 squares > one pass
     ref = pdf.corr()
     assert all(math.isclose(r["corr"], ref.loc[r["col_x"], r["col_y"]], rel_tol=1e-9, abs_tol=1e-12) for r in got)
+
+
+def test_spearman_with_missing_values_copies_no_row_for_its_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame({c: rng.integers(0, k, 300).astype(float) for c, k in zip("abcde", (4, 9, 200, 30, 2), strict=True)})
+    pdf = pdf.mask(rng.random(pdf.shape) < 0.2).assign(f=np.nan)
+    df = spark.createDataFrame([tuple(None if v != v else v for v in r) for r in pdf.itertuples(index=False)], ", ".join(f"{c} double" for c in pdf))
+
+    def copied(*args):
+        raise AssertionError("rows were copied for their pairs")
+
+    monkeypatch.setattr(correlation, "_complete_pairs", copied)
+    want = pdf.corr(method="spearman")
+    for tile, values in ((12, 10**6), (2, 0)):             # one pass with small tables sent along; several passes and shuffles
+        monkeypatch.setattr(correlation, "TILE", tile)
+        monkeypatch.setattr(correlation, "BROADCAST_VALUES", values)
+        got = {(r["col_x"], r["col_y"]): r["corr"] for r in correlation.spearman_matrix(df, list(pdf), rows_per_block=50).collect()}
+        assert len(got) == 15
+        for (x, y), v in got.items():
+            assert v is None if "f" in (x, y) else v == pytest.approx(want.loc[x, y], abs=1e-9)
