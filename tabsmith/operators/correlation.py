@@ -5,7 +5,8 @@
   table with an exact distributed prefix sum (``prefix_before``): no window over a
   whole column, no row ids. Each column's ranks are joined back on its value (a
   skewed value is split by AQE's skew join, and the join is by value, so the rank
-  table is at most the number of distinct values).
+  table is at most the number of distinct values). With missing values that table has a rank
+  for every partner column: each pair ranks its own complete rows.
 * Kendall tau-b: Knight's formula ``S = n0 - n1 - n2 + n3 - 2 nd``. Tie totals are
   plain aggregates; the discordant count ``nd`` is the number of cell pairs ordered
   differently by the total orders (x, y) and (y, x), i.e. the inversions of the
