@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +25,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tabsmith.llm.common import table
+from tabsmith.llm.common import lean, table
 
 CACHE_ENTRIES = 400_000
+BATCH_ROWS = 1_000  # of the output
 # white space of the Unicode property (also what \s means to the rank files' own library);
 # the regex module's \s would add the four separators 0x1C to 0x1F
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -123,7 +125,7 @@ class Codec:
 class _Known(dict):
     def __init__(self, codec: Codec):
         super().__init__()
-        self._codec = codec
+        self._codec = weakref.proxy(codec)  # no cycle: the cache goes with the task, not at some later collection
 
     def __missing__(self, pre_token: str) -> bytes:
         ids = self._codec._encode_piece(pre_token)
@@ -154,7 +156,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, with_ids: b
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(ranks, pattern, model, rank_of_piece)
-        for batch in batches:
+        for batch in (whole.slice(k, BATCH_ROWS) for whole in batches for k in range(0, whole.num_rows, BATCH_ROWS)):
             n_tokens, id_digest, text_digest, n_bytes, ids_out = [], [], [], [], []
             for value in batch.column("text"):
                 ids = codec.encode(value.as_py() or "")
@@ -174,7 +176,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, with_ids: b
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string, n_bytes long"
-    return docs.select("doc_id", "text").mapInArrow(encode, schema + (", ids array<int>" if with_ids else ""))
+    return docs.select("doc_id", "text").mapInArrow(lean(encode), schema + (", ids array<int>" if with_ids else ""))
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

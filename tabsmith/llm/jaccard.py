@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import (bucket_count, bucket_of, bucket_runs, pack, release_shuffles, run_starts, shared_table,
+from tabsmith.llm.common import (bucket_count, bucket_of, bucket_runs, lean, pack, release_shuffles, run_starts, shared_table,
                                  shingle_sets, table, text_chunks, unpack)
 
 WORDS = 5
@@ -75,8 +75,10 @@ def _send_segments(fragments: int):
         size = [len(s) for s in sets]
         shingle = np.concatenate(sets)
         number = np.repeat(np.arange(len(sets), dtype=np.uint32), size)
+        sets.clear()
         order = np.argsort(shingle, kind="stable")
         shingle, number = shingle[order], number[order]
+        del order
         out = [(f, 0, sender, pack(np.diff(shingle[s], prepend=np.uint64(0)), number[s])) for f, s in bucket_runs(shingle, fragments)]
         cols = [np.array(c, np.int64) for c in zip(*rows, strict=True)]
         out.append((-1 - sender, 2, sender, pack(*cols)))
@@ -229,12 +231,12 @@ def _count_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     salt = F.pmod(F.xxhash64("y"), F.lit(max(16, tasks)))
     dealt = pairs.withColumn("h", F.pmod(F.xxhash64("x", salt), F.lit(tasks)).cast("long"))
     need = dealt.select("h", F.explode(F.array("x", "y")).alias("k1")).distinct()
-    segments = need.join(sets, "k1").select("h", "k1", "shingles").mapInArrow(_cut_sets, "h long, f int, k1 long, segment binary")
+    segments = need.join(sets, "k1").select("h", "k1", "shingles").mapInArrow(lean(_cut_sets), "h long, f int, k1 long, segment binary")
     packed = dealt.groupBy("h").agg(F.collect_list(F.struct("x", "y")).alias("p")).select(
         "h", F.col("p.x").alias("xs"), F.col("p.y").alias("ys"),
         F.explode(F.sequence(F.lit(0), F.lit(PAIR_FRAGMENTS - 1))).alias("f"))
-    parts = packed.groupBy("h", "f").cogroup(segments.groupBy("h", "f")).applyInArrow(_partial_overlaps, "h long, blob binary")
-    total = parts.groupBy("h").applyInArrow(_sum_overlaps, "x long, y long, overlap long")
+    parts = packed.groupBy("h", "f").cogroup(segments.groupBy("h", "f")).applyInArrow(lean(_partial_overlaps), "h long, blob binary")
+    total = parts.groupBy("h").applyInArrow(lean(_sum_overlaps), "x long, y long, overlap long")
     return shared_table(pairs.join(total, ["x", "y"]), "pair-overlaps", spark)
 
 
@@ -436,7 +438,7 @@ def class_links(classes: DataFrame, sets: DataFrame) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select("label", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "k1", "rows")
     dealt = dealt.withColumn("h", F.pmod(F.xxhash64("label", "i", "j"), F.lit(tasks))).join(sets, "k1")
-    counted = dealt.groupBy("h").applyInArrow(_count_links, "k1 long, links long")
+    counted = dealt.groupBy("h").applyInArrow(lean(_count_links), "k1 long, links long")
     return shared_table(two.unionByName(counted).groupBy("k1").agg(F.sum("links").alias("links")), "class-links", spark)
 
 
@@ -459,9 +461,9 @@ def near_duplicates(docs: DataFrame, links: bool = True) -> DataFrame:
     id_type = dict(docs.dtypes)["doc_id"]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
     fragments = bucket_count(docs.select("text"), FRAGMENT_BYTES, 32)
-    sent = rows.mapInArrow(_send_segments(fragments), _MESSAGE)
-    answered = sent.groupBy("bucket").applyInArrow(_answer_segments, _MESSAGE)
-    found = shared_table(answered.groupBy("bucket").applyInArrow(_prefixes, _MEMBERS), "members", spark)
+    sent = rows.mapInArrow(lean(_send_segments(fragments)), _MESSAGE)
+    answered = sent.groupBy("bucket").applyInArrow(lean(_answer_segments), _MESSAGE)
+    found = shared_table(answered.groupBy("bucket").applyInArrow(lean(_prefixes), _MEMBERS), "members", spark)
     del sent, answered
     release_shuffles(spark)
     members = found.where("kind = 0").select("doc_id", "n", "k1", "k2", "digest")
@@ -473,7 +475,7 @@ def near_duplicates(docs: DataFrame, links: bool = True) -> DataFrame:
     # an id that repeats with other texts brings their sets too; they are dropped by name
     wanted = names.select(F.col("doc_id").alias("wanted")).distinct()
     texts = rows.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    sets = texts.mapInArrow(_class_sets, "k1 long, shingles binary").join(candidates, "k1", "left_semi").dropDuplicates(["k1"])
+    sets = texts.mapInArrow(lean(_class_sets), "k1 long, shingles binary").join(candidates, "k1", "left_semi").dropDuplicates(["k1"])
     sets = shared_table(sets, "sets", spark)
     release_shuffles(spark)
     labels = class_components(entries, sets)

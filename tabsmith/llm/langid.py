@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsmith.llm.common import SEPARATOR, mix64, table, text_chunks
+from tabsmith.llm.common import CHUNK_BYTES, SEPARATOR, lean, mix64, table, text_chunks
 
 SAMPLE_PER_LANG = 4_000  # rows a language, about
 SIZES = (3, 4, 5)        # bytes in an n-gram, blanks included
@@ -122,7 +122,7 @@ def train(labelled: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             numbers = batch.column("lang_no").to_numpy()
-            for chunk in text_chunks(batch.column("text"), 4 << 20):
+            for chunk in text_chunks(batch.column("text"), CHUNK_BYTES):
                 lang_of = numbers[chunk.first:chunk.first + chunk.size].astype(np.uint64)
                 for hashes, row in _grams(chunk.buf, chunk.offsets):
                     lang = lang_of[row]
@@ -132,7 +132,7 @@ def train(labelled: DataFrame, sample_per_lang: int = SAMPLE_PER_LANG) -> Model:
                             [pa.array(gram.view(np.int64)), pa.array(np.full(len(gram), int(value), np.int32)), pa.array(n)],
                             names=["gram", "lang_no", "n"])
 
-    grams = sample.mapInArrow(count, "gram long, lang_no int, n long").groupBy("gram", "lang_no").agg(F.sum("n").alias("n"))
+    grams = sample.mapInArrow(lean(count), "gram long, lang_no int, n long").groupBy("gram", "lang_no").agg(F.sum("n").alias("n"))
     sizes = {r["lang_no"]: r["n"] for r in grams.groupBy("lang_no").agg(F.sum("n").alias("n")).collect()}
     total = F.create_map(*[F.lit(x) for i in range(len(langs)) for x in (i, float(max(1, sizes.get(i, 1))))])
     rated = grams.withColumn("rate", F.col("n") / total[F.col("lang_no")])
@@ -166,19 +166,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            names, scores = [], []
-            for chunk in text_chunks(batch.column("text")):
-                own_names, own_scores = model.predict(chunk.buf, chunk.offsets)
-                names += own_names
-                scores.append(own_scores)
-            score = np.concatenate(scores) if scores else np.zeros(0)
-            letters = batch.column("letters").to_pylist()
-            names = [name if ok else "und" for name, ok in zip(names, letters, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(names, pa.string()), pa.array(np.where(letters, score, 0.0), pa.float64())],
-                names=["row", "lang_pred", "score"])
-
-    return rows.mapInArrow(run, T.StructType().add("row", row_type).add("lang_pred", "string").add("score", "double"))
+            for chunk in text_chunks(batch.column("text")):  # a batch a chunk: neither side holds many whole texts
+                own = batch.slice(chunk.first, chunk.size)
+                names, score = model.predict(chunk.buf, chunk.offsets)
+                letters = own.column("letters").to_pylist()
+                names = [name if ok else "und" for name, ok in zip(names, letters, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [own.column("row"), pa.array(names, pa.string()), pa.array(np.where(letters, score, 0.0), pa.float64())],
+                    names=["row", "lang_pred", "score"])
+
+    return rows.mapInArrow(lean(run), T.StructType().add("row", row_type).add("lang_pred", "string").add("score", "double"))
 
 
 def held_out() -> F.Column:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabsmith.llm.common import (BYTE_CODE, bucket_count, bucket_runs, mix64, pack, powers, release_shuffles, run_starts, runs,
+from tabsmith.llm.common import (BYTE_CODE, bucket_count, bucket_runs, lean, mix64, pack, powers, release_shuffles, run_starts, runs,
                                  shared_table, table, text_buffer, text_chunks, unpack)
 
 LENGTH = 50
@@ -425,14 +425,14 @@ def remove_repeats(docs: DataFrame, keep_rows: bool = False) -> DataFrame:
                         F.pmod(F.xxhash64(F.col("doc_id").cast("long"), digest), F.lit(groups)).alias("grp"), *extra)
     rows = whole.select("doc_id", "text", "digest", "grp")
 
-    sent = rows.mapInArrow(_send_anchors(buckets), _MESSAGE)
-    answered = sent.groupBy("bucket").applyInArrow(_answer_anchors, _MESSAGE)
-    shared = shared_table(answered.groupBy("bucket").applyInArrow(_to_groups, "grp long, blob binary"), "anchors", spark)
+    sent = rows.mapInArrow(lean(_send_anchors(buckets)), _MESSAGE)
+    answered = sent.groupBy("bucket").applyInArrow(lean(_answer_anchors), _MESSAGE)
+    shared = shared_table(answered.groupBy("bucket").applyInArrow(lean(_to_groups), "grp long, blob binary"), "anchors", spark)
     del sent, answered
     release_shuffles(spark)
 
-    segments = rows.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(_send_segments(buckets), _MESSAGE)
-    spans = shared_table(segments.groupBy("bucket").applyInArrow(_cover_segments, "grp long, blob binary"), "spans", spark)
+    segments = rows.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(lean(_send_segments(buckets)), _MESSAGE)
+    spans = shared_table(segments.groupBy("bucket").applyInArrow(lean(_cover_segments), "grp long, blob binary"), "spans", spark)
     del segments
     release_shuffles(spark)
 
@@ -442,7 +442,7 @@ def remove_repeats(docs: DataFrame, keep_rows: bool = False) -> DataFrame:
     schema.add("kept_sha256", "string")
     if keep_rows:
         schema.add("kept_text", "string").add("row", whole.schema["row"].dataType)
-    out = whole.groupBy("grp").cogroup(spans.groupBy("grp")).applyInArrow(_cut(keep_rows), schema)
+    out = whole.groupBy("grp").cogroup(spans.groupBy("grp")).applyInArrow(lean(_cut(keep_rows)), schema)
     return out.withColumn("doc_id", F.col("doc_id").cast(id_type))
 
 
