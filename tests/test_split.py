@@ -130,3 +130,38 @@ def test_two_level_blocks_spread_a_hot_value(spark):
     order = sorted(rows)
     want = {row: i for i, row in enumerate(order)}
     assert {(r["a"], r["b"]): r["before"] for r in got.collect()} == want
+
+
+def test_even_keys_are_split_by_one_scan_of_the_hashes(spark, monkeypatch):
+    """The prefix counts, two scans and a count per prefix, are left to keys that repeat."""
+    import hashlib
+
+    from tabsmith.operators import split
+
+    seen = []
+    plain = split._prefix_counts
+    monkeypatch.setattr(split, "_prefix_counts", lambda *a: seen.append(1) or plain(*a))
+    df = spark.range(3000).select("id", (F.col("id") % 3 == 0).alias("c"))
+    got = {r.id for r in split.assign_split(df, 0.2, 42, "c", ["id"]).where("split = 'test'").collect()}
+    h = {i: hashlib.md5(f"42|{i}".encode()).hexdigest() for i in range(3000)}
+    want = set()
+    for part, n in (([i for i in h if i % 3 == 0], 200), ([i for i in h if i % 3], 400)):
+        want |= set(sorted(part, key=h.get)[:n])
+    assert got == want and not seen
+    # one key holds half of the rows: its rank lies far from the even place
+    hot = df.select(F.when(F.col("id") % 2 == 0, F.lit(-5)).otherwise(F.col("id")).alias("id"), F.col("id").alias("v"))
+    marked = split.assign_split(hot, 0.5, 42, None, ["id"])
+    assert marked.where("split = 'test'").count() == 1500 and seen
+    order = lambda k: hashlib.md5(f"42|{k}".encode()).hexdigest()
+    most = max(order(r.id) for r in marked.where("split = 'test'").collect())
+    assert all(order(r.id) >= most for r in marked.where("split = 'train'").collect())
+
+
+def test_window_holds_the_rank_and_stays_short():
+    from tabsmith.operators import split
+
+    for n, rank in ((1, 1), (5, 2), (1000, 201), (10**9, 2 * 10**8 + 1), (10**9, 10**9)):
+        low, high = split._window(n, rank)
+        place = rank / n * 16 ** 8
+        assert int(low, 16) <= place and (high == "g" or place <= int(high, 16))
+    assert (int(high, 16) if high != "g" else 16 ** 8) - int(low, 16) < 1000
